@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import decontam, mixing, rules, simhash
 from .common import table
 
 
@@ -16,5 +17,14 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_mix_sources)}
-ORACLES = {"op5_mix_sources": mixing.ORACLE}
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_mix_sources, op7_decontaminate, op10_quality_rules)}
+ORACLES = {"op5_mix_sources": mixing.ORACLE, "op7_decontaminate": decontam.ORACLE}
