@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, rules, simhash
+from . import decontam, mixing, rules, simhash, suffix
 from .common import table
 
 
@@ -13,6 +13,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -26,5 +31,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_mix_sources, op7_decontaminate, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_suffix_array_dedup, op5_mix_sources, op7_decontaminate, op10_quality_rules)}
 ORACLES = {"op5_mix_sources": mixing.ORACLE, "op7_decontaminate": decontam.ORACLE}
