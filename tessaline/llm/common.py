@@ -83,6 +83,8 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_OTHER = np.ones(256, bool)
+_OTHER[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -127,18 +129,28 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, starts
 
 
-def words_of(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end) of each word, the number of words before each text (one more entry), and the bytes they index."""
+def words_of(texts: list[bytes], alphanumeric: bool = False, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of each word, A-Z lowered, and the number of words before each text (one more entry).
+
+    With prefixes, hash has a column for the word and one for each prefix length in bytes (0 where the word is shorter).
+    Words are runs of anything but white space, or of digits, letters and all beyond ASCII.
+    """
     data, starts = joined(texts)
-    if lower:
-        data = _LOWER[data]
-    space = _SPACE[data]
+    data = _LOWER[data]
+    space = (_OTHER if alphanumeric else _SPACE)[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([1], space.view(np.int8), [1]))))
     begin, end = edge[0::2], edge[1::2]
     total = prefix_hash(data)
     _, down = _powers(len(data) + 1)
     value = mix64((total[end] - total[begin]) * down[begin])
-    return value, begin, end, np.searchsorted(begin, starts), data
+    if prefixes:
+        columns = [value]
+        for n in prefixes:
+            stop = np.minimum(begin + n, len(data))
+            part = mix64(((total[stop] - total[begin]) * down[begin]) ^ np.uint64(n * 0x51_7CC1_B727))
+            columns.append(np.where(end - begin >= n, part, np.uint64(0)))
+        value = np.column_stack(columns)
+    return value, begin, end, np.searchsorted(begin, starts)
 
 
 def chunks(rows: list, size_of, limit: int = 1 << 21):

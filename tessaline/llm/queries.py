@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, rules, simhash, suffix, warc
+from . import chat, decontam, mixing, quality, rules, simhash, suffix, toxicity, warc
 from .common import cut, table
 
 
+def op1_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,9 +42,13 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(cut(chat.format_turns(turns), "chat-formatted"))
 
 
+def op9_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_suffix_array_dedup, op5_mix_sources, op6_warc_round_trip, op7_decontaminate, op8_chat_format, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_simhash_near_dedup, op3_suffix_array_dedup, op5_mix_sources, op6_warc_round_trip, op7_decontaminate, op8_chat_format, op9_toxicity_cnn, op10_quality_rules)}
 ORACLES = {"op5_mix_sources": mixing.ORACLE, "op6_warc_round_trip": warc.ORACLE, "op7_decontaminate": decontam.ORACLE}
