@@ -50,7 +50,8 @@ class CompressionModel:
             if text:
                 plain, good, bad = (len(p.compress(text)) for p in packers)
                 short = 1 / (1 + len(text) / 500)
-                out[i] = 10 * (bad - good) / plain, plain / len(text), (plain / len(text) - 0.5) ** 2 * 10, 10 * (bad - good) / plain * short, short
+                packs = min(1.0, plain / len(text))
+                out[i] = 10 * (bad - good) / plain, packs, (packs - 0.5) ** 2 * 10, 10 * (bad - good) / plain * short, short
         return out
 
     def score(self, texts: list[bytes], packers: tuple) -> np.ndarray:
