@@ -129,11 +129,12 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, starts
 
 
-def words_of(texts: list[bytes], alphanumeric: bool = False, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(texts: list[bytes], alphanumeric: bool = False, prefixes: tuple[int, ...] = (), forms: bool = False) -> tuple[np.ndarray, ...]:
     """(hash, start, end) of each word, A-Z lowered, and the number of words before each text (one more entry).
 
     With prefixes, hash has a column for the word and one for each prefix length in bytes (0 where the word is shorter).
-    Words are runs of anything but white space, or of digits, letters and all beyond ASCII.
+    Words are runs of anything but white space, or of digits, letters and all beyond ASCII. With forms, a last array has the
+    hash of each word's last three bytes (all, if it has fewer).
     """
     data, starts = joined(texts)
     data = _LOWER[data]
@@ -150,7 +151,11 @@ def words_of(texts: list[bytes], alphanumeric: bool = False, prefixes: tuple[int
             part = mix64(((total[stop] - total[begin]) * down[begin]) ^ np.uint64(n * 0x51_7CC1_B727))
             columns.append(np.where(end - begin >= n, part, np.uint64(0)))
         value = np.column_stack(columns)
-    return value, begin, end, np.searchsorted(begin, starts)
+    bounds = np.searchsorted(begin, starts)
+    if forms:
+        tail = np.maximum(begin, end - 3)
+        return value, begin, end, bounds, mix64(((total[end] - total[tail]) * down[tail]) ^ np.uint64(0x2545_F491_4F6C))
+    return value, begin, end, bounds
 
 
 def chunks(rows: list, size_of, limit: int = 1 << 21):

@@ -187,11 +187,12 @@ def _best_shift(z: np.ndarray, y: np.ndarray, threshold: float) -> tuple[float,
     return scale, float(np.log(threshold / (1 - threshold)) - scale * cut_at)
 
 
-def bucket_odds(bucket: np.ndarray, bounds: np.ndarray, fit: np.ndarray, y: np.ndarray, size: int, min_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which buckets at least min_docs of the texts in fit have, and each bucket's smoothed log odds of label 1 against all texts'."""
-    seen = np.zeros((2, size), np.int64)
+def bucket_odds(rows: list[np.ndarray], fit: np.ndarray, y: np.ndarray, size: int, min_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which buckets at least min_docs of the texts in fit have (rows: bucket + 1, 0 for none), and their smoothed log odds of label 1."""
+    seen = np.zeros((2, size + 1), np.int64)
     for i in fit:
-        seen[y[i], np.unique(bucket[bounds[i] : bounds[i + 1]])] += 1
+        seen[y[i], np.unique(rows[i])] += 1
+    seen = seen[:, 1:]
     ones, zeros = (y[fit] == 1).sum(), (y[fit] == 0).sum()
     odds = np.log((seen[1] + 0.5) / (ones + 1)) - np.log((seen[0] + 0.5) / (zeros + 1))
     return seen.sum(axis=0) >= min_docs, odds
@@ -202,19 +203,29 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: f
     texts, y, part = sample(docs, labels, label, max_rows, max_text, text_col, id_col)
     model = ConvModel()
     fit = np.flatnonzero(part < 7)
-    words, bounds = model.words(texts)
-    bucket = (words >> np.uint64(64 - model.bits)).astype(np.int64)
-    model.known, odds = bucket_odds(bucket, bounds, fit, y, 1 << model.bits, min_docs)
+    # Text by text and in 32 bits, so that the sample's words never stand in memory as hashes all at once.
+    buckets: list[np.ndarray] = []
+    lang: list[np.ndarray] = []
+    for run in chunks(texts, len, 1 << 19):
+        words, bounds = model.words(run)
+        lang.append(model.languages(words[:, 0], bounds))
+        own = np.where(words != 0, (words >> np.uint64(64 - model.bits)).astype(np.int32) + 1, 0)
+        buckets += [own[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    model.known, odds = bucket_odds(buckets, fit, y, 1 << model.bits, min_docs)
     model.start(odds)
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1)
         model.out[:] = 0
         model.out[-1] = np.log(share / (1 - share))
         return model
-    ids = model.ids(words)
-    model.fit([ids[bounds[i] : bounds[i + 1]] for i in fit], y[fit])
-    z = model.features(ids, bounds, model.folded()) @ model.out[:-1] + model.out[-1]
-    lang = model.languages(words[:, 0], bounds)
+    rare = np.concatenate(([True], ~model.known))
+    for own in buckets:
+        own[rare[own]] = 0
+    model.fit([buckets[i] for i in fit], y[fit])
+    tables, z = model.folded(), []
+    for run in chunks(buckets, lambda x: 40 * len(x)):
+        z.append(model.features(np.concatenate(run), np.cumsum([0, *map(len, run)]), tables) @ model.out[:-1] + model.out[-1])
+    z, lang = np.concatenate(z), np.concatenate(lang)
     rest = part >= 7
     common = _best_shift(z[rest], y[rest], threshold) or _best_shift(z, y, threshold) or (1.0, 0.0)
     for k in range(len(COMMON) + 1):
