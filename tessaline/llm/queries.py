@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, quality, rules, simhash, suffix, toxicity, warc
+from . import chat, decontam, lm, mixing, quality, rules, simhash, suffix, toxicity, warc
 from .common import cut, table
 
 
@@ -22,6 +22,10 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,5 +54,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_simhash_near_dedup, op3_suffix_array_dedup, op5_mix_sources, op6_warc_round_trip, op7_decontaminate, op8_chat_format, op9_toxicity_cnn, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_simhash_near_dedup, op3_suffix_array_dedup, op4_maxent_lm, op5_mix_sources, op6_warc_round_trip, op7_decontaminate, op8_chat_format, op9_toxicity_cnn, op10_quality_rules)}
 ORACLES = {"op5_mix_sources": mixing.ORACLE, "op6_warc_round_trip": warc.ORACLE, "op7_decontaminate": decontam.ORACLE}
