@@ -14,7 +14,7 @@ def op1_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("component")
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,17 +49,17 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp long) of every row; fp is the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp long, and the columns in keep) of every row; fp is the fingerprint as a signed 64-bit number."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t or b"", shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *keep])
 
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    schema = ", ".join(f"`{n}` {docs.schema[c].dataType.simpleString()}" for n, c in (("doc_id", id_col), *zip(keep, keep, strict=True)))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *keep).mapInArrow(run, schema.replace(", ", ", fp long, ", 1) if keep else f"{schema}, fp long")
 
 
 def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
@@ -76,12 +76,34 @@ def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.filter(F.col("a") != F.col("b")).distinct().filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of each row of docs; component_id is the smallest id reachable by links."""
-    rows = cut(fingerprints(docs, id_col, text_col, shingle), "simhash")
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fingerprint, component_id, component, and the columns in keep) of each row of docs.
+
+    component_id is the smallest id reachable by links, component the root fingerprint of the class.
+    """
+    rows = cut(fingerprints(docs, id_col, text_col, shingle, keep), "simhash")
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     roots = components(ball_links(distinct.select("fp"), radius))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = placed.groupBy(F.col("root").alias("r")).agg(F.min("low").alias("component_id"))
-    classes = placed.join(lowest, placed["root"] == lowest["r"]).select(F.col("fp").alias("f"), "component_id")
-    return rows.join(classes, rows["fp"] == classes["f"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    classes = placed.join(lowest, placed["root"] == lowest["r"]).select(F.col("fp").alias("f"), "component_id", F.col("root").alias("component"))
+    return rows.join(classes, rows["fp"] == classes["f"]).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component", *keep)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of docs that represent their class: one with its smallest id (nulls last), and of equal ids the smallest text hash.
+
+    Only narrow rows are compared: (fingerprint class, id, text hash), minima by partial aggregation.
+    """
+    names = docs.columns
+    key = F.substring(F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256)), 1, 16)
+    keyed = docs.withColumn("__key", key)
+    classes = cut(near_duplicates(keyed, id_col, text_col, shingle, radius, keep=("__key",)), "simhash-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__key").alias("key"))
+    # Classes are told by their root fingerprints, so those without any id stay apart.
+    first = cut(classes.groupBy("component").agg(F.min(order).alias("first")).select("first.id", F.col("first.key").alias("key")), "simhash-first")
+    same = keyed[id_col].eqNullSafe(first["id"]) & (keyed["__key"] == first["key"])
+    kept = keyed.join(first, same, "left_semi")
+    # Rows that repeat id and text: one stays. Narrow rows tell whether there are any, before texts move for it.
+    again = classes.groupBy("doc_id", "__key").count().filter("count > 1").limit(1).count()
+    return (kept.dropDuplicates([id_col, "__key"]) if again else kept).select(*names)

@@ -29,9 +29,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import _powers, chunks, cut, drop_cut, joined, mix64, prefix_hash, small_batches
@@ -154,6 +155,16 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
     return cut(spans, "suffix-spans")
 
 
+def decoded(data: Column) -> Column:
+    """UTF-8 bytes as text without the bytes of characters that were cut in two (what is valid stays byte for byte)."""
+
+    @F.pandas_udf("string")
+    def decode(parts: pd.Series) -> pd.Series:
+        return parts.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
+
+    return decode(data)
+
+
 def _merge(spans: list[dict]) -> list[tuple[int, int]]:
     """Spans as maximal runs."""
     out: list[list[int]] = []

@@ -234,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: f
     return model
 
 
-def score(docs: DataFrame, model: ConvModel, threshold: float = 0.3, text_col: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, model: ConvModel, threshold: float = 0.3, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(doc_id, score, predicted) of each row."""
     small_batches(docs.sparkSession)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
@@ -249,6 +249,22 @@ def score(docs: DataFrame, model: ConvModel, threshold: float = 0.3, text_col: s
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, f"doc_id {kind}, score double, predicted int")
 
 
+def keep_clean(docs: DataFrame, model: ConvModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text scores below the threshold, as they are: rows pass through, so no join by id is needed."""
+    small_batches(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = model.folded()
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(place).to_pylist()]
+            if texts:
+                value = np.concatenate([model.score(part, tables) for part in chunks(texts, len)])
+                yield batch.filter(pa.array(value < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """(doc_id, held_out, score, predicted): train outside the held-out fold, score everything."""
     scored = score(docs, train(docs, labels, threshold=threshold, **options), threshold)
