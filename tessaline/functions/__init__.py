@@ -1 +1 @@
-"""See the modules of this package."""
+"""Column functions: everything here is an expression of built-in functions, so it stays inside code generation."""

@@ -1 +1 @@
-"""See the modules of this package."""
+"""Relational operators over manifests, pages and snapshots: DataFrame in, DataFrame out, nothing collected."""
