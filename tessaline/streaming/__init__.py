@@ -1 +1 @@
-"""See the modules of this package."""
+"""Streams of landed manifests and pages: the same snapshot operators, batch by batch."""
