@@ -140,21 +140,20 @@ class MaxEnt:
         salted = (features ^ ((own.astype(np.uint64) + np.uint64(1)) * np.uint64(0xE7037ED1A0B428DB))) * np.uint64(0x9E3779B97F4A7C15)
         return (features >> shift).astype(np.int64), (salted[: self.shape.slot_features] >> shift).astype(np.int64)
 
-    def softmaxes(self, features: np.ndarray, own: np.ndarray) -> tuple:
+    def logits(self, features: np.ndarray, own: np.ndarray) -> tuple:
+        """Table rows and shifted exponentials of both softmaxes, with their sums."""
         at_class, at_slot = self.places(features, own)
-        z = self.table[at_class[0]]
-        y = self.table[at_slot[0]]
-        for row in at_class[1:]:
-            z += self.table[row]
-        for row in at_slot[1:]:
-            y += self.table[row]
-        z = z[:, : self.shape.classes] + self.class_bias
-        y = y[:, : self.shape.slots] + self.slot_bias[own]
-        for x in (z, y):
+        out = []
+        for rows, bias, width in ((at_class, self.class_bias, self.shape.classes), (at_slot, np.take(self.slot_bias, own, axis=0), self.shape.slots)):
+            x = np.take(self.table, rows[0], axis=0, mode="clip")
+            for row in rows[1:]:
+                x += np.take(self.table, row, axis=0, mode="clip")
+            x = x[:, :width] if width < x.shape[1] else x
+            x += bias
             x -= x.max(axis=1, keepdims=True)
             np.exp(x, out=x)
-            x /= x.sum(axis=1, keepdims=True)
-        return at_class, at_slot, z, y
+            out += [x, x.sum(axis=1)]
+        return at_class, at_slot, *out
 
     def logs(self, value: np.ndarray, form: np.ndarray, own: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 probability, index in the head) of each token; words outside the head lack their share of slot 0."""
@@ -164,9 +163,9 @@ class MaxEnt:
         out = np.zeros(len(value))
         for at in range(0, len(value), self.shape.batch):
             s = slice(at, at + self.shape.batch)
-            _, _, z, y = self.softmaxes(features[:, s], own[s])
+            _, _, z, z_sum, y, y_sum = self.logits(features[:, s], own[s])
             n = np.arange(len(z))
-            out[s] = np.log10(np.maximum(z[n, own[s]], 1e-30).astype(np.float64)) + np.log10(np.maximum(y[n, slot[s]], 1e-30).astype(np.float64))
+            out[s] = np.log10(np.maximum(z[n, own[s]] / z_sum, 1e-30) * np.maximum(y[n, slot[s]] / y_sum, 1e-30).astype(np.float64))
         inside = (known >= 0) & (slot == 0)
         out[inside] += np.log10((self.counts[known[inside]] + 0.5) / self.rest[own[inside]])
         return out, known
@@ -181,8 +180,10 @@ class MaxEnt:
         features = self.rows(value, form, known, bounds)
         for at in range(0, len(value), self.shape.batch):
             s = slice(at, at + self.shape.batch)
-            at_class, at_slot, z, y = self.softmaxes(features[:, s], own[s])
+            at_class, at_slot, z, z_sum, y, y_sum = self.logits(features[:, s], own[s])
             n = np.arange(len(z))
+            z /= z_sum[:, None]
+            y /= y_sum[:, None]
             z[n, own[s]] -= 1
             y[n, slot[s]] -= 1
             turn = at // self.shape.batch
@@ -325,16 +326,18 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
                 inside = known >= 0
                 plain = np.where(inside, base[np.maximum(known, 0)], 0.0) if len(base) else np.zeros(len(value))
                 sums = [np.add.reduceat(x, bounds[:-1]) for x in (plain, logs, inside.astype(np.int64))]
-                tails, times, kinds = [], [], []
-                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    out = ~inside[a:b]
-                    h, first, n = np.unique(value[a:b][out], return_index=True, return_counts=True)
-                    tails.append(h.view(np.int64))
-                    times.append(n.astype(np.int32))
-                    kinds.append(classes[a:b][out][first].astype(np.int32))
+                # The words outside the head of each text, each once with its number: sorted by text and hash at once.
+                out = np.flatnonzero(~inside)
+                text = np.searchsorted(bounds, out, side="right") - 1
+                order = np.lexsort((value[out], text))
+                h, text = value[out][order], text[order]
+                first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))) if len(h) else np.zeros(0, np.int64)
+                times = np.diff(np.concatenate((first, [len(h)]))).astype(np.int32)
+                offsets = pa.array(np.searchsorted(text[first], np.arange(len(part) + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (h[first].view(np.int64), times, classes[out][order][first].astype(np.int32))]
                 rows = slice(at, at + len(part))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], batch.column(1)[rows], pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), pa.array(tails, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), pa.array(kinds, pa.list_(pa.int32()))],
+                    [batch.column(0)[rows], batch.column(1)[rows], pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), *lists],
                     names=["uid", "doc_id", "n_tokens", "head_known", "head_base", "head_score", "h", "n", "own"])
                 at += len(part)
 
