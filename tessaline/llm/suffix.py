@@ -118,12 +118,14 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
     small_batches(docs.sparkSession)
     texts = _keyed(docs.select(text_col), text_col).select("__key", "__bytes")
     found = cut(texts.mapInArrow(_anchor_rows(threshold), "h long, s long, key binary, at int, lo int, hi int"), "suffix-anchors")
-    again = found.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("n")).filter("n > 1").select("g")
+    # Counts are cut before they are joined: a join of two plain exchanges is one whose hot keys AQE can split.
+    again = cut(found.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("n")).filter("n > 1").select("g"), "suffix-again")
     held = cut(found.join(again, found["h"] == again["g"]).drop("g"), "suffix-held")
     drop_cut(found)
     kinds = cut(held.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(F.struct("key", "at", "lo", "hi")).alias("one")), "suffix-kinds")
-    several = kinds.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds")).filter("kinds > 1").select("g")
-    open_ = kinds.join(several, kinds["h"] == several["g"]).select("one.*", (F.col("n") > 1).alias("known"), F.xxhash64("h", "s").alias("rid"))
+    several = cut(kinds.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("kinds")).filter("kinds > 1").select("g"), "suffix-several")
+    # The number of a row is fixed as soon as the cut has it.
+    open_ = kinds.join(several, kinds["h"] == several["g"]).select("one.*", (F.col("n") > 1).alias("known"), F.monotonically_increasing_id().alias("rid"))
     open_ = cut(open_, "suffix-open")
 
     # The bytes of the stretches that are left, one text of each kind.
@@ -140,7 +142,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
         else:
             rows = pieces
         ranked = cut(rows.mapInArrow(_core_rows(threshold, length), "rid long, lo int, hi int, one long, two long"), "suffix-ranks")
-        pairs = ranked.groupBy(F.col("one").alias("o"), F.col("two").alias("t")).agg(F.count("*").alias("n")).filter("n > 1").select("o", "t")
+        pairs = cut(ranked.groupBy(F.col("one").alias("o"), F.col("two").alias("t")).agg(F.count("*").alias("n")).filter("n > 1").select("o", "t"), "suffix-pairs")
         now = cut(ranked.join(pairs, (ranked["one"] == pairs["o"]) & (ranked["two"] == pairs["t"])).select("rid", "lo", "hi"), "suffix-left")
         drop_cut(ranked)
         if left is not None:
