@@ -179,12 +179,13 @@ def _merge(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", threshold: int = 400) -> DataFrame:
-    """docs with kept_bytes binary, n_bytes, n_removed, n_spans, kept_sha256 added; every row stays."""
+    """docs without text but with kept_bytes binary, n_bytes, n_removed, n_spans, kept_sha256 (in place of columns so named); every row stays."""
+    made = ("kept_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    names = [c for c in docs.columns if c != text_col and c not in made]
     rows = _keyed(docs, text_col)
-    spans = repeated_spans(docs, text_col, threshold)
-    rows = rows.join(spans, rows["__key"] == spans["key"], "left").drop("key", "__key", text_col)
-    names = [c for c in docs.columns if c != text_col]
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
+    spans = repeated_spans(docs, text_col, threshold).select(F.col("key").alias("__span_key"), F.col("spans").alias("__spans"))
+    rows = rows.join(spans, rows["__key"] == spans["__span_key"], "left").select(*[f"`{c}`" for c in names], "__bytes", "__spans")
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +201,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", threshold: int = 400
                 removed.append(len(text) - len(left))
                 runs.append(len(merged))
                 sha.append(hashlib.sha256(left).hexdigest())
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (n_bytes, removed, runs)], pa.array(sha, pa.string())], names=[*names, "kept_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(names))], pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (n_bytes, removed, runs)], pa.array(sha, pa.string())], names=[*names, *made])
 
     added = "kept_bytes binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return rows.select(*[f"`{c}`" for c in names], "__bytes", "spans").mapInArrow(run, ", ".join(filter(None, (schema, added))))
+    return rows.mapInArrow(run, ", ".join(filter(None, (schema, added))))
