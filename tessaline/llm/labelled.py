@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_by
     rows = docs.select(F.col(id_col).alias("__d"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__t")).filter(F.octet_length("__t") <= max_bytes)
     got = rows.join(F.broadcast(chosen), rows["__d"] == chosen["__id"]).select("__t", "__y", F.pmod(F.xxhash64("__id", F.lit(29)), F.lit(10)).alias("part"), "__h").toArrow()
     order = sorted(range(got.num_rows), key=lambda i, h=got["__h"].to_pylist(), t=got["__t"].to_pylist(): (h[i], t[i]))
-    got = got.take(order).slice(0, max_rows)
+    got = got.take(pa.array(order, pa.int64())).slice(0, max_rows)
     return [bytes(t) for t in got["__t"].to_pylist()], np.array(got["__y"].to_pylist(), np.int64), np.array(got["part"].to_pylist(), np.int64)
 
 

@@ -38,6 +38,8 @@ from .common import chunks, cut, fold, mix64, small_batches, words_of
 
 END = np.uint64(0x5BD1E9955BD1E995)
 NONE = np.uint64(0x27D4EB2F165667C5)
+#: Bound of a weight: four of them and a bias at most zero stay within the exponentials of 32-bit floats.
+WEIGHT = 18.0
 
 
 @dataclass
@@ -141,7 +143,7 @@ class MaxEnt:
         return (features >> shift).astype(np.int64), (salted[: self.shape.slot_features] >> shift).astype(np.int64)
 
     def logits(self, features: np.ndarray, own: np.ndarray) -> tuple:
-        """Table rows and shifted exponentials of both softmaxes, with their sums."""
+        """Table rows and exponentials of both softmaxes, with their sums."""
         at_class, at_slot = self.places(features, own)
         out = []
         for rows, bias, width in ((at_class, self.class_bias, self.shape.classes), (at_slot, np.take(self.slot_bias, own, axis=0), self.shape.slots)):
@@ -150,9 +152,8 @@ class MaxEnt:
                 x += np.take(self.table, row, axis=0, mode="clip")
             x = x[:, :width] if width < x.shape[1] else x
             x += bias
-            x -= x.max(axis=1, keepdims=True)
-            np.exp(x, out=x)
-            out += [x, x.sum(axis=1)]
+            np.exp(x, out=x)  # in range: weights are bounded, the largest bias of a row is zero
+            out += [x, x @ np.ones(width, np.float32)]
         return at_class, at_slot, *out
 
     def logs(self, value: np.ndarray, form: np.ndarray, own: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +199,8 @@ class MaxEnt:
         total = np.add.reduceat(grad[order], first, axis=0)
         rows = rows[first]
         squares[rows] += np.einsum("ij,ij->i", total, total)
-        self.table[rows, : grad.shape[1]] -= self.shape.rate * total / np.sqrt(squares[rows] + 1)[:, None]
+        new = self.table[rows, : grad.shape[1]] - self.shape.rate * total / np.sqrt(squares[rows] + 1)[:, None]
+        self.table[rows, : grad.shape[1]] = np.clip(new, -WEIGHT, WEIGHT)
         touched[rows] += np.diff(np.concatenate((first, [len(flat)])))
 
 

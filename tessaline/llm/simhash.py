@@ -97,13 +97,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     names = docs.columns
     key = F.substring(F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), 256)), 1, 16)
-    keyed = docs.withColumn("__key", key)
-    classes = cut(near_duplicates(keyed, id_col, text_col, shingle, radius, keep=("__key",)), "simhash-classes")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__key").alias("key"))
+    keyed = docs.withColumn("__tsl_key", key)
+    classes = cut(near_duplicates(keyed, id_col, text_col, shingle, radius, keep=("__tsl_key",)), "simhash-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__tsl_key").alias("key"))
     # Classes are told by their root fingerprints, so those without any id stay apart.
     first = cut(classes.groupBy("component").agg(F.min(order).alias("first")).select("first.id", F.col("first.key").alias("key")), "simhash-first")
-    same = keyed[id_col].eqNullSafe(first["id"]) & (keyed["__key"] == first["key"])
+    same = keyed[id_col].eqNullSafe(first["id"]) & (keyed["__tsl_key"] == first["key"])
     kept = keyed.join(first, same, "left_semi")
     # Rows that repeat id and text: one stays. Narrow rows tell whether there are any, before texts move for it.
-    again = classes.groupBy("doc_id", "__key").count().filter("count > 1").limit(1).count()
-    return (kept.dropDuplicates([id_col, "__key"]) if again else kept).select(*names)
+    again = classes.groupBy("doc_id", "__tsl_key").count().filter("count > 1").limit(1).count()
+    return (kept.dropDuplicates([id_col, "__tsl_key"]) if again else kept).select(*names)

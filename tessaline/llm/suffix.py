@@ -110,13 +110,13 @@ def _core_rows(threshold: int, length: int):
 def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     """Add key: 16 bytes of the text's SHA-256, by which equal texts are one."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return docs.select("*", text.alias("__bytes"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("__key"))
+    return docs.select("*", text.alias("__tsl_bytes"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("__tsl_key"))
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400, lengths: tuple[float, ...] = (0.5, 0.875)) -> DataFrame:
     """(key, spans array<struct<start, stop>>): stretches to remove of each text that has any; they may overlap."""
     small_batches(docs.sparkSession)
-    texts = _keyed(docs.select(text_col), text_col).select("__key", "__bytes")
+    texts = _keyed(docs.select(text_col), text_col).select("__tsl_key", "__tsl_bytes")
     found = cut(texts.mapInArrow(_anchor_rows(threshold), "h long, s long, key binary, at int, lo int, hi int"), "suffix-anchors")
     # Counts are cut before they are joined: a join of two plain exchanges is one whose hot keys AQE can split.
     again = cut(found.groupBy(F.col("h").alias("g")).agg(F.count("*").alias("n")).filter("n > 1").select("g"), "suffix-again")
@@ -130,9 +130,9 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
 
     # The bytes of the stretches that are left, one text of each kind.
     wanted = open_.groupBy(F.col("key").alias("k")).agg(F.collect_list(F.struct("rid", "at", "lo", "hi")).alias("wanted"))
-    single = texts.join(wanted.select("k"), texts["__key"] == F.col("k"), "left_semi").dropDuplicates(["__key"])
-    cutter = F.transform("wanted", lambda r: F.struct(r["rid"].alias("rid"), F.substring(F.col("__bytes"), r["at"] - r["hi"] + 1, r["hi"] - r["lo"] + threshold).alias("piece"), r["hi"].alias("hi"), F.array(F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"))).alias("left")))
-    pieces = cut(single.join(wanted, single["__key"] == wanted["k"]).select(F.explode(cutter).alias("p")).select("p.*"), "suffix-pieces")
+    single = texts.join(wanted.select("k"), texts["__tsl_key"] == F.col("k"), "left_semi").dropDuplicates(["__tsl_key"])
+    cutter = F.transform("wanted", lambda r: F.struct(r["rid"].alias("rid"), F.substring(F.col("__tsl_bytes"), r["at"] - r["hi"] + 1, r["hi"] - r["lo"] + threshold).alias("piece"), r["hi"].alias("hi"), F.array(F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"))).alias("left")))
+    pieces = cut(single.join(wanted, single["__tsl_key"] == wanted["k"]).select(F.explode(cutter).alias("p")).select("p.*"), "suffix-pieces")
 
     left = None
     for length in (*[max(2, min(threshold, round(x * threshold))) for x in lengths], threshold):
@@ -183,8 +183,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", threshold: int = 400
     made = ("kept_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     names = [c for c in docs.columns if c != text_col and c not in made]
     rows = _keyed(docs, text_col)
-    spans = repeated_spans(docs, text_col, threshold).select(F.col("key").alias("__span_key"), F.col("spans").alias("__spans"))
-    rows = rows.join(spans, rows["__key"] == spans["__span_key"], "left").select(*[f"`{c}`" for c in names], "__bytes", "__spans")
+    spans = repeated_spans(docs, text_col, threshold).select(F.col("key").alias("__tsl_span_key"), F.col("spans").alias("__tsl_spans"))
+    rows = rows.join(spans, rows["__tsl_key"] == spans["__tsl_span_key"], "left").select(*[f"`{c}`" for c in names], "__tsl_bytes", "__tsl_spans")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -97,7 +97,7 @@ class ConvModel:
         left = np.repeat(bounds[1:], size) - np.arange(bounds[0], bounds[-1])
         for k, (w, own) in enumerate(zip(self.widths, tables, strict=True)):
             value = np.zeros((len(ids), self.filters), np.float32)
-            for j in range(w):
+            for j in range(min(w, len(ids))):
                 here = np.zeros((len(ids) - j, self.filters), np.float32)
                 for column in ids[j:].T:
                     here += own[j][column]
@@ -106,6 +106,10 @@ class ConvModel:
             out[full, k * self.filters : (k + 1) * self.filters] = np.maximum(top, 0)
         return out
 
+    def logit(self, features: np.ndarray) -> np.ndarray:
+        """Summed row by row, so that a text's value does not depend on which others stand beside it."""
+        return (features.astype(np.float64) * self.out[:-1]).sum(axis=1) + float(self.out[-1])
+
     def fit(self, docs: list[np.ndarray], y: np.ndarray, epochs: int = 3, batch: int = 16, rate: float = 0.05, drop: float = 0.4) -> None:
         rng = np.random.default_rng(self.seed + 1)
         n, wide = self.filters, max(self.widths)
@@ -167,7 +171,7 @@ class ConvModel:
 
     def score(self, texts: list[bytes], tables: list) -> np.ndarray:
         words, bounds = self.words(texts)
-        z = self.features(self.ids(words), bounds, tables) @ self.out[:-1] + self.out[-1]
+        z = self.logit(self.features(self.ids(words), bounds, tables))
         own = self.shifts[self.languages(words[:, 0], bounds)]
         return sigmoid(z * own[:, 0] + own[:, 1])
 
@@ -224,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: f
     model.fit([buckets[i] for i in fit], y[fit])
     tables, z = model.folded(), []
     for run in chunks(buckets, lambda x: 40 * len(x)):
-        z.append(model.features(np.concatenate(run), np.cumsum([0, *map(len, run)]), tables) @ model.out[:-1] + model.out[-1])
+        z.append(model.logit(model.features(np.concatenate(run), np.cumsum([0, *map(len, run)]), tables)))
     z, lang = np.concatenate(z), np.concatenate(lang)
     rest = part >= 7
     common = _best_shift(z[rest], y[rest], threshold) or _best_shift(z, y, threshold) or (1.0, 0.0)
