@@ -43,8 +43,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which windows of benchmark items make up a twentieth of the words or more go."""
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select(F.col("text_key").alias("__bad")).distinct()
-    return docs.withColumn("__key", _text_key()).join(bad, F.col("__key") == F.col("__bad"), "left_anti").select(*docs.columns)
+    bad = found.filter("contaminated").select(F.col("text_key").alias("__tsl_bad")).distinct()
+    return docs.withColumn("__tsl_key", _text_key()).join(bad, F.col("__tsl_key") == F.col("__tsl_bad"), "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
