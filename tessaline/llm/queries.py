@@ -51,8 +51,8 @@ def op9_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.judge(table(spark, sf_dir, "documents"))
+    return rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_simhash_near_dedup, op3_suffix_array_dedup, op4_maxent_lm, op5_mix_sources, op6_warc_round_trip, op7_decontaminate, op8_chat_format, op9_toxicity_cnn, op10_quality_rules)}
-ORACLES = {"op5_mix_sources": mixing.ORACLE, "op6_warc_round_trip": warc.ORACLE, "op7_decontaminate": decontam.ORACLE}
+ORACLES = {"op5_mix_sources": mixing.ORACLE, "op6_warc_round_trip": warc.ORACLE, "op7_decontaminate": decontam.ORACLE, "op10_quality_rules": rules.ORACLE}

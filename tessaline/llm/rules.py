@@ -128,3 +128,32 @@ def judge(
     return slim.select(
         "doc_id", F.col("n_words").cast("bigint").alias("n_words"), (F.col("n_chars") - F.col("n_space")).alias("word_chars"), F.col("n_symbol").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), "class_distance", "word_distance", (~failed & ~F.coalesce(odd, F.lit(False))).alias("kept"))
+
+
+#: The contract's columns in SQL, for the default parameters.
+ORACLE = r"""
+WITH w AS (SELECT row_number() OVER () AS uid, doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+a AS (SELECT uid, doc_id, lang, t, ws, len(ws) AS n_words, length(t) AS n, length(regexp_replace(t, '[^a-z]', '', 'g')) AS c1, length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')) AS c2,
+  length(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS c3, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS c4, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS c5, length(regexp_replace(t, '[^0-9]', '', 'g')) AS c6 FROM w),
+b AS (SELECT *, n - c1 - c2 - c3 - c4 - c5 - c6 AS c7 FROM a),
+r AS (SELECT lang, [sum(c1), sum(c2), sum(c3), sum(c4), sum(c5), sum(c6), sum(c7)] AS c, CAST(sum(n) AS DOUBLE) AS n FROM b GROUP BY lang),
+k AS (SELECT b.uid, CASE WHEN b.n > 0 THEN [b.c1, b.c2, b.c3, b.c4, b.c5, b.c6, b.c7][i] / CAST(b.n AS DOUBLE) ELSE 0 END AS p, CASE WHEN r.n > 0 THEN r.c[i] / r.n ELSE 0 END AS q
+  FROM b JOIN r ON b.lang IS NOT DISTINCT FROM r.lang, range(1, 8) AS g(i)),
+kd AS (SELECT uid, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + (CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END)) / 2, 0)) AS dist FROM k GROUP BY uid),
+tok AS (SELECT uid, lang, unnest(ws) AS word FROM w),
+cnt AS (SELECT lang, word, count(*) AS m FROM tok GROUP BY lang, word),
+top AS (SELECT lang, word, m, CAST(total AS DOUBLE) AS total FROM (SELECT *, sum(m) OVER (PARTITION BY lang) AS total, row_number() OVER (PARTITION BY lang ORDER BY m DESC, word) AS rn FROM cnt) WHERE rn <= 16),
+own AS (SELECT uid, word, count(*) AS m FROM tok GROUP BY uid, word),
+pq AS (SELECT b.uid, CASE WHEN b.n_words > 0 THEN coalesce(own.m, 0) / CAST(b.n_words AS DOUBLE) ELSE 0 END AS p, top.m / top.total AS q FROM b JOIN top ON b.lang IS NOT DISTINCT FROM top.lang LEFT JOIN own ON own.uid = b.uid AND own.word = top.word),
+pr AS (SELECT uid, p, q FROM pq UNION ALL SELECT uid, 1 - sum(p), 1 - sum(q) FROM pq GROUP BY uid),
+wd AS (SELECT uid, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END) + (CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END)) / 2, 0)) AS dist FROM pr GROUP BY uid),
+cs AS (SELECT uid, sum(q) AS common_share FROM pq GROUP BY uid),
+win AS (SELECT uid, i, array_to_string(ws[i:i + 4], chr(1)) AS x FROM (SELECT uid, ws, unnest(range(1, n_words - 3)) AS i FROM b WHERE n_words >= 5)),
+rep AS (SELECT uid, count(DISTINCT p) AS n_repeat FROM (SELECT uid, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY uid, x) AS times FROM win) WHERE times > 1) GROUP BY uid),
+ln AS (SELECT uid, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT uid, unnest(string_split(t, chr(10))) AS line FROM b) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY uid),
+f AS (SELECT b.*, coalesce(rep.n_repeat, 0) AS n_repeat, coalesce(ln.n_dup, 0) AS n_dup, kd.dist AS class_distance, wd.dist AS word_distance, cs.common_share, b.n_words < 10 OR 100 * coalesce(rep.n_repeat, 0) > 20 * b.n_words AS failed
+  FROM b LEFT JOIN rep USING (uid) LEFT JOIN ln USING (uid) LEFT JOIN kd USING (uid) LEFT JOIN wd USING (uid) LEFT JOIN cs USING (uid))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n - c2 AS BIGINT) AS word_chars, CAST(c5 AS BIGINT) AS n_symbols, CAST(n_dup AS BIGINT) AS n_dup_lines, CAST(n_repeat AS BIGINT) AS n_repeat_words, failed AS base_failed,
+  NOT failed AND NOT coalesce(n_words >= 50 AND (class_distance > 0.16 + 1.0 / sqrt(n_words) OR (n_words * common_share >= 20 AND word_distance > 0.25 + 0.6 / sqrt(n_words))), false) AS kept
+FROM f
+"""
