@@ -128,9 +128,9 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
     open_ = kinds.join(several, kinds["h"] == several["g"]).select("one.*", (F.col("n") > 1).alias("known"), F.monotonically_increasing_id().alias("rid"))
     open_ = cut(open_, "suffix-open")
 
-    # The bytes of the stretches that are left, one text of each kind.
+    # The bytes of the stretches that are left, one text of each kind. Copies of a text go before texts move (partial aggregate).
     wanted = open_.groupBy(F.col("key").alias("k")).agg(F.collect_list(F.struct("rid", "at", "lo", "hi")).alias("wanted"))
-    single = texts.join(wanted.select("k"), texts["__tsl_key"] == F.col("k"), "left_semi").dropDuplicates(["__tsl_key"])
+    single = texts.dropDuplicates(["__tsl_key"])
     cutter = F.transform("wanted", lambda r: F.struct(r["rid"].alias("rid"), F.substring(F.col("__tsl_bytes"), r["at"] - r["hi"] + 1, r["hi"] - r["lo"] + threshold).alias("piece"), r["hi"].alias("hi"), F.array(F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"))).alias("left")))
     pieces = cut(single.join(wanted, single["__tsl_key"] == wanted["k"]).select(F.explode(cutter).alias("p")).select("p.*"), "suffix-pieces")
 
@@ -154,7 +154,10 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
     alone = open_.filter("NOT known").select(F.col("rid").alias("r"), "key", "at")
     dense = left.join(alone, left["rid"] == alone["r"]).select("key", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + threshold).alias("stop"))
     spans = whole.unionByName(dense).groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    return cut(spans, "suffix-spans")
+    out = cut(spans, "suffix-spans")
+    for done in (held, again, kinds, several, open_, pieces, left):
+        drop_cut(done)
+    return out
 
 
 def decoded(data: Column) -> Column:
