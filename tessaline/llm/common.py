@@ -22,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound what one Arrow batch holds, since a text may have hundreds of kilobytes."""
+    """Bound what one Arrow batch holds, by rows and bytes, since a text may have megabytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
