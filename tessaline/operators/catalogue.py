@@ -28,10 +28,18 @@ def listing(df: DataFrame, keys: Sequence[str], line: Column, order: str, name:
     return df.groupBy(*keys).agg(F.array_join(F.transform(pairs, lambda e: e["line"]), "\n").alias(name))
 
 
-def fingerprint(df: DataFrame, keys: Sequence[str], columns: Sequence[str], engine: str = "") -> DataFrame:
-    """Order-free SHA-256 of a group's rows, with the engine's version in it. Row hashes, sorted: 64 bytes a row are gathered."""
+def fingerprint(df: DataFrame, keys: Sequence[str], columns: Sequence[str], engine: str = "", digits: int = 3) -> DataFrame:
+    """(keys, fingerprint, n_rows): an order-free SHA-256 of each group's rows, with the engine's version in it.
+
+    Row hashes are sorted and hashed within buckets of their first hex digits, then the buckets' hashes, so that a hot group
+    is never gathered at once: a task sees one bucket, or at most 16**digits of them.
+    """
     row = F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]).cast("binary"), 256)
-    return df.groupBy(*keys).agg(F.sha2(F.concat_ws("\n", F.lit(engine), F.array_join(F.array_sort(F.collect_list(row)), "\n")).cast("binary"), 256).alias("fingerprint"), F.count("*").alias("n_rows"))
+    whole = lambda x: F.sha2(F.array_join(F.array_sort(F.collect_list(x)), "\n").cast("binary"), 256)
+    rows = df.select(*keys, row.alias("__row")).withColumn("__bucket", F.substring("__row", 1, digits))
+    buckets = rows.groupBy(*keys, "__bucket").agg(whole(F.col("__row")).alias("__hash"), F.count("*").alias("__n"))
+    listed = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "__bucket", "__hash"))), "\n")
+    return buckets.groupBy(*keys).agg(F.sha2(F.concat_ws("\n", F.lit(engine), listed).cast("binary"), 256).alias("fingerprint"), F.sum("__n").alias("n_rows"))
 
 
 def inverted(df: DataFrame, key: str, members: str, name: str) -> DataFrame:

@@ -5,7 +5,8 @@ fetch needs. The plan is declarative up to the commit: one left join decides wha
 outer join what changed. Only a row of counts reaches the driver, for the gate.
 
 Dry runs return the classified rows and change nothing. force skips the check for changes, and only that: removals are
-found as ever. limit and scope make a run partial, which closes the gate on removals.
+found as ever. limit and scope make a run partial, which closes the gate on removals. With archive, what is removed stays
+in the state under deprecated/, where no run touches it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from .store import SnapshotStore, cut_here
 STATE = "key string, token string, sha256 string, content string, title string, last_updated timestamp, output_exists boolean"
 
 
+ARCHIVE = "deprecated/"
+
+
 @dataclass(frozen=True)
 class Options:
     force: bool = False
@@ -57,8 +61,10 @@ def synchronise(manifest: DataFrame, fetch: Callable[[DataFrame], DataFrame], co
     """
     o = options or Options()
     spark = manifest.sparkSession
+    archived = F.col("key").startswith(ARCHIVE)
     now = F.current_timestamp() if now is None else now
-    old = store.read(STATE)
+    everything = store.read(STATE)
+    old = everything.filter(~archived)
     # Of keys that a manifest has twice one row stays.
     planned = manifest.dropDuplicates(["key"]).withColumn("token", versioned("token", o.engine))
     whole = cut_here(planned)
@@ -110,11 +116,39 @@ def synchronise(manifest: DataFrame, fetch: Callable[[DataFrame], DataFrame], co
     counts = {r["status"]: r["n"] for r in S.status_counts(report).collect()}  # one row for each status
     version = None
     if not o.dry_run:
-        state = fresh.unionByName(carried.select(*fresh.columns))
+        state = fresh.unionByName(carried.select(*fresh.columns)).unionByName(everything.filter(archived).select(*fresh.columns))
+        if o.archive:  # moved aside with all they have, for the archive's copy of a key that comes back the new one counts
+            moved = dropped.withColumn("key", F.concat(F.lit(ARCHIVE), "key")).select(*fresh.columns)
+            state = state.join(moved.select("key"), "key", "left_anti").unionByName(moved)
         version = store.commit(state)
     return Outcome(report, counts, version, gate)
 
 
+def run_sources(spark, runs: dict[str, Callable[[], Outcome]], stop: bool = False) -> DataFrame:
+    """(source, ok, error, counts) of runs one after the other. A failure doesn't stop the others; with stop, it is raised at the end."""
+    rows, failed = [], []
+    for name, run in runs.items():
+        try:
+            rows.append((name, True, None, run().counts))
+        except Exception as e:  # noqa: BLE001  whatever ends a source's run is its row's error
+            rows.append((name, False, f"{type(e).__name__}: {e}"[:500], {}))
+            failed.append(name)
+    if failed and stop:
+        raise SourceFailed(f"failed: {', '.join(failed)}")
+    return spark.createDataFrame(rows, "source string, ok boolean, error string, counts map<string,long>")
+
+
+def recovered(planned: DataFrame, state: DataFrame, column: str, pattern: str, content: str = "content") -> DataFrame:
+    """planned with column filled, where it is null or empty, from what the previous output says (the pattern's first group)."""
+    known = state.select(F.col("key").alias("__k"), F.regexp_extract(content, pattern, 1).alias("__v"))
+    return planned.join(known, F.col("key") == F.col("__k"), "left").withColumn(column, F.coalesce(F.nullif(column, F.lit("")), F.nullif("__v", F.lit("")))).drop("__k", "__v")
+
+
+def version_tasks(index: DataFrame, api: str = "api", specs: str = "specs") -> DataFrame:
+    """(api, ord, spec): a task for each version of each API."""
+    return index.select(api, F.posexplode(specs).alias("ord", "spec"))
+
+
 def export_markdown(state: DataFrame, where: str, path: str = "key", content: str = "content") -> DataFrame:
     """Write each row's content as a file below the URI where; (path, bytes) of what was written. Same files on every run."""
     import pandas as pd

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessaline.operators import state as S
 from tessaline.plans.store import SnapshotStore
-from tessaline.plans.sync import Options, SourceFailed, export_markdown, remove_exported, synchronise
+from tessaline.plans.sync import Options, SourceFailed, export_markdown, recovered, remove_exported, run_sources, synchronise, version_tasks
 
 
 def rows(df, *columns):
@@ -88,6 +88,25 @@ def test_gates_and_dry_runs(spark, tmp_path):
     # force asks for all, and still finds removals; another engine version invalidates.
     assert run({"a": "1"}, {"a": "A"}, force=True, archive=True).counts == {"unchanged": 1, "deprecated": 1}
     assert run({"a": "1"}, {"a": "A3"}, engine="2").counts == {"updated": 1}
+    # What was archived stays, with its content.
+    assert rows(store.read(), "key", "content") == [("a", "# A3"), ("deprecated/b", "# B")]
+    assert run({"a": "1"}, {}, engine="2").counts == {"unchanged": 1} and store.read().count() == 2
+
+
+def test_sources_run_one_by_one(spark, tmp_path):
+    store = SnapshotStore(spark, f"file://{tmp_path}/s")
+
+    def bad():
+        raise SourceFailed("down")
+
+    runs = {"x": bad, "y": lambda: synchronise(*world(spark, {"a": "1"}, {"a": "A"}), store)}
+    assert [(r["source"], r["ok"], r["counts"]) for r in run_sources(spark, runs).collect()] == [("x", False, {}), ("y", True, {"added": 1})]
+    with pytest.raises(SourceFailed):
+        run_sources(spark, runs, stop=True)
+    planned = spark.createDataFrame([("a", None), ("z", "own")], "key string, title string")
+    assert rows(recovered(planned, store.read(), "title", r"(?m)^# (.+)$"), "key", "title") == [("a", "A"), ("z", "own")]
+    index = spark.createDataFrame([("api", ["v1", "v2"])], "api string, specs array<string>")
+    assert rows(version_tasks(index), "api", "ord", "spec") == [("api", 0, "v1"), ("api", 1, "v2")]
 
 
 def test_missing_outputs_are_added_again_and_fast_paths_refused(spark):
