@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 #: Methods in the order in which they are listed.
@@ -109,6 +109,17 @@ def one_line(text: Any) -> str:
     return re.sub(r"\s+", " ", str(text or "")).strip()
 
 
+def clean_text(text: Any, resolve: Callable[[str], str] | None = None, inline: bool = False) -> str:
+    """Descriptions with HTML in them as Markdown: anchors as links, paragraphs and breaks as lines; inline as one table cell."""
+    out = str(text or "")
+    out = re.sub(r"""(?is)<a\b[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a>""", lambda m: f"[{m[2].strip()}]({resolve(m[1]) if resolve else m[1]})", out)
+    if resolve:
+        out = re.sub(r"(?<!!)\[([^\]]+)\]\((/[^)\s]*)\)", lambda m: f"[{m[1]}]({resolve(m[2])})", out)
+    out = re.sub(r"(?i)<br\s*/?>|</p>\s*<p\b[^>]*>", "\n", out)
+    out = re.sub(r"(?i)</?p\b[^>]*>", "", out)
+    return in_cell(out) if inline else re.sub(r"\n{3,}", "\n\n", out).strip()
+
+
 def in_cell(text: Any) -> str:
     return re.sub(r"(?<!\\)\|", r"\\|", one_line(text))
 

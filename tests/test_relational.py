@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessaline.functions import filters as P
 from tessaline.functions import keys as K
 from tessaline.functions import text as T
 from tessaline.operators import catalogue as C
@@ -44,6 +45,14 @@ def test_texts(spark):
     assert got["pre"] == "# T\n\nSource: u\n\nx\n" and got["number"] == "1.3M" and got["first"] == "z"
 
 
+def test_predicates(spark):
+    got = one(
+        spark, hl=P.has_parameter(F.lit("https://h/a?b=1&hl=de"), "hl"), none=P.has_parameter(F.lit("https://h/hl=de"), "hl"), out=P.matches_none(F.lit("a/sdk/x"), ["/sdk/"]), kept=P.matches_none(F.lit(None).cast("string"), ["x"]),
+        house=P.housekeeping_category(F.lit("Pages with broken links")), lang=P.housekeeping_category(F.lit("Audio (Español)"), languages=["Español"]), real=P.housekeeping_category(F.lit("Audio")),
+        draft=P.published(F.lit("True")), no_draft=P.published(F.lit(None).cast("string")), long=P.long_enough(F.lit(" " * 60 + "x")), null=P.long_enough(F.lit(None).cast("string")), page=P.is_markup_page(F.lit(" <!DOCTYPE html><p>")), script=P.is_markup_page(F.lit("var x")))
+    assert got == {"hl": True, "none": False, "out": False, "kept": True, "house": True, "lang": True, "real": False, "draft": False, "no_draft": True, "long": False, "null": False, "page": True, "script": False}
+
+
 def test_wins_and_ties(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, None), (None, 1, "n"), (None, 0, "m")], "k string, o int, v string")
     assert {(r["k"], r["v"]) for r in R.first_wins(df, ["k"], ["o"]).collect()} == {("a", "y"), ("b", None), (None, "m")}
