@@ -42,10 +42,19 @@ def class_counts(df: DataFrame) -> DataFrame:
     return df.withColumn("n_other", F.col(last).cast("bigint")).drop("rest", *[f"left_{i}" for i in range(len(CLASSES) + 1)])
 
 
-def repeated_words(words: Column, n: Column, width: int = 5) -> Column:
-    """Hashes of all windows of width words."""
-    heads = F.slice(words, F.lit(1), F.greatest(n - (width - 1), F.lit(0)))
-    return F.transform(heads, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, width)]))
+def with_window_hashes(df: DataFrame, words: str, n: str, out: str, width: int = 5) -> DataFrame:
+    """Add out: hashes of all windows of width words. Windows double and grow by zipping an array with itself, shifted."""
+    pair = lambda x, y: F.xxhash64(x, y)
+    df = df.withColumn("__one", F.transform(words, lambda w: F.xxhash64(w))).withColumn(out, F.col("__one"))
+    size = 1
+    for bit in bin(width)[3:]:
+        df = df.withColumn(out, F.zip_with(out, F.slice(out, F.lit(size + 1), F.greatest(F.col(n), F.lit(0))), pair))
+        size *= 2
+        if bit == "1":
+            df = df.withColumn(out, F.zip_with(out, F.slice("__one", F.lit(size + 1), F.greatest(F.col(n), F.lit(0))), pair))
+            size += 1
+    # What was zipped with nothing at the end is no window.
+    return df.withColumn(out, F.slice(out, F.lit(1), F.greatest(F.col(n) - (width - 1), F.lit(0)))).drop("__one")
 
 
 def covered_by_repeats(hashes: Column, width: int = 5) -> Column:
@@ -62,11 +71,8 @@ def covered_by_repeats(hashes: Column, width: int = 5) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), once).otherwise(F.lit(0)).cast("bigint")
 
 
-def references(docs: DataFrame, top_words: int) -> DataFrame:
-    """(lang, ref_classes, ref_words, ref_shares, common_share): one row for each language, from all of docs (lang, text)."""
-    classes = class_counts(docs).groupBy("lang").agg(*[F.sum(f"n_{n}").alias(n) for n in NAMES])
-    total = sum((F.col(n) for n in NAMES[1:]), F.col(NAMES[0]))
-    classes = classes.select("lang", F.array(*[F.coalesce(F.try_divide(F.col(n).cast("double"), total.cast("double")), F.lit(0.0)) for n in NAMES]).alias("ref_classes"))
+def common_words(docs: DataFrame, top_words: int) -> DataFrame:
+    """(lang, ref_words, ref_shares, common_share): one row for each language with words, from all of docs (lang, text)."""
     counted = cut(docs.select("lang", F.explode(_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "rules-words")
     all_words = counted.groupBy("lang").agg(F.sum("n").alias("all_words"))
     # The most frequent of each language without ordering all of its words in one task: first within spread parts.
@@ -75,10 +81,16 @@ def references(docs: DataFrame, top_words: int) -> DataFrame:
     best = some.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("r") <= top_words)
     listed = best.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("r", "word", "n"))).alias("top"), F.sum("n").alias("common"))
     words = listed.join(all_words, listed["lang"].eqNullSafe(all_words["lang"])).select(
-        listed["lang"].alias("l"), F.transform("top", lambda e: e["word"]).alias("ref_words"),
+        listed["lang"].alias("lang"), F.transform("top", lambda e: e["word"]).alias("ref_words"),
         F.transform("top", lambda e: e["n"] / F.col("common")).alias("ref_shares"), (F.col("common") / F.col("all_words")).alias("common_share"))
-    out = classes.join(words, classes["lang"].eqNullSafe(words["l"]), "left").drop("l")
-    return cut(out, "rules-references")
+    return cut(words, "rules-common")
+
+
+def class_shares(counted: DataFrame) -> DataFrame:
+    """(lang, ref_classes): each language's shares of the character classes, from the counts of all its documents."""
+    classes = counted.groupBy("lang").agg(*[F.sum(f"n_{n}").alias(n) for n in NAMES])
+    total = sum((F.col(n) for n in NAMES[1:]), F.col(NAMES[0]))
+    return cut(classes.select("lang", F.array(*[F.coalesce(F.try_divide(F.col(n).cast("double"), total.cast("double")), F.lit(0.0)) for n in NAMES]).alias("ref_classes")), "rules-classes")
 
 
 def distance(p: list[Column], q: list[Column]) -> Column:
@@ -97,21 +109,22 @@ def judge(
 ) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept)."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    refs = references(base.select("lang", "text"), top_words)
-    if refs.count() <= broadcast_limit:
-        refs = F.broadcast(refs)
+    small = lambda refs: F.broadcast(refs) if refs.count() <= broadcast_limit else refs
+    words = small(common_words(base.select("lang", "text"), top_words))
     rows = class_counts(base).withColumn("words", _words(F.col("text"))).withColumn("n_words", F.size("words"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    rows = rows.withColumn("lines", lines).withColumn("hashes", repeated_words(F.col("words"), F.col("n_words")))
+    rows = with_window_hashes(rows.withColumn("lines", lines), "words", "n_words", "hashes")
     rows = rows.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint")).withColumn("n_repeat_words", covered_by_repeats(F.col("hashes")))
-    refs = refs.withColumnRenamed("lang", "ref_lang")
-    rows = rows.join(refs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    own = words.select(F.col("lang").alias("ref_lang"), "ref_words")
+    rows = rows.join(own, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     rows = rows.withColumn("common", F.filter("words", lambda w: F.array_contains(F.col("ref_words"), w)))
     rows = rows.withColumn("counts", F.transform("ref_words", lambda r: F.size(F.filter(F.col("common"), lambda w: w == r))))
     n_chars = sum((F.col(f"n_{n}") for n in NAMES[1:]), F.col(f"n_{NAMES[0]}"))
-    slim = rows.select(
-        "doc_id", "n_words", n_chars.alias("n_chars"), *[F.col(f"n_{n}") for n in NAMES], "n_dup_lines", "n_repeat_words", "ref_classes", "ref_shares", "common_share", "counts",
-        F.coalesce(F.size("common"), F.lit(0)).alias("n_common"))
+    # Texts are read here once; what follows works on these narrow rows.
+    slim = cut(rows.select("doc_id", "lang", "n_words", n_chars.alias("n_chars"), *[F.col(f"n_{n}") for n in NAMES], "n_dup_lines", "n_repeat_words", "counts", F.coalesce(F.size("common"), F.lit(0)).alias("n_common")), "rules-counts")
+    classes = small(class_shares(slim))
+    slim = slim.join(classes.select(F.col("lang").alias("class_lang"), "ref_classes"), F.col("lang").eqNullSafe(F.col("class_lang")), "left")
+    slim = slim.join(words.select(F.col("lang").alias("word_lang"), "ref_shares", "common_share"), F.col("lang").eqNullSafe(F.col("word_lang")), "left")
     share = lambda c, n: F.coalesce(F.try_divide(c.cast("double"), n.cast("double")), F.lit(0.0))
     by_class = distance([share(F.col(f"n_{n}"), F.col("n_chars")) for n in NAMES], [F.get("ref_classes", F.lit(i)) for i in range(len(NAMES))])
     # A histogram of common words, and of how much of the text they are, against the reference's.
