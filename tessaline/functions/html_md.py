@@ -135,7 +135,7 @@ def roots(tree: Node, dialect: Dialect) -> list[Node]:
 
 
 def squeeze(text: str) -> str:
-    return re.sub(r"[ \t\r\n\f\v\xa0]+", " ", text.replace("​", ""))
+    return re.sub(r"[ \t\r\n\f\v\xa0]+", " ", text.replace("\u200b", ""))
 
 
 def code_span(text: str) -> str:
@@ -294,7 +294,7 @@ class Renderer:
         return own[1].lower() if self.dialect.second_class_language and len(own) > 1 and own[0] == "programlisting" else ""
 
     def code(self, n: Node, outer: str = "") -> list[list[str]]:
-        text = n.text().replace("\xa0", " ").replace("​", "")
+        text = n.text().replace("\xa0", " ").replace("\u200b", "")
         return [fence("\n".join(x.rstrip() for x in text.strip("\n").split("\n")), self.language(n) or outer)] if text.strip() else []
 
     def items(self, n: Node, level: int, depth: int = 0) -> list[str]:

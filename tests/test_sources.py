@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessaline.sources import discover as D
-from tessaline.sources import fetch as N
+from tessaline.sources import transport as N
 from tessaline.sources import registry as S
 
 
