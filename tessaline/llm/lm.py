@@ -174,7 +174,7 @@ class MaxEnt:
     def learn(self, value: np.ndarray, form: np.ndarray, own: np.ndarray, bounds: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
         """Adagrad steps over the tokens, batch by batch; squares and touched have an entry for each table row.
 
-        Steps go by blocks of coordinates: each batch moves the rows of one feature, in turn.
+        Each batch moves the rows of all features of both softmaxes.
         """
         known = self.find(value)
         slot = np.where(known >= 0, self.slot[np.maximum(known, 0)], 0) if len(self.slot) else np.zeros(len(value), np.int64)
@@ -187,16 +187,16 @@ class MaxEnt:
             y /= y_sum[:, None]
             z[n, own[s]] -= 1
             y[n, slot[s]] -= 1
-            turn = at // self.shape.batch
-            self._step(at_class[turn % len(at_class)], z, squares, touched)
-            self._step(at_slot[turn % len(at_slot)], y, squares, touched)
+            self._step(at_class, z, squares, touched)
+            self._step(at_slot, y, squares, touched)
 
-    def _step(self, flat: np.ndarray, grad: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
-        """One step for the rows in flat, a row and a gradient for each token."""
+    def _step(self, at: np.ndarray, grad: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
+        """One step for the rows in at (feature, token), with a gradient for each token."""
+        flat = at.ravel()
         order = np.argsort(flat.astype(np.uint16) if self.shape.table_bits <= 16 else flat, kind="stable")  # 16 bits: radix sort
         rows = flat[order]
         first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        total = np.add.reduceat(grad[order], first, axis=0)
+        total = np.add.reduceat(np.take(grad, order % len(grad), axis=0), first, axis=0)
         rows = rows[first]
         squares[rows] += np.einsum("ij,ij->i", total, total)
         new = self.table[rows, : grad.shape[1]] - self.shape.rate * total / np.sqrt(squares[rows] + 1)[:, None]

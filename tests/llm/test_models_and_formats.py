@@ -147,6 +147,20 @@ def test_language_model_is_a_distribution():
     assert total == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize("batch", [7, 4096])
+def test_every_feature_learns_from_every_token(batch):
+    texts = [b"a b c a b d e f g", b"a c e g a b", b"x y z a"] * 5
+    shape = lm.Shape(classes=4, slots=3, table_bits=12, batch=batch)
+    value, form, own, bounds = lm.tokens_of(texts, shape.classes)
+    unique, first, n = np.unique(value, return_index=True, return_counts=True)
+    model = lm.MaxEnt(shape, unique, n, own[first], np.bincount(own[first], weights=n, minlength=4), np.bincount(own[first], minlength=4), int(n.sum()), len(unique))
+    touched = np.zeros(1 << 12)
+    model.learn(value, form, own, bounds, np.zeros(1 << 12), touched)
+    places = model.places(model.rows(value, form, model.find(value), bounds), own)
+    want = sum(np.bincount(rows.ravel(), minlength=1 << 12) for rows in places)
+    assert touched.tolist() == want.tolist()
+
+
 def test_language_model_of_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score_texts(none).count() == 0
