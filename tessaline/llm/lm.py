@@ -7,7 +7,8 @@ frequent words as slots, slot 0 standing for the rest. The probability of a toke
 
 where both softmaxes sum hashed feature weights: the words one, two and three places back (the latter two skip what is
 between) and the pair of the last two. P(word | slot 0) is the smoothed share of the word's count among the class's rest, so
-unseen words have a probability of their class. A context word that is not frequent stands for its form.
+unseen words have a probability of their class. The counts of all pairs of such a word with the word before it, discounted,
+move that share; these pairs are rows in Spark and grow with the corpus. A context word that is not frequent stands for its form.
 
 Counting: tasks count the words of their rows, Spark sums. The counts of the most frequent words, at most `head_words`, go to
 the tasks (a fixed bound); all other words of a text are rows of an equi-join with the whole count table. So no vocabulary is cut.
@@ -32,9 +33,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, fold, mix64, small_batches, words_of
+from .common import chunks, cut, fold, mix64, release, small_batches, words_of
 
 END = np.uint64(0x5BD1E9955BD1E995)
 NONE = np.uint64(0x27D4EB2F165667C5)
@@ -199,8 +201,12 @@ class MaxEnt:
         total = np.add.reduceat(np.take(grad, order % len(grad), axis=0), first, axis=0)
         rows = rows[first]
         squares[rows] += np.einsum("ij,ij->i", total, total)
-        new = self.table[rows, : grad.shape[1]] - self.shape.rate * total / np.sqrt(squares[rows] + 1)[:, None]
-        self.table[rows, : grad.shape[1]] = np.clip(new, -WEIGHT, WEIGHT)
+        total *= (self.shape.rate / np.sqrt(squares[rows] + 1)).astype(np.float32)[:, None]  # in place, in 32 bits
+        new = np.take(self.table, rows, axis=0)
+        part = new[:, : grad.shape[1]]
+        part -= total
+        np.clip(part, -WEIGHT, WEIGHT, out=part)
+        self.table[rows] = new
         touched[rows] += np.diff(np.concatenate((first, [len(flat)])))
 
 
@@ -317,11 +323,70 @@ def train(docs: DataFrame, shape: Shape) -> tuple[DataFrame, MaxEnt]:
     vocab, model = vocabulary(docs, shape)
     for k in range(shape.rounds):
         train_round(docs.filter(F.pmod(F.xxhash64("t"), F.lit(shape.rounds)) == k), model)
+        release(docs.sparkSession)
     return vocab, model
 
 
+#: Taken off each pair's count and given to what did not follow in training.
+DISCOUNT = 0.75
+
+
+def rest_words(docs: DataFrame, vocab: DataFrame, model: MaxEnt, shared) -> DataFrame:
+    """(key, own, b, w, c): a row for each token of docs (doc_id, t, learn) whose slot is 0.
+
+    own is its class, b the word before, w the word, both by place in the head or else by hash; c its count, -1 - count where
+    the text is not learned from. Words outside the head find their counts in a join with the whole count table.
+    """
+
+    def run(head: bool):
+        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = shared.value
+            for batch in batches:
+                at = 0
+                for part in chunks([t or b"" for t in batch.column(1).to_pylist()], len):
+                    value, _, classes, bounds = tokens_of(part, own.shape.classes)
+                    known = own.find(value)
+                    slot = np.where(known >= 0, own.slot[np.maximum(known, 0)], 0) if len(own.slot) else np.zeros(len(value), np.int64)
+                    name = np.where(known >= 0, known, value.view(np.int64))
+                    before = np.concatenate(([NONE.view(np.int64)], name[:-1]))
+                    before[bounds[:-1]] = NONE.view(np.int64)
+                    take = np.flatnonzero((slot == 0) & ((known >= 0) == head))
+                    rows = slice(at, at + len(part))
+                    text = np.searchsorted(bounds, take, side="right") - 1
+                    learn = batch.column(2)[rows].to_numpy(zero_copy_only=False)[text]
+                    c = own.counts[known[take]].astype(np.int64) if head else np.zeros(len(take), np.int64)
+                    columns = (np.asarray(batch.column(0)[rows])[text], classes[take].astype(np.int32), before[take], name[take], np.where(learn, c, -1 - c))
+                    for k in range(0, len(take), 1 << 16):
+                        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + (1 << 16)]) for x in columns], names=["key", "own", "b", "w", "c"])
+                    at += len(part)
+
+        return emit
+
+    texts = docs.select(F.xxhash64("doc_id", "t").alias("key"), "t", "learn")
+    schema = "key long, own int, b long, w long, c long"
+    known = vocab.select(F.col("h").alias("g"), F.col("c").alias("times"))
+    times = F.coalesce("times", F.lit(0))
+    tails = texts.mapInArrow(run(False), schema).join(known, F.col("w") == F.col("g"), "left")
+    return texts.mapInArrow(run(True), schema).unionByName(tails.select("key", "own", "b", "w", F.when(F.col("c") >= 0, times).otherwise(-1 - times).alias("c")))
+
+
+def pair_gains(rows: DataFrame, rest: list[float]) -> DataFrame:
+    """(pair_key, gain): by key, the sum of log10 P(word | slot 0, word before) / P(word | slot 0) over rows of rest_words.
+
+    n is how often the word came in training after the same word, of n_all of its class and k kinds. The discounted counts
+    and the share p, weighted by what was taken off, sum to one over the class: (n - d) / n_all + d * k / n_all * p.
+    """
+    pair, context = W.partitionBy("b", "own", "w"), W.partitionBy("b", "own")
+    learned = F.when(F.col("c") >= 0, 1).otherwise(0)
+    counted = rows.repartition("b", "own").withColumn("n", F.sum(learned).over(pair))
+    counted = counted.withColumns({"n_all": F.sum(learned).over(context), "k": F.round(F.sum(F.when(F.col("c") >= 0, 1 / F.col("n")).otherwise(0.0)).over(context))})
+    p = (F.greatest("c", -1 - F.col("c")) + 0.5) / F.get(F.array(*[F.lit(float(x)) for x in rest]), F.col("own"))
+    gain = F.when(F.col("n_all") > 0, F.log10((F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / p + DISCOUNT * F.col("k")) / F.col("n_all"))).otherwise(0.0)
+    return counted.groupBy(F.col("key").alias("pair_key")).agg(F.sum(gain).alias("gain"))
+
+
 def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of docs (doc_id, t)."""
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of docs (doc_id, t, learn)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -330,7 +395,7 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
         base = own.base(own.counts)
         for batch in batches:
             at = 0
-            for part in chunks([t or b"" for t in batch.column(2).to_pylist()], len):
+            for part in chunks([t or b"" for t in batch.column(3).to_pylist()], len):
                 value, form, classes, bounds = tokens_of(part, own.shape.classes)
                 logs, known = own.logs(value, form, classes, bounds)
                 inside = known >= 0
@@ -347,12 +412,12 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (h[first].view(np.int64), times, classes[out][order][first].astype(np.int32))]
                 rows = slice(at, at + len(part))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], batch.column(1)[rows], pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), *lists],
-                    names=["uid", "doc_id", "n_tokens", "head_known", "head_base", "head_score", "h", "n", "own"])
+                    [batch.column(0)[rows], batch.column(1)[rows], batch.column(2)[rows], pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), *lists],
+                    names=["uid", "key", "doc_id", "n_tokens", "head_known", "head_base", "head_score", "h", "n", "own"])
                 at += len(part)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "t")
-    heads = cut(rows.mapInArrow(run, f"uid long, doc_id {kind}, n_tokens long, head_known long, head_base double, head_score double, h array<long>, n array<int>, own array<int>"), "lm-heads")
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.xxhash64("doc_id", "t").alias("key"), "doc_id", "t")
+    heads = cut(rows.mapInArrow(run, f"uid long, key long, doc_id {kind}, n_tokens long, head_known long, head_base double, head_score double, h array<long>, n array<int>, own array<int>"), "lm-heads")
     tails = heads.select("uid", F.explode(F.arrays_zip("h", "n", "own")).alias("e")).select("uid", "e.h", "e.n", "e.own")
     rest = docs.sparkSession.createDataFrame([(k, float(x)) for k, x in enumerate(model.rest)], "k int, rest double")  # a row for each class
     known = vocab.select(F.col("h").alias("g"), "c")
@@ -362,11 +427,13 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known"),
         F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(model.total + 0.5 * (model.kinds + 1)))).alias("base"),
         F.sum(F.col("n") * F.log10((c + 0.5) / F.col("rest"))).alias("rest_score"))
-    out = heads.select("uid", "doc_id", "n_tokens", "head_known", "head_base", "head_score").join(sums, F.col("uid") == F.col("u"), "left")
+    out = heads.select("uid", "key", "doc_id", "n_tokens", "head_known", "head_base", "head_score").join(sums, F.col("uid") == F.col("u"), "left")
+    # Rows with the same id and text share a key, and its gain is the sum of theirs.
+    out = out.join(pair_gains(rest_words(docs, vocab, model, shared), model.rest.tolist()), F.col("key") == F.col("pair_key"), "left").withColumn("same", F.count("*").over(W.partitionBy("key")))
     zero = lambda x: F.coalesce(F.col(x), F.lit(0))
     return out.select(
         "doc_id", "n_tokens", (F.col("head_known") + zero("known")).cast("bigint").alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("head_base") + zero("base")).alias("base_score"), (F.col("head_score") + zero("rest_score")).alias("score"))
+        (F.col("head_base") + zero("base")).alias("base_score"), (F.col("head_score") + zero("rest_score") + zero("gain") / F.col("same")).alias("score"))
 
 
 def score_texts(docs: DataFrame, shape: Shape | None = None, id_col: str = "doc_id", text_col: str = "text", held_out: tuple[int, int] = (5, 1)) -> DataFrame:
@@ -375,5 +442,5 @@ def score_texts(docs: DataFrame, shape: Shape | None = None, id_col: str = "doc_
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
     vocab, model = train(rows.filter(fold(F.col("doc_id"), held_out[0]) != held_out[1]).select("t"), shape)
-    scored = score(rows, vocab, model)
+    scored = score(rows.withColumn("learn", fold(F.col("doc_id"), held_out[0]) != held_out[1]), vocab, model)
     return scored.select("doc_id", (fold(F.col("doc_id"), held_out[0]) == held_out[1]).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -161,6 +161,30 @@ def test_every_feature_learns_from_every_token(batch):
     assert touched.tolist() == want.tolist()
 
 
+def test_words_outside_the_slots_know_the_word_before(spark):
+    """Thousands of pairs, in a model whose table has 16 rows: what was seen in training beats the same words crossed."""
+    ids = [i for i in range(9000) if not held_out(i, 5, 1)][:3000]
+    asked = [i for i in range(9000) if held_out(i, 5, 1)][:600]
+    pairs = [(i, f"le{k}ft ri{k}ght") for k, i in enumerate(ids)] + [(i, f"le{k}ft ri{k + m % 2}ght") for m, (k, i) in enumerate(zip(range(0, 3000, 5), asked, strict=True))]
+    docs = spark.createDataFrame(pairs * 2, "doc_id long, text string")  # every row twice: the same score for both
+    got = lm.score_texts(docs, lm.Shape(table_bits=4, context_words=2, slots=2, head_words=50)).toPandas()
+    assert len(got) == len(pairs) * 2 and got.groupby("doc_id").score.agg(lambda s: s.max() - s.min()).max() < 1e-9
+    score = got.drop_duplicates("doc_id").set_index("doc_id").score
+    assert score[asked[0::2]].mean() > score[asked[1::2]].mean() + 1
+
+
+def test_gains_of_pairs_sum_to_one(spark):
+    count = {1: 50, 2: 20, 3: 20, 4: 8}
+    rest = sum(count.values()) + 0.5 * len(count)
+    share = {w: (c + 0.5) / rest for w, c in count.items()}
+    seen = [(7, 1)] * 3 + [(7, 2)] + [(8, 4)] * 2
+    rows = [(n, 0, b, w, count[w]) for n, (b, w) in enumerate(seen)] + [(100 * b + w, 0, b, w, -1 - count[w]) for b in (7, 8, 9) for w in share]
+    got = {r["pair_key"]: r["gain"] for r in lm.pair_gains(spark.createDataFrame(rows, "key long, own int, b long, w long, c long"), [rest]).collect()}
+    for b in (7, 8, 9):
+        assert sum(share[w] * 10 ** got[100 * b + w] for w in share) == pytest.approx(1)
+    assert share[1] * 10 ** got[701] == pytest.approx((3 - 0.75) / 4 + 0.75 * 2 / 4 * share[1]) and share[3] * 10 ** got[703] == pytest.approx(0.75 * 2 / 4 * share[3]) and got[901] == 0
+
+
 def test_language_model_of_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score_texts(none).count() == 0
