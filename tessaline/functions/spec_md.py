@@ -293,13 +293,15 @@ def spec_format(spec: Any) -> str:
     """'openapi', 'swagger', 'postman', 'discovery', 'vendor' or 'unknown', by keys."""
     if not isinstance(spec, dict):
         return "vendor" if isinstance(spec, list) and spec and isinstance(spec[0], dict) and "requestType" in spec[0] else "unknown"
+    if "apiList" in spec and "content" in spec:
+        return "vendor"
     if spec.get("swagger"):
         return "swagger"
     if spec.get("openapi") or "paths" in spec:
         return "openapi"
     if spec.get("kind") == "discovery#restDescription":
         return "discovery"
-    return "postman" if isinstance(spec.get("item"), list) else "vendor" if "requestType" in json.dumps(spec)[:100_000] else "unknown"
+    return "postman" if isinstance(spec.get("item"), list) else "vendor" if "requestType" in json.dumps(spec) else "unknown"
 
 
 def vendor_document(e: dict, sample_limit: int = 3000) -> str:
