@@ -105,23 +105,25 @@ def batches(df: DataFrame, key: str, order: str, size: int) -> DataFrame:
     return df.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(key).orderBy(order)) - 1) / size).cast("bigint"))
 
 
-def decollided(df: DataFrame, group: str, name: str, order: str, out: str = "unique_name", rounds: int = 20) -> DataFrame:
+def decollided(df: DataFrame, group: str, name: str, order: str, out: str = "unique_name") -> DataFrame:
     """Names made unique within group: the first keeps its name, further ones get -2, -3 and so on.
 
-    A made name may be somebody's own; such rows count on until no name occurs twice.
+    A made name may be somebody's own; numbers that are taken so are passed over, however many they are.
     """
-    owners = df.select(F.col(group).alias("__g"), F.col(name).alias("__n")).distinct()
     now = df.withColumn("__try", F.row_number().over(W.partitionBy(group, name).orderBy(order)))
-    made = lambda: F.when(F.col("__try") == 1, F.col(name)).otherwise(F.concat_ws("-", name, F.col("__try").cast("string")))
-    for _ in range(rounds):
-        now = now.withColumn(out, made())
-        taken = now.join(owners, F.col(group).eqNullSafe(F.col("__g")) & (F.col(out) == F.col("__n")) & (F.col("__try") > 1), "left").withColumn("__hit", F.col("__n").isNotNull()).drop("__g", "__n")
-        if taken.filter("__hit").limit(1).count() == 0:
-            break
-        # Everybody behind a hit row of the same base counts on by one.
-        shift = F.sum(F.when(F.col("__hit"), 1).otherwise(0)).over(W.partitionBy(group, name).orderBy(order).rowsBetween(W.unboundedPreceding, 0))
-        now = taken.withColumn("__try", F.col("__try") + shift).drop("__hit", out)
-    return now.drop("__try")
+    # Numbers taken of each base; a null base makes names of a number alone.
+    number = r"[1-9][0-9]{0,17}"
+    own, plain = rf"(?s)\A(.*)-({number})\z", rf"\A({number})\z"
+    base = F.when(F.rlike(name, F.lit(own)), F.regexp_extract(name, own, 1))
+    value = F.when(F.rlike(name, F.lit(own)), F.regexp_extract(name, own, 2)).when(F.rlike(name, F.lit(plain)), F.col(name)).cast("bigint")
+    taken = df.select(group, base.alias(name), value.alias("__value")).filter("__value >= 2").distinct()
+    # Free numbers below each taken one, and before each row's: the rows that follow a taken number go one further for it.
+    below = F.col("__value") - 1 - F.row_number().over(W.partitionBy(group, name).orderBy("__value"))
+    both = now.withColumn("__free", (F.col("__try") - 2).cast("bigint")).withColumn("__taken", F.lit(0)).unionByName(
+        taken.select(group, name, below.alias("__free"), F.lit(1).alias("__taken")), allowMissingColumns=True)
+    passed = F.sum("__taken").over(W.partitionBy(group, name).orderBy("__free", F.desc("__taken")).rowsBetween(W.unboundedPreceding, 0))
+    made = F.when(F.col("__try") == 1, F.col(name)).otherwise(F.concat_ws("-", name, (F.col("__try") + F.col("__passed")).cast("string")))
+    return both.withColumn("__passed", passed).filter("__taken = 0").withColumn(out, made).select(*df.columns, out)
 
 
 def ranked_by(value: Column | str, ranking: Sequence[str]) -> Column:

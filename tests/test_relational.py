@@ -67,6 +67,14 @@ def test_names_made_unique_even_where_a_made_name_is_taken(spark):
     assert got == {1: "x", 2: "x-3", 3: "x-2", 4: "x-4", 5: "x"}
 
 
+def test_names_made_unique_beside_long_runs_of_taken_names(spark):
+    names = ["x", "x", *[f"x-{k}" for k in range(2, 40)], "x", "x-41", "x", "x", "x-2", "x-07", None, None, "2"]
+    df = spark.createDataFrame([("g", n, o) for o, n in enumerate(names)], "g string, n string, o int")
+    got = {r["o"]: r["unique_name"] for r in R.decollided(df, "g", "n", "o").collect()}
+    assert len(got) == len(names) == len(set(got.values()))
+    assert (got[0], got[1], got[40], got[42], got[43], got[44], got[46], got[47]) == ("x", "x-40", "x-42", "x-43", "x-44", "x-2-2", None, "3")
+
+
 def test_graph_with_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y"), ("b", None)], "src string, dst string")
     roots = spark.createDataFrame([("a",)], "node string")
