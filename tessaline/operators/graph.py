@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +11,15 @@ from pyspark.sql import functions as F
 from ..plans.store import cut_here
 
 
-def reachable(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, depth) of every node reachable from roots over edges (src, dst), with the smallest depth.
 
-    Breadth first: each round joins the frontier alone and leaves out what was seen, so cycles end. Rounds are cut in durable
-    files; the driver sees counts.
+    Breadth first: each round joins the frontier alone and leaves out what was seen, so cycles end; rounds
+    go on until the frontier is empty. They are cut in durable files; the driver sees counts.
     """
     seen = cut_here(roots.select(F.col(roots.columns[0]).alias("node")).distinct().withColumn("depth", F.lit(0)))
     frontier = seen
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         step = edges.join(frontier, edges["src"] == frontier["node"]).select(F.col("dst").alias("node")).filter("node IS NOT NULL").distinct()
         frontier = cut_here(step.join(seen.select(F.col("node").alias("__seen")), F.col("node") == F.col("__seen"), "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
@@ -70,16 +71,17 @@ def chained(start: DataFrame, *steps: tuple[DataFrame, str, str]) -> DataFrame:
     return out
 
 
-def flattened(nodes: DataFrame, key: str = "id", parent: str = "parent", name: str = "name", max_depth: int = 100) -> DataFrame:
-    """(key, depth, path): each node of a forest with the names from its root down."""
-    level = nodes.filter(F.col(parent).isNull()).select(F.col(key).alias("__id"), F.lit(0).alias("depth"), F.array(name).alias("path"))
+def flattened(nodes: DataFrame, key: str = "id", parent: str = "parent", name: str = "name") -> DataFrame:
+    """(key, depth, path): each node of a forest with the names from its root down. No node comes below itself, so cycles end."""
+    level = nodes.filter(F.col(parent).isNull()).select(F.col(key).alias("__id"), F.lit(0).alias("depth"), F.array(name).alias("path"), F.array(key).alias("__ids"))
     level = out = cut_here(level)
-    for depth in range(1, max_depth + 1):
-        level = cut_here(nodes.join(level, nodes[parent] == level["__id"]).select(nodes[key].alias("__id"), F.lit(depth).alias("depth"), F.array_append("path", nodes[name]).alias("path")))
+    for depth in count(1):
+        below = nodes.join(level, (nodes[parent] == level["__id"]) & ~F.coalesce(F.array_contains("__ids", nodes[key]), F.lit(False)))
+        level = cut_here(below.select(nodes[key].alias("__id"), F.lit(depth).alias("depth"), F.array_append("path", nodes[name]).alias("path"), F.array_append("__ids", nodes[key]).alias("__ids")))
         if level.isEmpty():
             break
         out = cut_here(out.unionByName(level))
-    return out.withColumnRenamed("__id", key)
+    return out.drop("__ids").withColumnRenamed("__id", key)
 
 
 def derived_parents(paths: DataFrame, column: str = "path", wanted: Sequence[int] = ()) -> DataFrame:

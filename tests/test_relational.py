@@ -86,6 +86,31 @@ def test_graph_with_cycles(spark):
     assert rows(G.reachable_sql(spark, "e", "r"), "node", "depth") == [("a", 0), ("b", 1), ("c", 2)]
 
 
+def test_graph_loops_have_no_last_round(spark, monkeypatch):
+    chain = spark.createDataFrame([(k, k - 1 if k else None, f"n{k}") for k in range(104)] + [(0, 1, "again")], "id int, parent int, name string").coalesce(1)
+    got = {r["id"]: (r["depth"], len(r["path"])) for r in G.flattened(chain).collect()}
+    assert got == {k: (k, k + 1) for k in range(104)}
+    # A frontier that is never empty before round 1,003: no cut, and no Spark job, in between.
+    class Rounds:
+        n = 0
+
+        def __getattr__(self, _):
+            return lambda *a, **k: self
+
+        def __getitem__(self, _):
+            return F.lit(0)
+
+        def isEmpty(self):
+            Rounds.n += 1
+            return Rounds.n == 1003
+
+    monkeypatch.setattr(G, "cut_here", lambda df: df)
+    fake = Rounds()
+    fake.columns = ["node"]
+    G.reachable(fake, fake)
+    assert Rounds.n == 1003
+
+
 def test_fingerprints_do_not_depend_on_order(spark):
     a = spark.createDataFrame([("s", 1, "x"), ("s", 2, None)], "s string, n int, v string")
     b = a.orderBy(F.desc("n")).repartition(3)
