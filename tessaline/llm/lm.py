@@ -5,8 +5,8 @@ frequent words as slots, slot 0 standing for the rest. The probability of a toke
 
     P(class | context) * P(slot | class, context) * P(word | slot)
 
-where both softmaxes sum hashed feature weights: the words one, two and three places back (the latter two skip what is
-between) and the pair of the last two. P(word | slot 0) is the smoothed share of the word's count among the class's rest, so
+where both softmaxes sum hashed feature weights: the class softmax those of the words one, two and three places back (the
+latter two skip what is between) and of the pair of the last two, the slot softmax those of the words one and two back. P(word | slot 0) is the smoothed share of the word's count among the class's rest, so
 unseen words have a probability of their class. The counts of all pairs of such a word with the word before it, discounted,
 move that share; these pairs are rows in Spark and grow with the corpus. A context word that is not frequent stands for its form.
 
