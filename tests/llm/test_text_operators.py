@@ -151,6 +151,68 @@ def test_repeats_of_odd_inputs(spark):
     assert cut == "a"
 
 
+def brute_passages(texts, threshold):
+    """Bytes from the first to the last word of each run of words that is covered by passages of that many words that recur."""
+    words = [[(m.group().translate(LOWER), len(t[: m.start()].encode()), len(t[: m.end()].encode())) for m in WORD.finditer(t)] for t in texts]
+    seen = defaultdict(list)
+    for i, w in enumerate(words):
+        for j in range(len(w) - threshold + 1):
+            seen[tuple(x[0] for x in w[j : j + threshold])].append((i, j))
+    on = [[False] * (len(w) + 1) for w in words]
+    for found in seen.values():
+        for i, j in found if len(found) > 1 else ():
+            on[i][j : j + threshold] = [True] * threshold
+    for t, w, o in zip(texts, words, on, strict=True):
+        kept, at = t.encode(), 0
+        parts, start = [], None
+        for j, hit in enumerate(o):
+            if hit and start is None:
+                start = j
+            if not hit and start is not None:
+                parts.append(kept[at : w[start][1]])
+                at, start = w[j - 1][2], None
+        yield b"".join([*parts, kept[at:]])
+
+
+def test_passages_of_words_against_brute_force(spark):
+    rnd = random.Random(3)
+    blocks = [[rnd.choice(["Éa", "b", "cc", "d-d", "😀"]) + str(rnd.randint(0, 9)) for _ in range(30)] for _ in range(4)]
+    texts = ["", "one", "a " * 40, " ".join(blocks[0]), "\n".join(blocks[0]).upper()]
+    for _ in range(30):
+        parts = []
+        for _ in range(rnd.randint(0, 4)):
+            b, a = rnd.choice(blocks), rnd.randrange(30)
+            parts += b[a : a + rnd.randint(1, 20)] if rnd.random() < 0.6 else [f"u{rnd.random()}" for _ in range(rnd.randint(0, 9))]
+        texts.append(rnd.choice([" ", "\n", " \t"]).join(parts))
+    got = {r["doc_id"]: bytes(r["kept_bytes"]) for r in suffix.remove_repeats(frame(spark, texts), threshold=7, words=True).collect()}
+    beside = {r["doc_id"]: r["n_passage_bytes"] for r in suffix.remove_repeats(frame(spark, texts), passages=7).collect()}
+    for i, want in enumerate(brute_passages(texts, 7)):
+        assert (got[i], beside[i]) == (want, len(texts[i].encode()) - len(want)), i
+
+
+def test_repeats_of_a_whole_table_against_brute_force(spark):
+    folder = SMALL.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in queries.op3_suffix_array_dedup(spark, folder).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    data = [(r["text"] or "").encode() for r in rows]
+    for r, t, c in zip(rows, data, brute_repeats(data, 400), strict=True):
+        assert got[r["doc_id"]] == (sum(c), sum(1 for j in range(len(t)) if c[j] and (j == 0 or not c[j - 1]))), r["doc_id"]
+
+
+def test_long_texts_are_ranked_in_segments(monkeypatch):
+    rnd = random.Random(1)
+    texts = [bytes(rnd.randrange(256) for _ in range(n)) for n in (5, 40, 400, 39, 1000)]
+    units, bounds = suffix.units_of(texts, False)
+    monkeypatch.setattr(suffix, "SEGMENT", 70)
+    windows = set()
+    for part, own, i, a in suffix._segments(units, bounds, 40):
+        assert len(part) <= 70 + 39
+        for t, _, _, at, lo, hi in zip(*suffix.anchors(part, own, 40), strict=True):
+            windows |= {(int(t + i), int(a + at - o)) for o in range(lo, hi + 1)}
+    assert windows == {(i, j) for i, t in enumerate(texts) for j in range(len(t) - 39)}
+
+
 # ---------------------------------------------------------------- decontamination
 
 ITEM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
