@@ -14,6 +14,10 @@ from tessaline.llm import decontam, mixing, simhash, suffix, toxicity
 from tessaline.llm.common import new_path, table
 
 
+#: Words of the shortest passage that the stage `repeats` cuts out.
+PASSAGE_WORDS = 50
+
+
 def _text_key() -> Column:
     return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
 
@@ -30,9 +34,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings that occur twice or more go; of a character cut in two, the rest goes too. Emptied documents stay."""
+    """Passages of PASSAGE_WORDS words or more that occur twice or more go, all of them. Emptied documents stay.
+
+    The length is in words, whose number of bytes differs by language: a passage of fifty words has some 130 to 450 bytes.
+    """
     columns = docs.columns
-    cut = suffix.remove_repeats(docs)
+    cut = suffix.remove_repeats(docs, threshold=PASSAGE_WORDS, words=True)
     text = F.when(F.col("n_removed") == 0, F.col("kept_bytes").cast("string")).otherwise(suffix.decoded(F.col("kept_bytes")))
     out = cut.withColumn("text", text)
     if "n_chars" in columns:
