@@ -9,7 +9,7 @@ from tessaline.llm import mixing, toxicity
 from tessaline.llm.common import table
 
 from ..conftest import SMALL
-from .test_text_operators import brute_components, brute_contamination, brute_fingerprint, brute_repeats
+from .test_text_operators import brute_components, brute_contamination, brute_fingerprint, brute_passages
 
 
 def test_stages_against_brute_force(spark, tmp_path):
@@ -33,8 +33,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert sorted(kept.doc_id) == sorted(source.doc_id[r] for r in set(roots))
 
     source, kept = seen["repeats"]
-    data = [t.encode() for t in source.text]
-    want = {i: bytes(b for b, on in zip(t, c, strict=True) if not on).decode("utf-8", "ignore") for i, t, c in zip(source.doc_id, data, brute_repeats(data, 400), strict=True)}
+    want = {i: left.decode() for i, left in zip(source.doc_id, brute_passages(list(source.text), corpus_pipeline.PASSAGE_WORDS), strict=True)}
     assert dict(zip(kept.doc_id, kept.text, strict=True)) == want and (kept.n_chars == kept.text.map(len)).all()
 
     source, kept = seen["decontamination"]
