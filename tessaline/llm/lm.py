@@ -1,23 +1,25 @@
 """Hashed maximum-entropy language model.
 
-Every token has a class by its form (its last bytes; the end of a text is a class of its own), and each class has its most
-frequent words as slots, slot 0 standing for the rest. The probability of a token in context is
+Every token has a class by its form (its last bytes; the end of a text is a class of its own). Within a class, words are
+leaves of a tree by frequency: at each node a word takes one of 32 branches, the more frequent words after one or two steps,
+all others of the head after three. Branch 0 of a class stands for its words outside the head. The probability in context is
 
-    P(class | context) * P(slot | class, context) * P(word | slot)
+    P(class | context) * product over the path of P(branch | node, context) * P(word | branch 0)
 
-where both softmaxes sum hashed feature weights: the class softmax those of the words one, two and three places back (the
-latter two skip what is between) and of the pair of the last two, the slot softmax those of the words one and two back. P(word | slot 0) is the smoothed share of the word's count among the class's rest, so
-unseen words have a probability of their class. The counts of all pairs of such a word with the word before it, discounted,
-move that share; these pairs are rows in Spark and grow with the corpus. A context word that is not frequent stands for its form.
+where each softmax sums hashed feature weights: the class softmax those of the words one, two and three places back (the
+latter two skip what is between) and of the pair of the last two; the softmaxes of the nodes those of the words one and two
+back. P(word | branch 0) is the smoothed share of the word's count among the class's rest, so unseen words have a probability
+of their class. A context word that is not frequent stands for its form.
 
 Counting: tasks count the words of their rows, Spark sums. The counts of the most frequent words, at most `head_words`, go to
 the tasks (a fixed bound); all other words of a text are rows of an equi-join with the whole count table. So no vocabulary is cut.
-Words are known by 64-bit hashes.
+Words are known by 64-bit hashes. The tree and the weight table grow with the vocabulary that was counted, up to their bounds.
 
-Training: one pass over all training texts in `rounds` parts. In each, tasks start from the same weights, make mini-batch
-Adagrad steps on their rows, and give back each table row's change and how often it was touched; sums by blocks of rows,
-salted first, streamed and not collected, give the mean change of each row by touches. The driver holds the table only,
-whose size is a parameter.
+Training: one pass over all training texts. Texts are dealt by their hash to shards, whose number follows the number of tokens,
+and shards to rounds, more of them the more shards there are. In a round each shard starts from the same weights, makes
+mini-batch Adagrad steps on its texts, in order of their hashes, and gives back each table row's change and how often it was
+touched. Sums by blocks of rows, salted first, streamed in order and not collected, give the mean change of each row by
+touches. So neither the partitions of the input nor lost executors change the model. The driver holds the table only.
 
 Scoring: tokens of many texts make one batch of sparse feature rows in numpy.
 
@@ -33,7 +35,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import chunks, cut, fold, mix64, release, small_batches, words_of
@@ -42,19 +43,24 @@ END = np.uint64(0x5BD1E9955BD1E995)
 NONE = np.uint64(0x27D4EB2F165667C5)
 #: Bound of a weight: four of them and a bias at most zero stay within the exponentials of 32-bit floats.
 WEIGHT = 18.0
+#: Branches of a node; of the first 16 each (in a class, those after branch 0) is a word, the others lead on.
+WIDTH, LEAVES = 32, 16
 
 
 @dataclass
 class Shape:
-    classes: int = 48
-    slots: int = 32
-    table_bits: int = 15
-    batch: int = 4096
-    rate: float = 0.6
+    #: WIDTH at most.
+    classes: int = WIDTH
+    table_bits: int = 18
+    batch: int = 1024
+    rate: float = 0.8
     head_words: int = 1 << 18
-    context_words: int = 1 << 13
-    rounds: int = 2
-    slot_features: int = 2
+    context_words: int = 1 << 14
+    node_features: int = 2
+    #: Tokens of a shard: at most shard_tokens, but at least spread_tokens where that takes more than spread shards.
+    shard_tokens: int = 1 << 22
+    spread_tokens: int = 1 << 16
+    spread: int = 32
 
 
 def tokens_of(texts: list[bytes], classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,33 +106,62 @@ class Lookup:
         return out
 
 
+def paths(rank: np.ndarray) -> np.ndarray:
+    """Branches (three columns, -1: none) of words by their place in the class; 0, -1, -1 where the tree has no more room."""
+    out = np.full((len(rank), 3), -1, np.int64)
+    out[:, 0] = 0
+    far = WIDTH - LEAVES
+    one = rank < LEAVES - 1
+    out[one, 0] = rank[one] + 1
+    r = rank - (LEAVES - 1)
+    two = ~one & (r < far * LEAVES)
+    out[two, 0], out[two, 1] = LEAVES + r[two] // LEAVES, r[two] % LEAVES
+    r = r - far * LEAVES
+    three = (r >= 0) & (r < far * far * WIDTH)
+    node = r[three] // WIDTH
+    out[three, 0], out[three, 1], out[three, 2] = LEAVES + node // far, LEAVES + node % far, r[three] % WIDTH
+    return out
+
+
 class MaxEnt:
     """Weights and vocabulary of the model. All arrays have a size that the shape bounds."""
 
     def __init__(self, shape: Shape, hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray, rest_count: np.ndarray, rest_kinds: np.ndarray, total: int, kinds: int):
         """hashes, counts, classes: the head, most frequent first; rest_*: sums of each class over the whole vocabulary."""
         self.shape, self.hashes, self.counts, self.classes, self.total, self.kinds = shape, hashes, counts.astype(np.float64), classes, total, kinds
-        self.slot = np.zeros(len(hashes), np.int64)
-        slot_count = np.zeros((shape.classes, shape.slots))
-        taken = np.zeros(shape.classes, np.int64)
-        rest_count, rest_kinds = rest_count.astype(np.float64), rest_kinds.astype(np.float64)
-        for i, (own, n) in enumerate(zip(classes.tolist(), counts.tolist(), strict=True)):
-            if taken[own] < shape.slots - 1 and n > 1:
-                taken[own] += 1
-                self.slot[i] = taken[own]
-                slot_count[own, taken[own]] = n
-                rest_count[own] -= n
-                rest_kinds[own] -= 1
-        slot_count[:, 0] = rest_count
-        self.rest = rest_count + 0.5 * (rest_kinds + 1)
-        used = np.arange(shape.slots)[None, :] <= taken[:, None]
-        self.slot_bias = np.where(used, np.log(slot_count + 0.5), -1e4).astype(np.float32)
-        self.slot_bias -= self.slot_bias.max(axis=1, keepdims=True)
-        self.class_bias = np.log(slot_count.sum(axis=1) + 0.5).astype(np.float32)
-        self.class_bias -= self.class_bias.max()
-        self.table = np.zeros((1 << shape.table_bits, max(shape.classes, shape.slots)), np.float32)
+        order = np.argsort(classes, kind="stable")
+        rank = np.empty(len(hashes), np.int64)
+        rank[order] = np.arange(len(hashes)) - np.searchsorted(classes[order], classes[order])
+        self.path = paths(np.where(counts > 1, rank, 1 << 40))
+        far, c = WIDTH - LEAVES, shape.classes
+        inside = self.path[:, 0] > 0
+        kept = [np.bincount(classes[inside], w, c) for w in (self.counts[inside], np.ones(int(inside.sum())))]
+        rest_count = rest_count.astype(np.float64) - kept[0]
+        self.rest = rest_count + 0.5 * (rest_kinds - kept[1] + 1)
+        # Counts of the branches of all nodes, level by level: classes, their groups, the groups' groups.
+        nodes, self.bias = classes, []
+        for level in range(3):
+            take = self.path[:, level] >= 0
+            sums = np.zeros((c * far**level, WIDTH))
+            np.add.at(sums, (nodes[take], self.path[take, level]), self.counts[take])
+            if not level:
+                sums[:, 0] = rest_count
+            used = sums > 0
+            used[:, 0] |= level == 0
+            self.bias.append(self._scaled(sums, used))
+            nodes = nodes * far + np.maximum(0, self.path[:, level] - LEAVES)
+        whole = rest_count + kept[0]
+        self.class_bias = self._scaled(np.pad(whole, (0, WIDTH - c))[None, :], np.arange(WIDTH)[None, :] < c)
+        bits = min(shape.table_bits, max(12, int(kinds).bit_length() - 1))
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros((1 << bits, WIDTH), np.float32)
         self.find = Lookup(hashes)
 
+    @staticmethod
+    def _scaled(sums: np.ndarray, used: np.ndarray) -> np.ndarray:
+        bias = np.where(used, np.log(sums + 0.5), -1e4).astype(np.float32)
+        return bias - bias.max(axis=1, keepdims=True)
+
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.total + 0.5 * (self.kinds + 1)))
 
@@ -138,76 +173,87 @@ class MaxEnt:
         pair = mix64(back[0] * np.uint64(0x9E3779B97F4A7C15) + back[1])
         return np.stack([mix64(f + np.uint64((k + 1) * 0xA0761D6478BD642F % (1 << 64))) for k, f in enumerate((*back, pair))])
 
-    def places(self, features: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Table rows for the class softmax and for the slot softmax of class own."""
-        shift = np.uint64(64 - self.shape.table_bits)
-        salted = (features ^ ((own.astype(np.uint64) + np.uint64(1)) * np.uint64(0xE7037ED1A0B428DB))) * np.uint64(0x9E3779B97F4A7C15)
-        return (features >> shift).astype(np.int64), (salted[: self.shape.slot_features] >> shift).astype(np.int64)
-
-    def logits(self, features: np.ndarray, own: np.ndarray) -> tuple:
-        """Table rows and exponentials of both softmaxes, with their sums."""
-        at_class, at_slot = self.places(features, own)
-        out = []
-        for rows, bias, width in ((at_class, self.class_bias, self.shape.classes), (at_slot, np.take(self.slot_bias, own, axis=0), self.shape.slots)):
-            x = np.take(self.table, rows[0], axis=0, mode="clip")
-            for row in rows[1:]:
-                x += np.take(self.table, row, axis=0, mode="clip")
-            x = x[:, :width] if width < x.shape[1] else x
+    def route(self, known: np.ndarray) -> np.ndarray:
+        """Branches of each token; words outside the head take branch 0 of their class."""
+        if not len(self.path):
+            return np.broadcast_to(np.array([0, -1, -1]), (len(known), 3))
+        return np.where((known >= 0)[:, None], self.path[np.maximum(known, 0)], np.array([0, -1, -1]))
+
+    def softmaxes(self, features: np.ndarray, own: np.ndarray, path: np.ndarray):
+        """For the classes and each level of nodes: (tokens, table rows by feature, exponentials, their sums, branch taken)."""
+        far, tokens, node = WIDTH - LEAVES, np.arange(len(own)), own
+        for level in range(-1, 3):
+            if not len(tokens):
+                return
+            if level < 0:
+                at, bias, taken = (features >> self.shift).astype(np.int64), self.class_bias, own
+            else:
+                salt = (node.astype(np.uint64) * np.uint64(4) + np.uint64(level + 1)) * np.uint64(0xE7037ED1A0B428DB)
+                at = (((features[: self.shape.node_features, tokens] ^ salt) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+                bias, taken = np.take(self.bias[level], node, axis=0), path[tokens, level]
+            x = np.take(self.table, at[0], axis=0)
+            for row in at[1:]:
+                x += np.take(self.table, row, axis=0)
             x += bias
             np.exp(x, out=x)  # in range: weights are bounded, the largest bias of a row is zero
-            out += [x, x @ np.ones(width, np.float32)]
-        return at_class, at_slot, *out
+            yield tokens, at, x, x @ np.ones(WIDTH, np.float32), taken
+            if level >= 0:
+                on = taken >= LEAVES
+                tokens, node = tokens[on], (node * far + taken - LEAVES)[on]
 
     def logs(self, value: np.ndarray, form: np.ndarray, own: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 probability, index in the head) of each token; words outside the head lack their share of slot 0."""
+        """(log10 probability, index in the head) of each token; words outside the head lack their share of branch 0."""
         known = self.find(value)
-        slot = np.where(known >= 0, self.slot[np.maximum(known, 0)], 0) if len(self.slot) else np.zeros(len(value), np.int64)
+        path = self.route(known)
         features = self.rows(value, form, known, bounds)
         out = np.zeros(len(value))
         for at in range(0, len(value), self.shape.batch):
             s = slice(at, at + self.shape.batch)
-            _, _, z, z_sum, y, y_sum = self.logits(features[:, s], own[s])
-            n = np.arange(len(z))
-            out[s] = np.log10(np.maximum(z[n, own[s]] / z_sum, 1e-30) * np.maximum(y[n, slot[s]] / y_sum, 1e-30).astype(np.float64))
-        inside = (known >= 0) & (slot == 0)
+            for tokens, _, x, total, taken in self.softmaxes(features[:, s], own[s], path[s]):
+                out[at + tokens] += np.log10(np.maximum(x[np.arange(len(tokens)), taken] / total, 1e-30).astype(np.float64))
+        inside = (known >= 0) & (path[:, 0] == 0)
         out[inside] += np.log10((self.counts[known[inside]] + 0.5) / self.rest[own[inside]])
         return out, known
 
     def learn(self, value: np.ndarray, form: np.ndarray, own: np.ndarray, bounds: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
-        """Adagrad steps over the tokens, batch by batch; squares and touched have an entry for each table row.
+        """Adagrad steps over the tokens, batch by batch, of the rows of all features of all softmaxes.
 
-        Each batch moves the rows of all features of both softmaxes.
+        squares and touched have an entry for each table row.
         """
         known = self.find(value)
-        slot = np.where(known >= 0, self.slot[np.maximum(known, 0)], 0) if len(self.slot) else np.zeros(len(value), np.int64)
+        path = self.route(known)
         features = self.rows(value, form, known, bounds)
         for at in range(0, len(value), self.shape.batch):
             s = slice(at, at + self.shape.batch)
-            at_class, at_slot, z, z_sum, y, y_sum = self.logits(features[:, s], own[s])
-            n = np.arange(len(z))
-            z /= z_sum[:, None]
-            y /= y_sum[:, None]
-            z[n, own[s]] -= 1
-            y[n, slot[s]] -= 1
-            self._step(at_class, z, squares, touched)
-            self._step(at_slot, y, squares, touched)
-
-    def _step(self, at: np.ndarray, grad: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
-        """One step for the rows in at (feature, token), with a gradient for each token."""
-        flat = at.ravel()
-        order = np.argsort(flat.astype(np.uint16) if self.shape.table_bits <= 16 else flat, kind="stable")  # 16 bits: radix sort
-        rows = flat[order]
+            rows, grads, of, n = [], [], [], 0
+            for tokens, places, x, total, taken in self.softmaxes(features[:, s], own[s], path[s]):
+                x /= total[:, None]
+                x[np.arange(len(tokens)), taken] -= 1
+                rows.append(places.ravel())
+                of.append(np.tile(np.arange(n, n + len(tokens)), len(places)))
+                grads.append(x)
+                n += len(tokens)
+            self._step(np.concatenate(rows), np.concatenate(of), np.concatenate(grads), squares, touched)
+
+    def _step(self, rows: np.ndarray, of: np.ndarray, grads: np.ndarray, squares: np.ndarray, touched: np.ndarray) -> None:
+        """One step for the table rows, each with the gradients that `of` names."""
+        key = np.sort((rows << 32) | np.arange(len(rows)))  # row above, place below: a plain sort of integers is the fastest
+        rows, order = key >> 32, key & 0xFFFFFFFF
         first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        total = np.add.reduceat(np.take(grad, order % len(grad), axis=0), first, axis=0)
+        times = np.diff(np.concatenate((first, [len(rows)])))
+        total = np.take(grads, of[order[first]], axis=0)
+        several = times > 1  # most rows come once: only the others are summed
+        if several.any():
+            part = np.take(grads, of[order[np.repeat(several, times)]], axis=0)
+            total[several] = np.add.reduceat(part, np.cumsum(times[several]) - times[several], axis=0)
         rows = rows[first]
         squares[rows] += np.einsum("ij,ij->i", total, total)
         total *= (self.shape.rate / np.sqrt(squares[rows] + 1)).astype(np.float32)[:, None]  # in place, in 32 bits
         new = np.take(self.table, rows, axis=0)
-        part = new[:, : grad.shape[1]]
-        part -= total
-        np.clip(part, -WEIGHT, WEIGHT, out=part)
+        new -= total
+        np.clip(new, -WEIGHT, WEIGHT, out=new)
         self.table[rows] = new
-        touched[rows] += np.diff(np.concatenate((first, [len(flat)])))
+        touched[rows] += times
 
 
 BLOCK = 256
@@ -268,125 +314,94 @@ def vocabulary(docs: DataFrame, shape: Shape) -> tuple[DataFrame, MaxEnt]:
     return vocab, model
 
 
-def gather(changes: DataFrame, salts: int = 16) -> DataFrame:
-    """Sum (block, touched array<double>, change binary) by block: streamed in two levels, a running sum for each block."""
+_CHANGES = "block int, salt int, shard int, touched binary, change binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for block, touched, change in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                t, c = np.array(touched), np.frombuffer(change, np.float32)
-                if block in sums:
-                    sums[block][0] += t
-                    sums[block][1] += c
-                else:
-                    sums[block] = [t, c.copy()]
-        if sums:
-            yield _blocks([(b, *v) for b, v in sorted(sums.items())])
 
-    schema = "block int, touched array<double>, change binary"
-    salted = changes.repartition("block", "salt").select("block", "touched", "change").mapInArrow(run, schema)
-    return salted.repartition("block").mapInArrow(run, schema)
+def _blocks(rows: list[tuple]) -> pa.RecordBatch:
+    """(block, salt, shard, touched, mean change): the change in half precision."""
+    block, salt, shard, touched, change = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int32()) for x in (block, salt, shard)], pa.array([x.astype(np.float32).tobytes() for x in touched], pa.binary()), pa.array([x.astype(np.float16).tobytes() for x in change], pa.binary())], names=["block", "salt", "shard", "touched", "change"])
 
 
-def _blocks(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.float64())), pa.array([r[2].tobytes() for r in rows], pa.binary())], names=["block", "touched", "change"])
+def gather(changes: DataFrame) -> DataFrame:
+    """The mean change of each block's rows by touches: streamed in two levels in order, a running sum for each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, touched, total = None, None, None
+        mean = lambda: _blocks([(*own, 0, touched, total / np.maximum(touched, 1)[:, None])])
+        for batch in batches:
+            for block, salt, _, times, change in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                t = np.frombuffer(times, np.float32).astype(np.float64)
+                c = np.frombuffer(change, np.float16).reshape(len(t), -1) * t[:, None]
+                if own == (block, salt):
+                    touched, total = touched + t, total + c
+                    continue
+                if own:
+                    yield mean()
+                own, touched, total = (block, salt), t, c
+        if own:
+            yield mean()
+
+    level = lambda rows, *keys: rows.repartition(*keys).sortWithinPartitions("block", "salt", "shard").mapInArrow(run, _CHANGES)
+    return level(level(changes, "block", "salt").withColumns({"shard": F.col("salt"), "salt": F.lit(0)}), "block")
 
 
 def train_round(docs: DataFrame, model: MaxEnt) -> None:
-    """One round of local steps on docs (t), and the mean of their changes into the model's table."""
+    """One round of steps on docs (shard, place, t), shard by shard, and the mean of their changes into the model's table."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = shared.value
         own = MaxEnt.__new__(MaxEnt)
-        own.__dict__ = dict(start.__dict__, table=start.table.copy())
-        squares, touched = np.zeros(len(own.table)), np.zeros(len(own.table))
-        for batch in batches:
-            for part in chunks([t or b"" for t in batch.column(0).to_pylist()], len):
-                own.learn(*tokens_of(part, own.shape.classes), squares, touched)
-        change = (own.table - start.table) * touched[:, None].astype(np.float32)
-        for b in np.unique(np.flatnonzero(touched) // BLOCK).tolist():
-            s = slice(b * BLOCK, (b + 1) * BLOCK)
-            yield _blocks([(b, touched[s], change[s])])
-
-    changes = docs.select("t").mapInArrow(run, "block int, touched array<double>, change binary").withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
-    for row in gather(changes).toArrow().to_pylist():
+        at, held, size = None, [], 0
+
+        def begin():
+            own.__dict__ = dict(start.__dict__, table=start.table.copy())
+            return np.zeros(len(own.table)), np.zeros(len(own.table))
+
+        def end():
+            own.learn(*tokens_of(held, own.shape.classes), squares, touched)
+            for b in np.unique(np.flatnonzero(touched) // BLOCK).tolist():
+                s = slice(b * BLOCK, (b + 1) * BLOCK)
+                yield _blocks([(b, at % 16, at, touched[s], own.table[s] - start.table[s])])
+
+        for batch in batches:  # steps fall on the same texts however Arrow cuts the batches
+            for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if shard != at:
+                    if at is not None:
+                        yield from end()
+                    at, held, size = shard, [], 0
+                    squares, touched = begin()
+                held.append(text or b"")
+                size += len(held[-1])
+                if size >= 1 << 21:
+                    own.learn(*tokens_of(held, own.shape.classes), squares, touched)
+                    held, size = [], 0
+        if at is not None:
+            yield from end()
+
+    changes = docs.repartition("shard").sortWithinPartitions("shard", "place").select("shard", "t").mapInArrow(run, _CHANGES)
+    for row in gather(changes).select("block", "change").toArrow().to_pylist():  # the table, in half precision
         s = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
-        touched = np.maximum(np.array(row["touched"]), 1)[:, None]
-        model.table[s] += np.frombuffer(row["change"], np.float32).reshape(-1, model.table.shape[1]) / touched
+        model.table[s] += np.frombuffer(row["change"], np.float16).reshape(-1, WIDTH)
     shared.destroy()
 
 
 def train(docs: DataFrame, shape: Shape) -> tuple[DataFrame, MaxEnt]:
-    """Count all words of docs (t), then train on all of its rows, a part in each round."""
+    """Count all words of docs (doc_id, t), then train on all of its rows, a part in each round."""
     vocab, model = vocabulary(docs, shape)
-    for k in range(shape.rounds):
-        train_round(docs.filter(F.pmod(F.xxhash64("t"), F.lit(shape.rounds)) == k), model)
+    shards = max(1, min(shape.spread, -(-model.total // shape.spread_tokens)), -(-model.total // shape.shard_tokens))
+    rounds = min(shards, 2 + max(0, (shards // shape.spread).bit_length() // 2))
+    place = F.xxhash64("doc_id", "t")
+    rows = docs.select(F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.xxhash64("t", "doc_id").alias("place"), "t")
+    for k in range(rounds):
+        train_round(rows.filter(F.col("shard") % rounds == k), model)
         release(docs.sparkSession)
     return vocab, model
 
 
-#: Taken off each pair's count and given to what did not follow in training.
-DISCOUNT = 0.75
-
-
-def rest_words(docs: DataFrame, vocab: DataFrame, model: MaxEnt, shared) -> DataFrame:
-    """(key, own, b, w, c): a row for each token of docs (doc_id, t, learn) whose slot is 0.
-
-    own is its class, b the word before, w the word, both by place in the head or else by hash; c its count, -1 - count where
-    the text is not learned from. Words outside the head find their counts in a join with the whole count table.
-    """
-
-    def run(head: bool):
-        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            for batch in batches:
-                at = 0
-                for part in chunks([t or b"" for t in batch.column(1).to_pylist()], len):
-                    value, _, classes, bounds = tokens_of(part, own.shape.classes)
-                    known = own.find(value)
-                    slot = np.where(known >= 0, own.slot[np.maximum(known, 0)], 0) if len(own.slot) else np.zeros(len(value), np.int64)
-                    name = np.where(known >= 0, known, value.view(np.int64))
-                    before = np.concatenate(([NONE.view(np.int64)], name[:-1]))
-                    before[bounds[:-1]] = NONE.view(np.int64)
-                    take = np.flatnonzero((slot == 0) & ((known >= 0) == head))
-                    rows = slice(at, at + len(part))
-                    text = np.searchsorted(bounds, take, side="right") - 1
-                    learn = batch.column(2)[rows].to_numpy(zero_copy_only=False)[text]
-                    c = own.counts[known[take]].astype(np.int64) if head else np.zeros(len(take), np.int64)
-                    columns = (np.asarray(batch.column(0)[rows])[text], classes[take].astype(np.int32), before[take], name[take], np.where(learn, c, -1 - c))
-                    for k in range(0, len(take), 1 << 16):
-                        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + (1 << 16)]) for x in columns], names=["key", "own", "b", "w", "c"])
-                    at += len(part)
-
-        return emit
-
-    texts = docs.select(F.xxhash64("doc_id", "t").alias("key"), "t", "learn")
-    schema = "key long, own int, b long, w long, c long"
-    known = vocab.select(F.col("h").alias("g"), F.col("c").alias("times"))
-    times = F.coalesce("times", F.lit(0))
-    tails = texts.mapInArrow(run(False), schema).join(known, F.col("w") == F.col("g"), "left")
-    return texts.mapInArrow(run(True), schema).unionByName(tails.select("key", "own", "b", "w", F.when(F.col("c") >= 0, times).otherwise(-1 - times).alias("c")))
-
-
-def pair_gains(rows: DataFrame, rest: list[float]) -> DataFrame:
-    """(pair_key, gain): by key, the sum of log10 P(word | slot 0, word before) / P(word | slot 0) over rows of rest_words.
-
-    n is how often the word came in training after the same word, of n_all of its class and k kinds. The discounted counts
-    and the share p, weighted by what was taken off, sum to one over the class: (n - d) / n_all + d * k / n_all * p.
-    """
-    pair, context = W.partitionBy("b", "own", "w"), W.partitionBy("b", "own")
-    learned = F.when(F.col("c") >= 0, 1).otherwise(0)
-    counted = rows.repartition("b", "own").withColumn("n", F.sum(learned).over(pair))
-    counted = counted.withColumns({"n_all": F.sum(learned).over(context), "k": F.round(F.sum(F.when(F.col("c") >= 0, 1 / F.col("n")).otherwise(0.0)).over(context))})
-    p = (F.greatest("c", -1 - F.col("c")) + 0.5) / F.get(F.array(*[F.lit(float(x)) for x in rest]), F.col("own"))
-    gain = F.when(F.col("n_all") > 0, F.log10((F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / p + DISCOUNT * F.col("k")) / F.col("n_all"))).otherwise(0.0)
-    return counted.groupBy(F.col("key").alias("pair_key")).agg(F.sum(gain).alias("gain"))
-
-
 def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of docs (doc_id, t, learn)."""
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of docs (doc_id, t)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -395,7 +410,7 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
         base = own.base(own.counts)
         for batch in batches:
             at = 0
-            for part in chunks([t or b"" for t in batch.column(3).to_pylist()], len):
+            for part in chunks([t or b"" for t in batch.column(2).to_pylist()], len):
                 value, form, classes, bounds = tokens_of(part, own.shape.classes)
                 logs, known = own.logs(value, form, classes, bounds)
                 inside = known >= 0
@@ -412,12 +427,12 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (h[first].view(np.int64), times, classes[out][order][first].astype(np.int32))]
                 rows = slice(at, at + len(part))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], batch.column(1)[rows], batch.column(2)[rows], pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), *lists],
-                    names=["uid", "key", "doc_id", "n_tokens", "head_known", "head_base", "head_score", "h", "n", "own"])
+                    [batch.column(0)[rows], batch.column(1)[rows], pa.array(np.diff(bounds)), pa.array(sums[2]), pa.array(sums[0]), pa.array(sums[1]), *lists],
+                    names=["uid", "doc_id", "n_tokens", "head_known", "head_base", "head_score", "h", "n", "own"])
                 at += len(part)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.xxhash64("doc_id", "t").alias("key"), "doc_id", "t")
-    heads = cut(rows.mapInArrow(run, f"uid long, key long, doc_id {kind}, n_tokens long, head_known long, head_base double, head_score double, h array<long>, n array<int>, own array<int>"), "lm-heads")
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "t")
+    heads = cut(rows.mapInArrow(run, f"uid long, doc_id {kind}, n_tokens long, head_known long, head_base double, head_score double, h array<long>, n array<int>, own array<int>"), "lm-heads")
     tails = heads.select("uid", F.explode(F.arrays_zip("h", "n", "own")).alias("e")).select("uid", "e.h", "e.n", "e.own")
     rest = docs.sparkSession.createDataFrame([(k, float(x)) for k, x in enumerate(model.rest)], "k int, rest double")  # a row for each class
     known = vocab.select(F.col("h").alias("g"), "c")
@@ -427,13 +442,11 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("known"),
         F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(model.total + 0.5 * (model.kinds + 1)))).alias("base"),
         F.sum(F.col("n") * F.log10((c + 0.5) / F.col("rest"))).alias("rest_score"))
-    out = heads.select("uid", "key", "doc_id", "n_tokens", "head_known", "head_base", "head_score").join(sums, F.col("uid") == F.col("u"), "left")
-    # Rows with the same id and text share a key, and its gain is the sum of theirs.
-    out = out.join(pair_gains(rest_words(docs, vocab, model, shared), model.rest.tolist()), F.col("key") == F.col("pair_key"), "left").withColumn("same", F.count("*").over(W.partitionBy("key")))
+    out = heads.select("uid", "doc_id", "n_tokens", "head_known", "head_base", "head_score").join(sums, F.col("uid") == F.col("u"), "left")
     zero = lambda x: F.coalesce(F.col(x), F.lit(0))
     return out.select(
         "doc_id", "n_tokens", (F.col("head_known") + zero("known")).cast("bigint").alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("head_base") + zero("base")).alias("base_score"), (F.col("head_score") + zero("rest_score") + zero("gain") / F.col("same")).alias("score"))
+        (F.col("head_base") + zero("base")).alias("base_score"), (F.col("head_score") + zero("rest_score")).alias("score"))
 
 
 def score_texts(docs: DataFrame, shape: Shape | None = None, id_col: str = "doc_id", text_col: str = "text", held_out: tuple[int, int] = (5, 1)) -> DataFrame:
@@ -441,6 +454,6 @@ def score_texts(docs: DataFrame, shape: Shape | None = None, id_col: str = "doc_
     shape = shape or Shape()
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("t"))
-    vocab, model = train(rows.filter(fold(F.col("doc_id"), held_out[0]) != held_out[1]).select("t"), shape)
-    scored = score(rows.withColumn("learn", fold(F.col("doc_id"), held_out[0]) != held_out[1]), vocab, model)
+    vocab, model = train(rows.filter(fold(F.col("doc_id"), held_out[0]) != held_out[1]), shape)
+    scored = score(rows, vocab, model)
     return scored.select("doc_id", (fold(F.col("doc_id"), held_out[0]) == held_out[1]).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

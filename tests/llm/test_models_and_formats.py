@@ -9,7 +9,7 @@ import random
 import re
 import struct
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -127,13 +127,13 @@ def test_language_model_base_and_gain(spark, head):
 def test_language_model_is_a_distribution():
     """Over all known words, and one unknown for each class, the probabilities in any context sum to one."""
     texts = [b"a b c a b d e f g", b"a c e g a b", b"x y z a"] * 5
-    shape = lm.Shape(classes=4, slots=3, table_bits=6, batch=7)
+    shape = lm.Shape(classes=4, table_bits=12, batch=7)
     value, form, own, bounds = lm.tokens_of(texts, shape.classes)
     unique, first, n = np.unique(value, return_index=True, return_counts=True)
     order = np.lexsort((unique, -n))
     counts, kinds = np.bincount(own[first], weights=n, minlength=4), np.bincount(own[first], minlength=4)
     model = lm.MaxEnt(shape, unique[order], n[order], own[first][order], counts, kinds, int(n.sum()), len(unique))
-    model.learn(value, form, own, bounds, np.zeros(64), np.zeros(64))
+    model.learn(value, form, own, bounds, np.zeros(1 << 12), np.zeros(1 << 12))
     assert np.abs(model.table).max() > 0
     total = 0.0
     for k in range(len(unique)):
@@ -150,39 +150,105 @@ def test_language_model_is_a_distribution():
 @pytest.mark.parametrize("batch", [7, 4096])
 def test_every_feature_learns_from_every_token(batch):
     texts = [b"a b c a b d e f g", b"a c e g a b", b"x y z a"] * 5
-    shape = lm.Shape(classes=4, slots=3, table_bits=12, batch=batch)
+    shape = lm.Shape(classes=4, table_bits=12, batch=batch)
     value, form, own, bounds = lm.tokens_of(texts, shape.classes)
     unique, first, n = np.unique(value, return_index=True, return_counts=True)
     model = lm.MaxEnt(shape, unique, n, own[first], np.bincount(own[first], weights=n, minlength=4), np.bincount(own[first], minlength=4), int(n.sum()), len(unique))
     touched = np.zeros(1 << 12)
     model.learn(value, form, own, bounds, np.zeros(1 << 12), touched)
-    places = model.places(model.rows(value, form, model.find(value), bounds), own)
-    want = sum(np.bincount(rows.ravel(), minlength=1 << 12) for rows in places)
-    assert touched.tolist() == want.tolist()
-
-
-def test_words_outside_the_slots_know_the_word_before(spark):
-    """Thousands of pairs, in a model whose table has 16 rows: what was seen in training beats the same words crossed."""
-    ids = [i for i in range(9000) if not held_out(i, 5, 1)][:3000]
-    asked = [i for i in range(9000) if held_out(i, 5, 1)][:600]
-    pairs = [(i, f"le{k}ft ri{k}ght") for k, i in enumerate(ids)] + [(i, f"le{k}ft ri{k + m % 2}ght") for m, (k, i) in enumerate(zip(range(0, 3000, 5), asked, strict=True))]
-    docs = spark.createDataFrame(pairs * 2, "doc_id long, text string")  # every row twice: the same score for both
-    got = lm.score_texts(docs, lm.Shape(table_bits=4, context_words=2, slots=2, head_words=50)).toPandas()
-    assert len(got) == len(pairs) * 2 and got.groupby("doc_id").score.agg(lambda s: s.max() - s.min()).max() < 1e-9
-    score = got.drop_duplicates("doc_id").set_index("doc_id").score
-    assert score[asked[0::2]].mean() > score[asked[1::2]].mean() + 1
-
-
-def test_gains_of_pairs_sum_to_one(spark):
-    count = {1: 50, 2: 20, 3: 20, 4: 8}
-    rest = sum(count.values()) + 0.5 * len(count)
-    share = {w: (c + 0.5) / rest for w, c in count.items()}
-    seen = [(7, 1)] * 3 + [(7, 2)] + [(8, 4)] * 2
-    rows = [(n, 0, b, w, count[w]) for n, (b, w) in enumerate(seen)] + [(100 * b + w, 0, b, w, -1 - count[w]) for b in (7, 8, 9) for w in share]
-    got = {r["pair_key"]: r["gain"] for r in lm.pair_gains(spark.createDataFrame(rows, "key long, own int, b long, w long, c long"), [rest]).collect()}
-    for b in (7, 8, 9):
-        assert sum(share[w] * 10 ** got[100 * b + w] for w in share) == pytest.approx(1)
-    assert share[1] * 10 ** got[701] == pytest.approx((3 - 0.75) / 4 + 0.75 * 2 / 4 * share[1]) and share[3] * 10 ** got[703] == pytest.approx(0.75 * 2 / 4 * share[3]) and got[901] == 0
+    known = model.find(value)
+    places = [at for _, at, *_ in model.softmaxes(model.rows(value, form, known, bounds), own, model.route(known))]
+    assert [len(x) for x in places] == [4, 2]
+    assert touched.tolist() == sum(np.bincount(rows.ravel(), minlength=1 << 12) for rows in places).tolist()
+
+
+def test_paths_are_one_for_each_word():
+    rank = np.arange(lm.LEAVES - 1 + 16 * (16 + 16 * 32) + 3)
+    found = [tuple(x) for x in lm.paths(rank).tolist()]
+    assert found[-3:] == [(0, -1, -1)] * 3 and len(set(found)) == len(found) - 2
+    for one, two, three in found[:-3]:
+        assert (two >= 0) == (one >= lm.LEAVES) and (three >= 0) == (two >= lm.LEAVES)
+
+
+def brute_scores(texts, train_texts, model):
+    """log10 probabilities from the model's table alone: vocabulary, tree, features and softmaxes made anew, token by token."""
+    shape, tail = model.shape, int(lm.NONE)
+    mix = lambda x: int(lm.mix64(np.array([x % (1 << 64)], np.uint64))[0])
+
+    def tokens(text):
+        value, form, own, _ = lm.tokens_of([text.encode()], shape.classes)
+        return list(zip(value.tolist(), form.tolist(), own.tolist(), strict=True))
+
+    counts = Counter(t for text in train_texts for t in tokens(text))
+    order = sorted(counts, key=lambda t: (-counts[t], t[0] - (1 << 64) * (t[0] >> 63)))
+    path, place = {}, Counter()
+    for t in order:
+        r, c = place[t[2]], t[2]
+        if counts[t] == 1:
+            path[t] = [0]
+            continue
+        place[c] += 1
+        if r < 15:
+            path[t] = [r + 1]
+        elif r < 15 + 256:
+            path[t] = [16 + (r - 15) // 16, (r - 15) % 16]
+        else:
+            node = (r - 271) // 32
+            path[t] = [16 + node // 16, 16 + node % 16, (r - 271) % 32]
+    below = defaultdict(Counter)  # counts of the branches of each node, a node being its class and the branches that lead there
+    for t, way in path.items():
+        for k, branch in enumerate(way):
+            below[(t[2], *way[:k])][branch] += counts[t]
+    own_total = Counter()
+    for t, n in counts.items():
+        own_total[t[2]] += n
+    bits = min(shape.table_bits, max(12, len(counts).bit_length() - 1))
+    assert len(model.table) == 1 << bits
+    context = {t[0] for t in order[: shape.context_words]}
+
+    def softmax(features, bias):
+        x = {b: math.exp(w + sum(float(model.table[f >> (64 - bits)][b]) for f in features)) for b, w in bias.items()}
+        return {b: v / sum(x.values()) for b, v in x.items()}
+
+    for text in texts:
+        total, back = 0.0, [tail] * 3
+        for t in tokens(text):
+            features = [mix(f + (k + 1) * 0xA0761D6478BD642F % (1 << 64)) for k, f in enumerate((*back, mix(back[0] * 0x9E3779B97F4A7C15 + back[1])))]
+            top = softmax(features, {c: math.log(own_total[c] + 0.5) for c in range(shape.classes)})
+            total += math.log10(top[t[2]])
+            node = t[2]
+            for k, branch in enumerate(path.get(t, [0])):
+                salt = (node * 4 + k + 1) * 0xE7037ED1A0B428DB % (1 << 64)
+                here = dict(below[(t[2], *path.get(t, [0])[:k])])
+                if k == 0:
+                    here.setdefault(0, 0)
+                total += math.log10(softmax([(f ^ salt) * 0x9E3779B97F4A7C15 % (1 << 64) for f in features[:2]], {b: math.log(n + 0.5) for b, n in here.items()})[branch])
+                node = node * 16 + branch - 16
+            if path.get(t, [0]) == [0]:
+                rest = [u for u in counts if u[2] == t[2] and path[u] == [0]]
+                total += math.log10((counts[t] + 0.5) / (sum(counts[u] for u in rest) + 0.5 * (len(rest) + 1)))
+            back = [t[0] if t[0] in context else t[1], *back[:2]]
+        yield total
+
+
+def test_scores_against_brute_force(spark):
+    rnd = np.random.default_rng(5)
+    words = [f"{k}{'abc'[k % 3]}n" for k in range(1500)]
+    texts = [" ".join(words[int(k)] for k in 1500 * rnd.random(int(rnd.integers(1, 120))) ** 3) for _ in range(200)] + ["", "never seen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string").select("doc_id", F.col("t").cast("binary").alias("t"))
+    shape = lm.Shape(classes=5, context_words=40, spread_tokens=1000)
+    vocab, model = lm.train(docs.filter("doc_id % 4 > 0"), shape)
+    assert np.abs(model.table).max() > 0.1
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, vocab, model).collect()}
+    for i, want in enumerate(brute_scores(texts, [t for i, t in enumerate(texts) if i % 4], model)):
+        assert got[i] == pytest.approx(want, rel=1e-4), i
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    shape = lm.Shape(spread_tokens=5000)
+    one, other = (lm.score_texts(docs.repartition(n, "text"), shape).toPandas().set_index("doc_id").score.sort_index() for n in (2, 7))
+    assert np.abs(one - other).max() < 1e-9 * np.abs(one).max()
 
 
 def test_language_model_of_empty_tables(spark):
