@@ -320,27 +320,40 @@ _CHANGES = "block int, salt int, shard int, touched binary, change binary"
 
 
 def _blocks(rows: list[tuple]) -> pa.RecordBatch:
-    """(block, salt, shard, touched, mean change): touched has the touches and the shards of each row; the change has half precision."""
+    """(block, salt, shard, touched, mean change): touched has the touches of all rows, then their shards. The change of a row is
+    a scale in half precision and a byte for each weight."""
     block, salt, shard, touched, change = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int32()) for x in (block, salt, shard)], pa.array([x.astype(np.float32).tobytes() for x in touched], pa.binary()), pa.array([x.astype(np.float16).tobytes() for x in change], pa.binary())], names=["block", "salt", "shard", "touched", "change"])
+    data = []
+    for x in change:
+        scale = (np.abs(x).max(axis=1) / 127).astype(np.float16)
+        scale[scale == 0] = 1
+        data.append(scale.tobytes() + np.clip(np.rint(x / scale[:, None].astype(np.float32)), -127, 127).astype(np.int8).tobytes())
+    return pa.RecordBatch.from_arrays([*[pa.array(x, pa.int32()) for x in (block, salt, shard)], pa.array([x.astype(np.float32).tobytes() for x in touched], pa.binary()), pa.array(data, pa.binary())], names=["block", "salt", "shard", "touched", "change"])
+
+
+def _read(touched: bytes, change: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(touches, shards, mean change) of a block's rows."""
+    touches, shards = np.frombuffer(touched, np.float32).reshape(2, -1).astype(np.float64)
+    n = len(touches)
+    return touches, shards, np.frombuffer(change, np.int8, offset=2 * n).reshape(n, WIDTH) * np.frombuffer(change, np.float16, n).astype(np.float64)[:, None]
 
 
 def gather(changes: DataFrame) -> DataFrame:
     """The mean change of each block's rows by touches: streamed in two levels in order, a running sum for each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, touched, total = None, None, None
-        mean = lambda: _blocks([(*own, 0, touched, total / np.maximum(touched[:, :1], 1))])
+        own, touches, shards, total = None, None, None, None
+        mean = lambda: _blocks([(*own, 0, np.stack((touches, shards)), total / np.maximum(touches, 1)[:, None])])
         for batch in batches:
             for block, salt, _, times, change in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                t = np.frombuffer(times, np.float32).reshape(-1, 2).astype(np.float64)
-                c = np.frombuffer(change, np.float16).reshape(len(t), -1) * t[:, :1]
+                n, k, c = _read(times, change)
+                c *= n[:, None]
                 if own == (block, salt):
-                    touched, total = touched + t, total + c
+                    touches, shards, total = touches + n, shards + k, total + c
                     continue
                 if own:
                     yield mean()
-                own, touched, total = (block, salt), t, c
+                own, touches, shards, total = (block, salt), n, k, c
         if own:
             yield mean()
 
@@ -348,8 +361,9 @@ def gather(changes: DataFrame) -> DataFrame:
     return level(level(changes, "block", "salt").withColumns({"shard": F.col("salt"), "salt": F.lit(0)}), "block")
 
 
-def train_round(docs: DataFrame, model: MaxEnt) -> None:
+def train_round(docs: DataFrame, model: MaxEnt, shards: int, rounds: int) -> None:
     """One round of steps on docs (shard, place, t), shard by shard, and the mean of their changes into the model's table."""
+    salts = max(1, int((shards / rounds) ** 0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +379,7 @@ def train_round(docs: DataFrame, model: MaxEnt) -> None:
             own.learn(*tokens_of(held, own.shape.classes), squares, touched)
             for b in np.unique(np.flatnonzero(touched) // BLOCK).tolist():
                 s = slice(b * BLOCK, (b + 1) * BLOCK)
-                yield _blocks([(b, at % 16, at, np.column_stack((touched[s], touched[s] > 0)), own.table[s] - start.table[s])])
+                yield _blocks([(b, at // rounds % salts, at, np.stack((touched[s], touched[s] > 0)), own.table[s] - start.table[s])])
 
         for batch in batches:  # steps fall on the same texts however Arrow cuts the batches
             for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -383,12 +397,12 @@ def train_round(docs: DataFrame, model: MaxEnt) -> None:
             yield from end()
 
     changes = docs.repartition("shard").sortWithinPartitions("shard", "place").select("shard", "t").mapInArrow(run, _CHANGES)
-    for row in gather(changes).select("block", "touched", "change").toArrow().to_pylist():  # the table, in half precision
+    for row in gather(changes).select("block", "touched", "change").toArrow().to_pylist():  # the table, a byte for a weight
         s = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
-        touches, shards = np.frombuffer(row["touched"], np.float32).reshape(-1, 2).T
+        touches, shared_by, change = _read(row["touched"], row["change"])
         # A mean of steps is shorter than their path. Rows of few touches a shard, far from done, move further.
-        more = 1 + (np.minimum(np.sqrt(np.maximum(shards, 1)), FURTHER) - 1) * np.exp(-touches / np.maximum(shards, 1) / FEW)
-        model.table[s] = np.clip(model.table[s] + np.frombuffer(row["change"], np.float16).reshape(-1, WIDTH) * more[:, None], -WEIGHT, WEIGHT)
+        more = 1 + (np.minimum(np.sqrt(np.maximum(shared_by, 1)), FURTHER) - 1) * np.exp(-touches / np.maximum(shared_by, 1) / FEW)
+        model.table[s] = np.clip(model.table[s] + change * more[:, None], -WEIGHT, WEIGHT)
     shared.destroy()
 
 
@@ -400,7 +414,7 @@ def train(docs: DataFrame, shape: Shape) -> tuple[DataFrame, MaxEnt]:
     place = F.xxhash64("doc_id", "t")
     rows = docs.select(F.pmod(place, F.lit(shards)).cast("int").alias("shard"), F.xxhash64("t", "doc_id").alias("place"), "t")
     for k in range(rounds):
-        train_round(rows.filter(F.col("shard") % rounds == k), model)
+        train_round(rows.filter(F.col("shard") % rounds == k), model, shards, rounds)
         release(docs.sparkSession)
     return vocab, model
 
