@@ -63,6 +63,10 @@ class Shape:
     spread: int = 32
 
 
+#: Bytes of texts that are taken apart at once: bounds the arrays that tokens need.
+PART = 1 << 19
+
+
 def tokens_of(texts: list[bytes], classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, form, class, bounds): the tokens of all texts, each ended by END; text i has bounds[i]:bounds[i + 1]."""
     hashes, _, _, bounds, form = words_of(texts, forms=True)
@@ -157,6 +161,13 @@ class MaxEnt:
         self.table = np.zeros((1 << bits, WIDTH), np.float32)
         self.find = Lookup(hashes)
 
+    def __getstate__(self) -> dict:
+        """What tasks get: weights in half precision (the model has no finer ones), the index of hashes made anew."""
+        return {k: v for k, v in self.__dict__.items() if k != "find"} | {"table": self.table.astype(np.float16), "path": self.path.astype(np.int8)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = state | {"table": state["table"].astype(np.float32), "path": state["path"].astype(np.int64), "find": Lookup(state["hashes"])}
+
     @staticmethod
     def _scaled(sums: np.ndarray, used: np.ndarray) -> np.ndarray:
         bias = np.where(used, np.log(sums + 0.5), -1e4).astype(np.float32)
@@ -277,7 +288,7 @@ def count_words(texts: DataFrame, classes: int, flush: int = 1 << 20) -> DataFra
             return pa.RecordBatch.from_arrays([pa.array(part[0].view(np.int64)), pa.array(part[1].astype(np.int32)), pa.array(part[2])], names=["h", "own", "n"])
 
         for batch in batches:
-            for part in chunks([t or b"" for t in batch.column(0).to_pylist()], len):
+            for part in chunks([t or b"" for t in batch.column(0).to_pylist()], len, PART):
                 value, _, own, _ = tokens_of(part, classes)
                 unique, first, n = np.unique(value, return_index=True, return_counts=True)
                 kept.append((unique, own[first], n))
@@ -390,7 +401,7 @@ def train_round(docs: DataFrame, model: MaxEnt, shards: int, rounds: int) -> Non
                     squares, touched = begin()
                 held.append(text or b"")
                 size += len(held[-1])
-                if size >= 1 << 21:
+                if size >= PART:
                     own.learn(*tokens_of(held, own.shape.classes), squares, touched)
                     held, size = [], 0
         if at is not None:
@@ -403,6 +414,7 @@ def train_round(docs: DataFrame, model: MaxEnt, shards: int, rounds: int) -> Non
         # A mean of steps is shorter than their path. Rows of few touches a shard, far from done, move further.
         more = 1 + (np.minimum(np.sqrt(np.maximum(shared_by, 1)), FURTHER) - 1) * np.exp(-touches / np.maximum(shared_by, 1) / FEW)
         model.table[s] = np.clip(model.table[s] + change * more[:, None], -WEIGHT, WEIGHT)
+    model.table = model.table.astype(np.float16).astype(np.float32)
     shared.destroy()
 
 
@@ -429,7 +441,7 @@ def score(docs: DataFrame, vocab: DataFrame, model: MaxEnt) -> DataFrame:
         base = own.base(own.counts)
         for batch in batches:
             at = 0
-            for part in chunks([t or b"" for t in batch.column(2).to_pylist()], len):
+            for part in chunks([t or b"" for t in batch.column(2).to_pylist()], len, PART):
                 value, form, classes, bounds = tokens_of(part, own.shape.classes)
                 logs, known = own.logs(value, form, classes, bounds)
                 inside = known >= 0
