@@ -33,73 +33,89 @@ def deref(node: Any, spec: Any, limit: int = 20) -> Any:
     return node if isinstance(node, dict) else {}
 
 
-def merge_all_of(parts: list, spec: Any, seen: frozenset) -> dict:
-    """Properties of all parts, the last of a name; required names once each; references guarded against cycles."""
-    out: dict = {"type": "object", "properties": {}, "required": []}
+def members(parts: list, spec: Any, seen: frozenset) -> Iterator[tuple[dict, frozenset]]:
+    """The schemas that an allOf joins, references followed and nested ones taken apart, each with the references on its way."""
     for part in parts:
         path = seen
         while isinstance(part, dict) and "$ref" in part:
-            if part["$ref"] in path:
-                part = {}
-                break
-            path |= {part["$ref"]}
-            part = resolve_ref(part["$ref"], spec)
-        if not isinstance(part, dict):
-            continue
-        if "allOf" in part:
-            part = {**part, **merge_all_of([*part["allOf"], {k: v for k, v in part.items() if k != "allOf"}], spec, path)}
-        out["properties"] |= part.get("properties") or {}
-        out["required"] = list(dict.fromkeys([*out["required"], *(part.get("required") or [])]))
-    return out
-
-
-def type_text(schema: Any, spec: Any, depth: int = 0, seen: frozenset = frozenset(), max_depth: int = 1, variants: int = 5, values: int = 10) -> str:
-    """A schema as text. Objects to max_depth list their properties, deeper ones their number; cycles say so."""
-    if not isinstance(schema, dict):
-        return "any"
-    again = lambda s, d=depth: type_text(s, spec, d, seen, max_depth, variants, values)
-    if "$ref" in schema:
+            part, path = (resolve_ref(part["$ref"], spec), path | {part["$ref"]}) if part["$ref"] not in path else ({}, path)
+        if isinstance(part, dict):
+            yield from members(part.get("allOf") or [], spec, path)
+            yield {k: v for k, v in part.items() if k != "allOf"}, path
+
+
+def merge_all_of(schema: dict, spec: Any, seen: frozenset) -> tuple[dict, frozenset]:
+    """One schema in place of an allOf: every keyword of all members, the last of a name; properties and required names add up."""
+    out: dict = {}
+    for part, path in members([schema], spec, seen):
+        seen |= path
+        sums = {"properties": {**out.get("properties", {}), **(part.get("properties") or {})}, "required": [*out.get("required", []), *(part.get("required") or [])]}
+        out = {**out, **part, **{k: v for k, v in sums.items() if v}}
+    return out, seen
+
+
+class _Types:
+    """Schemas as text. A renderer for each keyword, in the order in which keywords decide; cycles say so."""
+
+    def __init__(self, spec: Any, max_depth: int, variants: int, values: int):
+        self.spec, self.max_depth, self.variants, self.values = spec, max_depth, variants, values
+
+    def text(self, schema: Any, depth: int, seen: frozenset) -> str:
+        if not isinstance(schema, dict):
+            return "any"
+        if schema.get("allOf"):
+            schema, seen = merge_all_of(schema, self.spec, seen)
+        kind = schema.get("type")
+        name = " | ".join(map(str, kind)) if isinstance(kind, list) else kind
+        deciding = (
+            ("$ref" in schema, self.reference), (schema.get("oneOf"), self.either), (schema.get("anyOf"), self.either), (name == "array" or "items" in schema, self.array),
+            (name == "object" or "properties" in schema or "additionalProperties" in schema, self.object), (name or "enum" in schema, self.value))
+        render = next((f for holds, f in deciding if holds), None)
+        return render(schema, depth, seen) if render else "any"
+
+    def reference(self, schema: dict, depth: int, seen: frozenset) -> str:
         ref = schema["$ref"]
         name = str(ref).rsplit("/", 1)[-1]
         if ref in seen:
             return f"`{name}` (circular reference)"
-        target = resolve_ref(ref, spec)
-        return type_text(target, spec, depth, seen | {ref}, max_depth, variants, values) if target else f"`{name}`"
-    if schema.get("allOf"):
-        extra = {k: v for k, v in schema.items() if k in ("properties", "required")}
-        return again(merge_all_of([*schema["allOf"], extra], spec, seen))
-    for key in ("oneOf", "anyOf"):
-        if schema.get(key):
-            texts = [again(s, depth + 1) for s in schema[key]]
-            more = f" | ... and {len(texts) - variants} more" if len(texts) > variants else ""
-            return "One of: " + " | ".join(texts[:variants]) + more
-    kind = schema.get("type")
-    name = " | ".join(map(str, kind)) if isinstance(kind, list) else kind
-    if name == "array" or "items" in schema:
-        return f"array of {again(schema.get('items') or {}, depth + 1)}"
-    if name == "object" or "properties" in schema or "additionalProperties" in schema:
-        properties = schema.get("properties") or {}
+        target = resolve_ref(ref, self.spec)
+        return self.text(target, depth, seen | {ref}) if target else f"`{name}`"
+
+    def either(self, schema: dict, depth: int, seen: frozenset) -> str:
+        label, options = ("One of", schema["oneOf"]) if schema.get("oneOf") else ("Any of", schema["anyOf"])
+        texts = [self.text(s, depth, seen) for s in options[: self.variants]]
+        more = [f"... and {len(options) - self.variants} more"] if len(options) > self.variants else []
+        return f"{label}: " + " | ".join(texts + more)
+
+    def array(self, schema: dict, depth: int, seen: frozenset) -> str:
+        return f"array of {self.text(schema.get('items') or {}, depth, seen)}"
+
+    def object(self, schema: dict, depth: int, seen: frozenset) -> str:
+        properties, extra = schema.get("properties") or {}, schema.get("additionalProperties")
         if not properties:
-            extra = schema.get("additionalProperties")
-            return f"object (values: {again(extra, depth + 1)})" if isinstance(extra, dict) and extra else "object"
-        if depth > max_depth:
+            return f"object (values: {self.text(extra, depth, seen)})" if isinstance(extra, dict) and extra else "object"
+        if depth > self.max_depth:
             return f"object ({len(properties)} properties)"
-        required = set(schema.get("required") or [])
-        lines = []
-        for prop in sorted(properties):
-            p = properties[prop] if isinstance(properties[prop], dict) else {}
-            note = p.get("description") or deref(p, spec).get("description") or ""
-            lines.append("  " * depth + f"- `{prop}` ({again(p, depth + 1)})" + (" **required**" if prop in required else "") + (f": {one_line(note)}" if note else ""))
-        return "object\n" + "\n".join(lines)
-    if not name and "enum" not in schema:
-        return "any"
-    text = name or "string"
-    if schema.get("format"):
-        text += f" ({schema['format']})"
-    if isinstance(schema.get("enum"), list):
-        own = schema["enum"]
-        text += " - enum: " + ", ".join(f"`{v}`" for v in own[:values]) + (f", ... ({len(own)} total)" if len(own) > values else "")
-    return text
+        lines = ["object"]
+        for name, own in sorted(properties.items()):
+            own = own if isinstance(own, dict) else {}
+            note = one_line(own.get("description") or deref(own, self.spec).get("description"))
+            must = " **required**" if name in (schema.get("required") or []) else ""
+            lines.append(f"{'  ' * depth}- `{name}` ({self.text(own, depth + 1, seen)}){must}" + (f": {note}" if note else ""))
+        return "\n".join(lines)
+
+    def value(self, schema: dict, depth: int, seen: frozenset) -> str:
+        kind, own = schema.get("type"), schema.get("enum")
+        out = (" | ".join(map(str, kind)) if isinstance(kind, list) else kind) or "string"
+        out += f" ({schema['format']})" if schema.get("format") else ""
+        if isinstance(own, list):
+            out += " - enum: " + ", ".join(f"`{v}`" for v in own[: self.values]) + (f", ... ({len(own)} total)" if len(own) > self.values else "")
+        return out
+
+
+def type_text(schema: Any, spec: Any, depth: int = 0, seen: frozenset = frozenset(), max_depth: int = 1, variants: int = 5, values: int = 10) -> str:
+    """A schema as text. Objects to max_depth list their properties, deeper ones their number; only properties go deeper."""
+    return _Types(spec, max_depth, variants, values).text(schema, depth, seen)
 
 
 def one_line(text: Any) -> str:

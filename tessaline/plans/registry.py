@@ -200,9 +200,9 @@ def batching(spark, d):
     return R.batches(_t(spark, d, "documents"), "lang", "doc_id", 50).select("doc_id", "lang", "batch")
 
 
-@query("SELECT p_partkey, p_name, p_retailprice FROM part WHERE contains(lower(p_name), '1') ORDER BY p_retailprice DESC, p_name, p_partkey LIMIT 20")
+@query("SELECT p_partkey, p_name, p_retailprice FROM part WHERE contains(lower(p_name), 'ring') ORDER BY p_retailprice DESC, p_name, p_partkey LIMIT 20")
 def top_k_desc_name(spark, d):
-    return R.search(_t(spark, d, "part").select("p_partkey", "p_name", "p_retailprice"), "p_name", "1", [F.desc("p_retailprice"), F.asc("p_name"), F.asc("p_partkey")])
+    return R.search(_t(spark, d, "part").select("p_partkey", "p_name", "p_retailprice"), "p_name", "Ring", [F.desc("p_retailprice"), F.asc("p_name"), F.asc("p_partkey")])
 
 
 @query("SELECT conv_id, turn, role, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY CASE role WHEN 'system' THEN 1 WHEN 'assistant' THEN 2 ELSE 3 END, turn) AS INTEGER) AS place FROM conversations")

@@ -174,24 +174,34 @@ def export_markdown(state: DataFrame, where: str, path: str = "key", content: st
 
 
 def remove_exported(paths: DataFrame, where: str, path: str = "key") -> DataFrame:
-    """Delete files, then folders that are left empty; (path, removed)."""
+    """Delete files, in parallel, and folders that are left empty; (path, removed).
+
+    Tasks may empty a folder together: whoever finds it empty deletes it, and one that is gone already is no failure.
+    """
     import pandas as pd
 
     def run(frames):
         from pyarrow import fs
 
         store, top = fs.FileSystem.from_uri(where)
+        kind = lambda p: store.get_file_info(p).type
         for frame in frames:
             out = []
             for p in frame[path]:
-                there = store.get_file_info(f"{top}/{p}").type == fs.FileType.File
+                there = kind(f"{top}/{p}") == fs.FileType.File
                 if there:
                     store.delete_file(f"{top}/{p}")
                     folder = f"{top}/{p}".rsplit("/", 1)[0]
-                    while folder != top and not store.get_file_info(fs.FileSelector(folder)):
-                        store.delete_dir(folder)
+                    while folder != top and kind(folder) == fs.FileType.Directory:
+                        try:
+                            if store.get_file_info(fs.FileSelector(folder)):
+                                break
+                            store.delete_dir(folder)
+                        except OSError:
+                            if kind(folder) == fs.FileType.Directory:
+                                raise
                         folder = folder.rsplit("/", 1)[0]
                 out.append((p, there))
             yield pd.DataFrame(out, columns=["path", "removed"])
 
-    return paths.select(path).coalesce(1).mapInPandas(run, "path string, removed boolean")
+    return paths.select(path).mapInPandas(run, "path string, removed boolean")

@@ -177,27 +177,59 @@ def toctree_edges(docs: DataFrame, name: str = "name", text: str = "text") -> Da
     return docs.select(F.col(name).alias("src"), F.posexplode(run(text)).alias("ord", "e")).select("src", "ord", "e.*")
 
 
+def _matches(scripts: DataFrame, source: str, script: str | Column, pattern: str, *names: str) -> DataFrame:
+    """(source, ord, one column for each group) of all matches of pattern."""
+    rows = scripts.select(source, F.posexplode(F.regexp_extract_all(script, F.lit(pattern), F.lit(0))).alias("ord", "__m"))
+    return rows.select(source, "ord", *[F.regexp_extract("__m", pattern, k + 1).alias(n) for k, n in enumerate(names)])
+
+
+def script_urls(pages: DataFrame, source: str = "source", html: str = "html") -> DataFrame:
+    """(source, ord, url) of the scripts that a page loads."""
+    return _matches(pages, source, html, r"""src=["']([^"']+\.js)["']""", "url")
+
+
 def script_routes(scripts: DataFrame, source: str = "source", script: str = "script") -> dict[str, DataFrame]:
-    """The tables inside a bundler's scripts: routes (route, component), hashes (component, content_hash), names and files by chunk.
+    """The tables inside a bundler's main script: routes (route, chunk), contents (key, content), loaders (content, chunks, module, file).
 
-    Each comes by one pattern over the script; route to file is a chain of equi-joins (see operators.graph.chained).
+    A route's component is a call whose last argument is its chunk; `route-chunk` is the key of its content; a content's
+    loader lists the chunks it needs, the module and the file that it was made from. See route_contents().
     """
-    pairs = lambda pattern, *names: scripts.select(source, F.explode(F.regexp_extract_all(script, F.lit(pattern), F.lit(0))).alias("m")).select(source, *[F.regexp_extract("m", pattern, k + 1).alias(n) for k, n in enumerate(names)]).distinct()
+    loader = r"""["']?([\w$-]+)["']?:\[((?:[^\[\]]|\[[^\[\]]*\])*)\]"""
+    loaders = _matches(scripts, source, script, loader, "content", "loader")
     return {
-        "urls": pairs(r"""src="([^"]+\.js)\"""", "url"),
-        "routes": pairs(r"""path:\s*["']([^"']+)["'],\s*component:\s*["']?([\w/@.-]+)["']?""", "route", "component"),
-        "hashes": pairs(r"""["']([\w/@.-]+)["']:\s*["']([0-9a-f]{8,32})["']""", "component", "content_hash"),
-        "loaders": pairs(r"""["']([\w/@.-]+)["']:\s*(?:\(\)\s*=>|function\s*\(\)\s*\{\s*return)\s*\w+\.e\((?:/\*.*?\*/\s*)?["']?(\w+)["']?\)""", "component", "chunk"),
-        "names": pairs(r"""\b(\d+):\s*["']([\w-]*[g-zG-Z_-][\w-]*)["']""", "chunk", "name"),
-        "files": pairs(r"""\b(\d+):\s*["']([0-9a-f]{8,20})["']""", "chunk", "hash"),
+        "routes": _matches(scripts, source, script, r"""path:\s*["']([^"']+)["'],\s*component:\s*\w+\((?:[^()]*,\s*)?["']([^"']+)["']\)""", "route", "chunk"),
+        "contents": _matches(scripts, source, script, r"""["']([^"']+)["']:\{[^{}]*["']content["']:\s*["']([^"']+)["']""", "key", "content"),
+        "loaders": loaders.select(
+            source, "content", F.regexp_extract_all("loader", F.lit(r"\.e\((\d+)\)"), F.lit(1)).alias("chunks"),
+            F.nullif(F.regexp_extract("loader", r"\.bind\(\w+,\s*(\d+)\)", 1), F.lit("")).alias("module"), F.nullif(F.regexp_extract("loader", r"""["'](@site/[^"']+)["']""", 1), F.lit("")).alias("file")).filter("size(chunks) > 0"),
     }
 
 
-def chunk_files(names: DataFrame, hashes: DataFrame) -> DataFrame:
-    """(chunk, file): `name.hash.js`, with the chunk's number where it has no name, over all chunks with a hash."""
-    n, h = names.select(F.col("chunk").alias("__n"), "name"), hashes.select(F.col("chunk").alias("__h"), "hash")
-    joined = n.join(h, F.col("__n") == F.col("__h"), "full_outer").filter("hash IS NOT NULL")
-    return joined.select(F.coalesce("__h", "__n").alias("chunk"), F.concat_ws(".", F.coalesce("name", "__h"), "hash", F.lit("js")).alias("file"))
+def chunk_files(runtimes: DataFrame, source: str = "source", script: str = "script") -> DataFrame:
+    """(source, chunk, file): `folder/name.hash.js` from the function that names chunks, told by its place in the runtime script.
+
+    The function's first map has names, its second hashes; a chunk that one of them lacks stands there by its number.
+    """
+    body = F.regexp_extract(script, r"""(?s)\.u\s*=\s*\w+\s*=>(.*?)(?:,\s*\w+\.\w+\s*=|;|\z)""", 1)
+    folder = F.regexp_extract(body, r"""^\s*["']([^"']*)["']""", 1)
+    maps = F.regexp_extract_all(body, F.lit(r"\{([^{}]*)\}\[\w+\]"), F.lit(1))
+    rows = runtimes.select(source, folder.alias("folder"), maps.alias("maps")).filter("size(maps) > 1")
+    entry = r"""(\d+)\s*:\s*["']([^"']+)["']"""
+    names, hashes = (_matches(rows.withColumn("__map", F.get("maps", F.lit(k))), source, "__map", entry, "chunk", kind).drop("ord") for k, kind in ((0, "name"), (1, "hash")))
+    files = names.join(hashes, [source, "chunk"], "full").join(rows.select(F.col(source).alias("__s"), "folder"), F.col(source).eqNullSafe(F.col("__s")))
+    return files.select(source, "chunk", F.concat("folder", F.coalesce("name", "chunk"), F.lit("."), F.coalesce("hash", "chunk"), F.lit(".js")).alias("file"))
+
+
+def route_contents(scripts: DataFrame, runtimes: DataFrame, source: str = "source", script: str = "script") -> DataFrame:
+    """(source, route, module, made_from, file): a chain of equi-joins from each route to the script that has its content.
+
+    Of the chunks that a content needs, the last is its own; the others are shared.
+    """
+    t = script_routes(scripts, source, script)
+    keyed = t["routes"].select(source, "route", F.concat_ws("-", "route", "chunk").alias("key"))
+    found = keyed.join(t["contents"].select(source, "key", "content").distinct(), [source, "key"]).join(t["loaders"], [source, "content"])
+    own = found.select(source, "route", "module", F.col("file").alias("made_from"), F.element_at("chunks", -1).alias("chunk")).distinct()
+    return own.join(chunk_files(runtimes, source, script), [source, "chunk"]).drop("chunk")
 
 
 def page_data(pages: DataFrame, key: str = "url", body: str = "json") -> DataFrame:

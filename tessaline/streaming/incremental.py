@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import relational as R
-from ..operators import state as S
 from ..plans.store import SnapshotStore
 
 SNAPSHOT = "key string, sha256 string, ord long, batch long"
@@ -25,11 +24,11 @@ SNAPSHOT = "key string, sha256 string, ord long, batch long"
 def merge_batch(store: SnapshotStore, batch: DataFrame, number: int) -> None:
     """The last row of each key of a batch into the snapshot, once for each batch number."""
     old = store.read(SNAPSHOT)
-    if old.agg(F.max("batch")).first()[0] is not None and old.agg(F.max("batch")).first()[0] >= number:
+    last = old.agg(F.max("batch")).first()[0]
+    if last is not None and last >= number:
         return
     new = R.last_wins(batch.select("key", "sha256", "ord"), ["key"], ["ord"])
-    status = S.classify(old, new).select(F.col("key").alias("__k"), "status")
-    both = old.join(new.select("key"), "key", "left_anti").unionByName(new.join(status, F.col("key") == F.col("__k")).select("key", "sha256", "ord", F.lit(number).cast("bigint").alias("batch")))
+    both = old.join(new.select("key"), "key", "left_anti").unionByName(new.withColumn("batch", F.lit(number).cast("bigint")))
     store.commit(both)
 
 

@@ -58,10 +58,14 @@ def test_navigation(spark):
 
 
 def test_scripts_and_embedded_objects(spark):
-    script = """{path:"/a",component:"pages/a"};x={"pages/a":"0123abcd"};y={"pages/a":()=>n.e("12")};n={12:"page-a"};h={12:"deadbeef12",13:"beefdead34"}"""
-    found = D.script_routes(spark.createDataFrame([("s", script)], "source string, script string"))
-    assert rows(found["routes"], "route", "component") == [("/a", "pages/a")] and rows(found["loaders"], "component", "chunk") == [("pages/a", "12")] and rows(found["hashes"], "content_hash") == [("0123abcd",)]
-    assert rows(D.chunk_files(found["names"].select("chunk", "name"), found["files"].select("chunk", "hash")), "chunk", "file") == [("12", "page-a.deadbeef12.js"), ("13", "13.beefdead34.js")]
+    main = """x={path:"/a",component:p("@layout","c1")},{path:"/b",component:p("c2")};r={"/a-c1":{"args":"x","content":"facade"},"/b-c2":{"content":"w-2"}};
+        l={facade:[()=>Promise.all([n.e(5),n.e(12)]).then(n.bind(n,77)),"@site/a.mdx",77],"w-2":[()=>n.e(13).then(n.bind(n,78)),"@site/b.mdx",78],other:[1,2]}"""
+    runtime = """q.u=e=>"js/"+({12:"deadbeef",14:"only-name"}[e]||e)+"."+({12:"aa",13:"bb"}[e]||e)+".js",q.f={}"""
+    scripts, runtimes = (spark.createDataFrame([("s", x)], "source string, script string") for x in (main, runtime))
+    assert rows(D.script_routes(scripts)["routes"], "route", "chunk") == [("/a", "c1"), ("/b", "c2")]
+    assert rows(D.chunk_files(runtimes), "chunk", "file") == [("12", "js/deadbeef.aa.js"), ("13", "js/13.bb.js"), ("14", "js/only-name.14.js")]
+    assert rows(D.route_contents(scripts, runtimes), "route", "module", "made_from", "file") == [("/a", "77", "@site/a.mdx", "js/deadbeef.aa.js"), ("/b", "78", "@site/b.mdx", "js/13.bb.js")]
+    assert D.chunk_files(scripts).count() == 0 and rows(D.script_urls(spark.createDataFrame([("s", '<script src="/m.js"></script><script src="/x.css">')], "source string, html string")), "url") == [("/m.js",)]
     html = '<div data-page="{&quot;p&quot;:{&quot;slug&quot;:&quot;api&quot;,&quot;v&quot;:1}}"></div>'
     assert json.loads(D.embedded_object(spark.createDataFrame([("u", html)], "url string, html string"), "slug", "api").first()["json"]) == {"slug": "api", "v": 1}
     data = json.dumps({"pageProps": {"source": {"frontmatter": {"title": "T"}, "compiledSource": "s"}}})
