@@ -75,11 +75,7 @@ def rst_to_markdown(docs: DataFrame, name: str = "name", text: str = "text", bas
 
     @F.pandas_udf(f"array<struct<{kinds.replace(' string', ':string')}>>")
     def defined(names: pd.Series, texts: pd.Series) -> pd.Series:
-        out = []
-        for n, t in zip(names, texts, strict=True):
-            titles, labels = rst_md.metadata({n: t or ""})
-            out.append([("title", k, k, "", v) for k, v in titles.items()] + [("label", k, v["doc"], v["slug"], v["title"]) for k, v in labels.items()])
-        return pd.Series(out)
+        return pd.Series([rst_md.marks(n, t or "") for n, t in zip(names, texts, strict=True)])
 
     wanted_pattern = F.lit(r":(?:[\w+-]+:)?(?:doc|ref):`(?:[^`<]*<)?/?([^`>]+)>?`")
     marks = docs.select(F.explode(defined(name, text)).alias("d")).select("d.*")
@@ -92,8 +88,7 @@ def rst_to_markdown(docs: DataFrame, name: str = "name", text: str = "text", bas
         out = []
         for n, t, rows in zip(names, texts, found, strict=True):
             rows = [] if rows is None else [dict(r) for r in rows]
-            titles = {r["label"]: r["title"] for r in rows if r["kind"] == "title"}
-            labels = {r["label"]: {"doc": r["doc"], "slug": r["slug"], "title": r["title"]} for r in rows if r["kind"] == "label"}
+            titles, labels = rst_md.lookups(rows)
             out.append(None if t is None else rst_md.rst_to_markdown(n, t, titles, labels, bases))
         return pd.Series(out, dtype="object")
 
@@ -208,24 +203,26 @@ def spec_format(spec: Column | str) -> Column:
 
 # Generators that need no Python.
 
+def _operations(specs: DataFrame, key: str, spec: str) -> DataFrame:
+    """(key, path, path_item, method, item) of every operation, by variants."""
+    tvf = specs.sparkSession.tvf
+    parsed = specs.select(key, F.try_parse_json(spec).alias("__v")).filter("__v IS NOT NULL")
+    paths = parsed.lateralJoin(tvf.variant_explode(F.try_variant_get(F.col("__v").outer(), "$.paths", "variant"))).select(key, F.col("key").alias("path"), F.col("value").alias("path_item"))
+    return paths.lateralJoin(tvf.variant_explode(F.col("path_item").outer())).select(key, "path", "path_item", F.col("key").alias("method"), F.col("value").alias("item")).filter(F.col("method").isin(*spec_md.METHODS))
+
+
 def exploded_endpoints(specs: DataFrame, key: str = "source", spec: str = "spec", default_tag: str = "Untagged") -> DataFrame:
     """(key, path, method, tag, summary) by variants: paths, then methods, then tags, all in the JVM."""
-    parsed = specs.select(key, F.try_parse_json(spec).alias("v"))
-    parsed.createOrReplaceTempView("__specs")
-    spark = specs.sparkSession
-    tags = F.expr("try_variant_get(item, '$.tags', 'array<string>')")
-    rows = spark.sql(f"SELECT s.`{key}`, p.key AS path, m.key AS method, m.value AS item FROM __specs s, LATERAL variant_explode(variant_get(s.v, '$.paths')) p, LATERAL variant_explode(p.value) m")
-    rows = rows.filter(F.col("method").isin(*spec_md.METHODS))
+    rows = _operations(specs, key, spec)
+    tags = F.try_variant_get("item", "$.tags", "array<string>")
     full = F.when(F.coalesce(F.size(tags), F.lit(0)) > 0, tags).otherwise(F.array(F.lit(default_tag)))
-    return rows.select(key, "path", "method", F.explode(full).alias("tag"), F.expr("try_variant_get(item, '$.summary', 'string')").alias("summary"))
+    return rows.select(key, "path", "method", F.explode(full).alias("tag"), F.try_variant_get("item", "$.summary", "string").alias("summary"))
 
 
 def all_parameters(specs: DataFrame, key: str = "source", spec: str = "spec") -> DataFrame:
     """(key, path, method, name, place): parameters of the path before those of the operation."""
-    parsed = specs.select(key, F.try_parse_json(spec).alias("v"))
-    parsed.createOrReplaceTempView("__specs_p")
-    rows = specs.sparkSession.sql(f"SELECT s.`{key}`, p.key AS path, p.value AS path_item, m.key AS method, m.value AS item FROM __specs_p s, LATERAL variant_explode(variant_get(s.v, '$.paths')) p, LATERAL variant_explode(p.value) m")
-    rows = rows.filter(F.col("method").isin(*spec_md.METHODS))
     kind = "array<struct<name:string,in:string>>"
-    both = F.concat(F.coalesce(F.expr(f"try_variant_get(path_item, '$.parameters', '{kind}')"), F.expr(f"cast(array() AS {kind})")), F.coalesce(F.expr(f"try_variant_get(item, '$.parameters', '{kind}')"), F.expr(f"cast(array() AS {kind})")))
-    return rows.select(key, "path", "method", F.posexplode(both).alias("ord", "p")).select(key, "path", "method", "ord", F.col("p.name").alias("name"), F.col("p.in").alias("place"))
+    none = F.array().cast(kind)
+    both = F.concat(*[F.coalesce(F.try_variant_get(c, "$.parameters", kind), none) for c in ("path_item", "item")])
+    rows = _operations(specs, key, spec).select(key, "path", "method", F.posexplode(both).alias("ord", "p"))
+    return rows.select(key, "path", "method", "ord", F.col("p.name").alias("name"), F.col("p.in").alias("place"))

@@ -116,7 +116,8 @@ Use ext_ here::
   more
 - two
 """
-    titles, labels = R.metadata({"me": text, "other": "Other\n=====\n", "far": ".. _far:\n\nFar\n===\n"})
+    corpus = {"me": text, "other": "Other\n=====\n", "far": ".. _far:\n\nFar\n===\n"}
+    titles, labels = R.lookups(dict(zip(("kind", "label", "doc", "slug", "title"), m, strict=True)) for n, t in corpus.items() for m in R.marks(n, t))
     assert titles == {"me": "Title", "other": "Other", "far": "Far"} and labels["lab"]["slug"] == "part"
     md = R.rst_to_markdown("me", text, titles, labels, {"wiki": "https://w.test/"})
     for part in ("# Title", "## Part", "Some `code` and [site](https://e.test), [Other](other.md), [Part](#part), [see](far.md#far), [W X](https://w.test/W X) and `go()`.", "Use [ext](https://x.test) here:\n\n```\nraw\n```", "**`f(a)`**", "- **int a**: It.", "- **Returns:** That.", "> [!NOTE]\n> Mind.", "```cpp\nint x;\n```", "- one more\n- two"):
