@@ -201,6 +201,47 @@ def spec_format(spec: Column | str) -> Column:
     return _texts(one)(spec)
 
 
+def _trees(convert: Callable, kind: str = "string") -> Callable[..., Column]:
+    """Of JSON texts; null where they can't be parsed."""
+
+    def one(text: str):
+        try:
+            return convert(json.loads(text))
+        except ValueError:
+            return None
+
+    return _texts(one, kind)
+
+
+def canonical_json(text: Column | str) -> Column:
+    """JSON with sorted keys, indented, the same for equal values."""
+    return _trees(spec_md.canonical_json)(text)
+
+
+def found_object(text: Column | str, field: str, wanted: str) -> Column:
+    """The first object inside a JSON text whose field is wanted, as JSON with sorted keys."""
+
+    def one(tree) -> str | None:
+        found = spec_md.find_object(tree, field, wanted)
+        return None if found is None else json.dumps(found, sort_keys=True, ensure_ascii=False)
+
+    return _trees(one)(text)
+
+
+def clean_description(text: Column | str, inline: bool = False) -> Column:
+    return _texts(lambda t: spec_md.clean_text(t, inline=inline))(text)
+
+
+def vendor_document(text: Column | str) -> Column:
+    return _trees(spec_md.vendor_document)(text)
+
+
+def protocol_documents(specs: DataFrame, key: str = "source", spec: str = "spec") -> DataFrame:
+    """(key, file, markdown) of protocol descriptions."""
+    files = _trees(lambda tree: spec_md.protocol_documents(tree), "map<string,string>")(spec)
+    return specs.select(key, F.explode(files).alias("file", "markdown"))
+
+
 # Generators that need no Python.
 
 def _operations(specs: DataFrame, key: str, spec: str) -> DataFrame:

@@ -48,4 +48,4 @@ def long_enough(body: Column | str, least: int = 50) -> Column:
 
 def is_markup_page(body: Column | str) -> Column:
     """Whether an HTML page came where a script or data was asked for."""
-    return F.lower(F.ltrim(F.coalesce(_col(body), F.lit("")))).rlike(r"^(?:<!doctype html|<html\b)")
+    return F.coalesce(_col(body), F.lit("")).rlike(r"(?i)\A\s*(?:<!doctype html|<html\b)")

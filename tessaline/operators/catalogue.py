@@ -42,6 +42,13 @@ def fingerprint(df: DataFrame, keys: Sequence[str], columns: Sequence[str], engi
     return buckets.groupBy(*keys).agg(F.sha2(F.concat_ws("\n", F.lit(engine), listed).cast("binary"), 256).alias("fingerprint"), F.sum("__n").alias("n_rows"))
 
 
+def with_rest(index: DataFrame, pages: DataFrame, key: str = "key", group: str = "section", other: str = "Other") -> DataFrame:
+    """pages with the group that index (key, group, ...) gives them; index rows without a page go, pages without an index row are in other."""
+    named = index.join(pages.withColumnRenamed(key, "__key"), F.col(key) == F.col("__key")).drop("__key")
+    rest = pages.join(index.select(F.col(key).alias("__key")), F.col(key) == F.col("__key"), "left_anti").withColumn(group, F.lit(other))
+    return named.unionByName(rest, allowMissingColumns=True)
+
+
 def inverted(df: DataFrame, key: str, members: str, name: str) -> DataFrame:
     """(member, key): a row for each distinct member of each key's array."""
     return df.select(F.explode(F.array_distinct(members)).alias(name), key)

@@ -133,6 +133,22 @@ def ranked_by(value: Column | str, ranking: Sequence[str]) -> Column:
     return F.when(place > 0, place).otherwise(F.lit(len(ranking) + 1))
 
 
+def folded_order(*columns: str) -> list[Column]:
+    """An order without regard to case; names that differ in case alone in their own order."""
+    return [F.lower(c) for c in columns] + [F.col(c) for c in columns]
+
+
+def limited(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
+    """The first n rows in order: each task keeps n of its own, one task merges those."""
+    return df.orderBy(*order).limit(n)
+
+
+def seen_values(df: DataFrame, key: str, value: str, order: str, out: str = "values") -> DataFrame:
+    """(key, out): the distinct values of each key in the order in which they first came. Repeats go before groups meet."""
+    first = df.groupBy(key, value).agg(F.min(order).alias("__first"))
+    return first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("__first", value))), lambda e: e[value]).alias(out))
+
+
 def search(df: DataFrame, column: str, query: str, order: Sequence[Column], limit: int = 20) -> DataFrame:
     """The first rows, in order, whose column contains query in any case."""
     return df.filter(F.contains(F.lower(column), F.lit(query.lower()))).orderBy(*order).limit(limit)
@@ -145,7 +161,7 @@ def shown(items: Column, n: int = 20) -> Column:
 
 def expand_ranges(df: DataFrame, token: str, out: str = "number") -> DataFrame:
     """Tokens `3-7` or `4` as numbers; others give no row."""
-    lo, hi = F.try_to_number(F.regexp_extract(token, r"^(\d+)(?:-\d+)?$", 1), F.lit("999999999")).cast("bigint"), F.try_to_number(F.regexp_extract(token, r"^\d+-(\d+)$", 1), F.lit("999999999")).cast("bigint")
+    lo, hi = (F.nullif(F.regexp_extract(token, pattern, 1), F.lit("")).try_cast("bigint") for pattern in (r"^(\d+)(?:-\d+)?$", r"^\d+-(\d+)$"))
     ranged = df.withColumn("__lo", lo).withColumn("__hi", F.coalesce(hi, lo)).filter("__lo IS NOT NULL")
     ends = (F.least("__lo", "__hi"), F.greatest("__lo", "__hi"))
     return ranged.withColumn(out, F.explode(F.sequence(*ends))).drop("__lo", "__hi")

@@ -11,8 +11,11 @@ in the state under deprecated/, where no run touches it.
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import sys
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,7 +153,10 @@ def version_tasks(index: DataFrame, api: str = "api", specs: str = "specs") -> D
 
 
 def export_markdown(state: DataFrame, where: str, path: str = "key", content: str = "content") -> DataFrame:
-    """Write each row's content as a file below the URI where; (path, bytes) of what was written. Same files on every run."""
+    """Write each row's content as a file below the URI where; (path, bytes, written).
+
+    A file that has those bytes already is left as it is, with its time, so that a run without changes writes nothing.
+    """
     import pandas as pd
 
     def run(frames):
@@ -162,15 +168,51 @@ def export_markdown(state: DataFrame, where: str, path: str = "key", content: st
             for p, text in zip(frame[path], frame[content], strict=True):
                 if ".." in p.split("/") or p.startswith("/"):
                     raise ValueError(f"{p!r} leaves the folder")
-                data = (text or "").encode()
+                data = text if isinstance(text, bytes) else (text or "").encode()
                 target = f"{top}/{p}"
+                there = store.get_file_info(target)
+                if there.type == fs.FileType.File and there.size == len(data):
+                    with store.open_input_stream(target) as f:
+                        if f.read() == data:
+                            out.append((p, len(data), False))
+                            continue
                 store.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 with store.open_output_stream(target) as f:
                     f.write(data)
-                out.append((p, len(data)))
-            yield pd.DataFrame(out, columns=["path", "bytes"])
+                out.append((p, len(data), True))
+            yield pd.DataFrame(out, columns=["path", "bytes", "written"])
+
+    return state.select(path, content).mapInPandas(run, "path string, bytes long, written boolean")
+
+
+def archive_raw(replies: DataFrame, where: str, source: str = "source", body: str = "body", extension: str = ".json") -> DataFrame:
+    """Keep raw descriptions as they came: `source/sha256.json` below where, each body once; (path, bytes, written)."""
+    data = F.col(body).cast("binary")
+    named = replies.filter(F.col(body).isNotNull()).select(F.concat(F.col(source), F.lit("/"), F.sha2(data, 256), F.lit(extension)).alias("key"), data.alias("content"))
+    return export_markdown(named.dropDuplicates(["key"]), where)
+
 
-    return state.select(path, content).mapInPandas(run, "path string, bytes long")
+def engine_of(*functions: Callable) -> str:
+    """A name for the code of converters: the hash of the source of their modules. Part of every token, it makes a new converter convert anew."""
+    modules = {sys.modules[f.__module__] for f in functions}
+    texts = sorted(inspect.getsource(m) for m in modules)
+    return hashlib.sha256("\0".join(texts).encode()).hexdigest()
+
+
+def synchronise_in_parts(manifest: DataFrame, fetch: Callable[[DataFrame], DataFrame], convert: Callable[[DataFrame], DataFrame], store: SnapshotStore, options: Options | None = None, parts: int = 8) -> tuple[dict[str, int], Outcome]:
+    """A long run with a commit after each part of the keys, so that one that dies keeps what it had and goes on from there.
+
+    Parts are filtered runs, which remove nothing; a last run over all keys fetches what still differs and removes what is gone.
+    (counts of the parts, the last run's outcome).
+    """
+    o = options or Options()
+    counts: dict[str, int] = {}
+    for k in range(0 if o.dry_run else parts):
+        mine = F.pmod(F.xxhash64("key"), F.lit(parts)) == k
+        done = synchronise(manifest, fetch, convert, store, replace(o, scope=mine if o.scope is None else o.scope & mine))
+        for status, n in done.counts.items():
+            counts[status] = counts.get(status, 0) + n
+    return counts, synchronise(manifest, fetch, convert, store, o if o.dry_run else replace(o, force=False))
 
 
 def remove_exported(paths: DataFrame, where: str, path: str = "key") -> DataFrame:

@@ -20,6 +20,7 @@ class SourceSpec:
     policy: str = "once"
     least_rows: int = 0
     requires_auth: bool = False
+    also: tuple[str, ...] = ()  #: where further parts start, if elsewhere
 
 
 def _s(name: str, discovery: str, formats: str, converter: str, url: str, **more) -> SourceSpec:
