@@ -173,20 +173,26 @@ def short_number(n: Column | str) -> Column:
     return F.when(c >= 1_000_000, F.concat(F.round(c / 1e6, 1).cast("string"), F.lit("M"))).when(c >= 1_000, F.concat(F.floor(c / 1000).cast("string"), F.lit("K"))).otherwise(c.cast("string"))
 
 
+#: Substitutions that make Markdown of snippets, in this order; $1 and $2 are what the pattern has in brackets.
+SNIPPET_STEPS = (
+    *((rf"(?is)<{name}\b[^>]*>.*?</{name}\s*>", " ") for name in SILENT), *((rf"(?is)<h{n}\b[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n") for n in range(1, 7)),
+    (r"(?is)<pre\b[^>]*>\s*(?:<code\b[^>]*>)?(.*?)(?:</code>)?\s*</pre>", "\n\n```\n$1\n```\n\n"), (r"(?is)<(?:strong|b)\b[^>]*>(.*?)</(?:strong|b)>", "**$1**"),
+    (r"(?is)<(?:em|i)\b[^>]*>(.*?)</(?:em|i)>", "*$1*"), (r"(?is)<code\b[^>]*>(.*?)</code>", "`$1`"), (r"""(?is)<a\b[^>]*href=["']([^"']*)["'][^>]*>(.*?)</a>""", "[$2]($1)"),
+    (r"(?is)<li\b[^>]*>", "\n- "), (r"(?i)<br\s*/?>", "\n"), (r"(?i)</?(?:p|div|ul|ol|table)\b[^>]*>", "\n\n"), (r"(?is)</t[dh]>\s*<t[dh]\b[^>]*>", " | "), (r"(?is)<tr\b[^>]*>\s*<t[dh]\b[^>]*>", "\n| "), (r"(?is)</t[dh]>\s*</tr>", " |"),
+    (r"(?s)<[^>]*>", ""),
+)
+SNIPPET_LINES = ((r"[ \t]+\n", "\n"), (r"\n{3,}", "\n\n"))
+
+
 def html_to_markdown_simple(html: Column | str) -> Column:
     """Snippets of HTML by ordered substitutions alone: headings, emphasis, code, links, lists, breaks; tags left over go."""
-    out = without_elements(_col(html), SILENT)
-    for n in range(1, 7):
-        out = F.regexp_replace(out, rf"(?is)<h{n}\b[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n")
-    steps = (
-        (r"(?is)<pre\b[^>]*>\s*(?:<code\b[^>]*>)?(.*?)(?:</code>)?\s*</pre>", "\n\n```\n$1\n```\n\n"), (r"(?is)<(?:strong|b)\b[^>]*>(.*?)</(?:strong|b)>", "**$1**"),
-        (r"(?is)<(?:em|i)\b[^>]*>(.*?)</(?:em|i)>", "*$1*"), (r"(?is)<code\b[^>]*>(.*?)</code>", "`$1`"), (r"""(?is)<a\b[^>]*href=["']([^"']*)["'][^>]*>(.*?)</a>""", "[$2]($1)"),
-        (r"(?is)<li\b[^>]*>", "\n- "), (r"(?i)<br\s*/?>", "\n"), (r"(?i)</?(?:p|div|ul|ol|table)\b[^>]*>", "\n\n"), (r"(?is)</t[dh]>\s*<t[dh]\b[^>]*>", " | "), (r"(?is)<tr\b[^>]*>\s*<t[dh]\b[^>]*>", "\n| "), (r"(?is)</t[dh]>\s*</tr>", " |"),
-    )
-    for pattern, value in steps:
+    out = _col(html)
+    for pattern, value in SNIPPET_STEPS:
+        out = F.regexp_replace(out, pattern, value)
+    out = unescaped(out)
+    for pattern, value in SNIPPET_LINES:
         out = F.regexp_replace(out, pattern, value)
-    out = unescaped(F.regexp_replace(out, r"(?s)<[^>]*>", ""))
-    return stripped(F.regexp_replace(F.regexp_replace(out, r"[ \t]+\n", "\n"), r"\n{3,}", "\n\n"))
+    return stripped(out)
 
 
 def renamed_asides(text: Column | str, labels: Mapping[str, str]) -> Column:

@@ -30,7 +30,23 @@ def html_section_rows(spark, d):
     return _t(spark, d, "pages").select("page_id", F.explode(V.html_sections("html", "h1,h2,h3")).alias("s")).select("page_id", "s.ord", "s.level", "s.title", F.char_length("s.markdown").alias("n_chars"))
 
 
-@query()
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _snippet_sql(html: str) -> str:
+    """The substitutions in SQL."""
+    out = html
+    for pattern, value in T.SNIPPET_STEPS:
+        out = f"regexp_replace({out}, {_literal(pattern)}, {_literal(value.replace('$', chr(92)))}, 'g')"
+    for name, value in T.ENTITIES:
+        out = f"replace({out}, {_literal(name)}, {_literal(value)})"
+    for pattern, value in (*T.SNIPPET_LINES, (r"^[\s\p{Z}]+", ""), (r"[\s\p{Z}]+$", "")):
+        out = f"regexp_replace({out}, {_literal(pattern)}, {_literal(value)}, 'g')"
+    return out
+
+
+@query(f"SELECT page_id, sha256({_snippet_sql('html')}) AS sha256 FROM pages")
 def html_to_markdown_simple(spark, d):
     """The same by substitutions alone, in the JVM."""
     return _t(spark, d, "pages").select("page_id", T.content_hash(T.html_to_markdown_simple("html")).alias("sha256"))
@@ -144,7 +160,12 @@ def spec_routing(spark, d):
     return _specs(spark, d).select("source", V.spec_format("spec").alias("format"))
 
 
-@query()
+def _listing_sql() -> str:
+    rows = ", ".join("(" + ", ".join([*map(_literal, (x.name, x.discovery, ",".join(x.formats), x.converter, x.url, x.token, x.failure)), str(x.requires_auth)]) + ")" for x in sources.SOURCES.values())
+    return f"SELECT * FROM (VALUES {rows}) v(name, discovery, formats, converter, url, token, failure, requires_auth)"
+
+
+@query(_listing_sql())
 def source_listing(spark, d):
     return sources.listing(spark)
 
