@@ -9,7 +9,8 @@ bears loss begins, -1 where it ends, summed up over the tokens.
 A conversation is never collected: turns are rows, ordered within partitions, and reading back streams over them with one
 hash state a conversation.
 
-Defined results: null text and null role are empty; turns stand by turn (null first), then role, then text; repeated rows
+Defined results: null text and null role are empty; turns stand by turn (null first), ties by role, then by
+the text's SHA-256; repeated rows
 are turns of their own; a null conversation is one of its own; extra columns are ignored; an empty table has no rows.
 """
 
@@ -88,7 +89,10 @@ def codec(path: str) -> Codec:
 
 
 def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(conv_id, turn, place, ids array<int>, loss array<boolean>) of each turn (conv_id, turn, role, text); place orders ties."""
+    """(conv_id, turn, place, ids array<int>, loss array<boolean>) of each turn (conv_id, turn, role, text); place orders ties.
+
+    vocabulary is a path that every executor can open; the file is read once a worker.
+    """
     small_batches(turns.sparkSession)
     kind = {c: turns.schema[c].dataType.simpleString() for c in ("conv_id", "turn")}
     rows = turns.select("conv_id", "turn", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")])
@@ -97,7 +101,7 @@ def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         tool = codec(vocabulary)
         for batch in batches:
             made = [tool.turn(r, t) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            place = pa.array([f"{r}\0{t}" for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)], pa.string())
+            place = pa.array([f"{r}\0{hashlib.sha256(t.encode()).hexdigest()}" for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), place, pa.array([m[0] for m in made], pa.list_(pa.int32())), pa.array([m[1] for m in made], pa.list_(pa.bool_()))], names=["conv_id", "turn", "place", "ids", "loss"])
 
     return rows.mapInArrow(run, f"conv_id {kind['conv_id']}, turn {kind['turn']}, place string, ids array<int>, loss array<boolean>")
@@ -117,10 +121,9 @@ def digests(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row for each conversation, read back from its tokens, in a stream over rows ordered within partitions."""
     small_batches(formatted.sparkSession)
     id_type = formatted.schema["conv_id"].dataType
-    arrow = pa.int64() if id_type.simpleString() == "bigint" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, now, state = codec(vocabulary), None, None
+        tool, now, state, arrow = codec(vocabulary), None, None, None
         done: list[tuple] = []
 
         def close() -> None:
@@ -134,6 +137,7 @@ def digests(formatted: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             return made
 
         for batch in batches:
+            arrow = batch.column(0).type
             for conv, ids, loss in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if now is None or now[0] != conv:
                     if now is not None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import tempfile
 import uuid
@@ -40,8 +41,22 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[app]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+_SWEPT: set[str] = set()
+
+
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/tessaline/{what}-{uuid.uuid4().hex}"
+    """A path of its own below the application's folder, which goes when the driver ends: a result may be read until then."""
+    top = f"{shared_dir(spark)}/tessaline/{spark.sparkContext.applicationId}"
+    if top not in _SWEPT:
+        _SWEPT.add(top)
+        atexit.register(lambda: spark.sparkContext._jsc is None or _delete(spark, top))
+    return f"{top}/{what}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, what: str) -> DataFrame:
@@ -58,9 +73,7 @@ def drop_cut(df: DataFrame) -> None:
     """Delete the files of a cut that nothing reads any more, and let Spark clear unreferenced shuffles."""
     path = getattr(df, "_tessaline_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        hadoop = jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+        _delete(df.sparkSession, path)
     release(df.sparkSession)
 
 

@@ -66,7 +66,7 @@ def matches(docs: DataFrame, tokens: DataFrame, sizes: list[int], id_col: str, t
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = 13, shingle: int = 3, percent: int = 5, broadcast_limit: int = 2_000_000,
+    window: int = 13, shingle: int = 3, percent: int = 5, broadcast_limit: int = 64 << 20,
 ) -> DataFrame:
     """(doc_id, text_key, n_words, n_hit, n_items, items, contaminated) of each row of docs; text_key is the text's SHA-256."""
     wins = cut(windows_of(benchmark, item_col, item_text_col, window, shingle), "decontam-windows")
@@ -75,7 +75,7 @@ def decontaminate(
     needs = cut(distinct.select("win", "n", "t", F.explode(parts).alias("p")).select("win", "n", "t", "p.offset", "p.token"), "decontam-needs")
     tokens = needs.select("token").distinct()
     sizes = sorted(r[0] for r in needs.select("t").distinct().collect())  # at most `shingle` values
-    few = tokens.count() <= broadcast_limit
+    few = (tokens.agg(F.sum(F.octet_length("token") + 64)).first()[0] or 0) <= broadcast_limit  # bytes, with what a row of a hash table has besides
     found = cut(matches(docs, tokens, sizes, id_col, text_col, few), "decontam-matches")
     heads = found.filter("pos < 0").select("uid", "doc_id", "n_words", F.substring("token", 2, 64).alias("text_key"))
     hits = found.filter("pos >= 0").select("uid", "n_words", "pos", "t", "token")

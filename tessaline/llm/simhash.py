@@ -67,6 +67,8 @@ def ball_links(prints: DataFrame, radius: int = 2) -> DataFrame:
     if radius not in (0, 1, 2):
         raise ValueError("half the radius must be at most one bit")
     variants = [F.lit(0).cast("bigint"), *([F.shiftleft(F.lit(1).cast("bigint"), i) for i in range(64)] if radius else [])]
+    # Each print makes 65 rows: prints are few and dense in their files, so they are spread first.
+    prints = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     balls = prints.select("fp", F.explode(F.array(*variants)).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"))
     groups = balls.groupBy("variant").agg(F.collect_set("fp").alias("near")).filter(F.size("near") > 1)
     if radius == 2:

@@ -20,9 +20,11 @@ their payload are all responses; extra columns are ignored; an empty table makes
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 import zstandard
@@ -40,15 +42,20 @@ SEEK_MAGIC = 0x8F92EAB1
 INDEX_SCHEMA = "page_id string, bundle string, frame int, offset long, length long, frame_start long, frame_size long"
 
 
-def record(page_id: str, url: str, payload: bytes, digest: str, refers_to: str | None, n_bytes: int) -> bytes:
-    """One WARC/1.1 record: a response, or a revisit of refers_to."""
+def _safe(value: str) -> str:
+    """A header's value: control characters, which would end it, and `%` itself as %XX."""
+    return re.sub(r"[%\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", value)
+
+
+def record(page_id: str | None, url: str, payload: bytes, digest: str, refers_to: str | None, n_bytes: int) -> bytes:
+    """One WARC/1.1 record: a response, or a revisit of refers_to. A null id has no header."""
     body = payload if refers_to is None else b""
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id}:{digest}')}>",
-        f"WARC-Target-URI: {' '.join(url.split())}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha256:{digest}", f"X-Page-Id: {page_id}", f"X-Payload-Length: {n_bytes}",
+        f"WARC-Target-URI: {' '.join(url.split())}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha256:{digest}", *([] if page_id is None else [f"X-Page-Id: {_safe(page_id)}"]), f"X-Payload-Length: {n_bytes}",
     ]
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page: {refers_to}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page: {_safe(refers_to)}"]
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
@@ -75,9 +82,9 @@ class BundleWriter:
         self.frames: list[tuple[int, int]] = []
         self.parts: list[bytes] = []
         self.size = self.at = 0
-        self.pending: list[tuple[str, int, int]] = []
+        self.pending: list[tuple[str | None, int, int]] = []
 
-    def add(self, page_id: str, data: bytes) -> list[tuple[str, int, int, int, int, int]]:
+    def add(self, page_id: str | None, data: bytes) -> list[tuple[str, int, int, int, int, int]]:
         """Index rows (id, frame, offset, length, frame start, frame size) of the frames that this record filled."""
         self.pending.append((page_id, self.size, len(data)))
         self.parts.append(data)
@@ -117,11 +124,12 @@ def _file(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def read_record(uri: str, frame_start: int, frame_size: int, offset: int, length: int) -> tuple[dict[str, str], bytes]:
-    """One record by its index row: one ranged read."""
+def read_record(uri: str, frame: int, offset: int, length: int) -> tuple[dict[str, str], bytes]:
+    """One record by its place: the footer's seek table finds the frame, one ranged read gets it."""
     store, path = _file(uri)
     with store.open_input_file(path) as source:
-        plain = zstandard.ZstdDecompressor().decompress(source.read_at(frame_size, frame_start))
+        start, size, _ = seek_table(source)[frame]
+        plain = zstandard.ZstdDecompressor().decompress(source.read_at(size, start))
     head, body, _ = parse(plain[offset : offset + length])
     return head, body
 
@@ -165,8 +173,8 @@ def write_archives(pages: DataFrame, where: str, min_revisit: int = 100, bundle_
                     name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{number:04d}.warc.zst"
                     out = store.open_output_stream(f"{top}/{name}", compression=None)
                     writer, written, number = BundleWriter(out, frame_bytes), 0, number + 1
-                data = record(row["page_id"] or "", row["url"], row["payload"], row["digest"], row["refers_to"], row["payload_bytes"])
-                rows.extend((r[0], name, *r[1:]) for r in writer.add(row["page_id"] or "", data))
+                data = record(row["page_id"], row["url"], row["payload"], row["digest"], row["refers_to"], row["payload_bytes"])
+                rows.extend((r[0], name, *r[1:]) for r in writer.add(row["page_id"], data))
                 written += len(data)
                 if written >= bundle_bytes:
                     done()
@@ -184,31 +192,39 @@ def write_archives(pages: DataFrame, where: str, min_revisit: int = 100, bundle_
 def read_archives(index: DataFrame, where: str, id_type: str = "bigint") -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of the bundles that index names.
 
-    Reads frames by ranges, groups of frames a task. A response's payload is hashed and measured anew and must agree with its headers.
+    Bundles are read as any reader would: the footer's seek table finds a frame, a ranged read gets it, and each record stands at
+    its offset in it. Groups of frames make a task. A record has to be that of its index row, and a response's payload is hashed
+    and measured anew and must agree with its headers.
     """
-    frames = index.select("bundle", "frame", "frame_start", "frame_size").distinct()
+    rows = index.select("bundle", "frame", "offset", "length", "page_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = _file(where)
-        unpack, name, source = zstandard.ZstdDecompressor(), None, None
+        unpack, name, source, frames, frame, plain = zstandard.ZstdDecompressor(), None, None, [], None, b""
         for batch in batches:
             out: list[tuple] = []
-            for row in sorted(batch.to_pylist(), key=lambda r: (r["bundle"], r["frame"])):
-                if row["bundle"] != name:
+            for bundle, number, offset, length, page_id in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if bundle != name:
                     if source is not None:
                         source.close()
-                    name, source = row["bundle"], store.open_input_file(f"{top}/{row['bundle']}")
-                plain, at = unpack.decompress(source.read_at(row["frame_size"], row["frame_start"])), 0
-                while at < len(plain):
-                    head, body, at = parse(plain, at)
-                    digest, n = head["WARC-Payload-Digest"].removeprefix("sha256:"), int(head["X-Payload-Length"])
-                    if head["WARC-Type"] == "response" and (hashlib.sha256(body).hexdigest(), len(body)) != (digest, n):
-                        raise ValueError(f"record {head['WARC-Record-ID']} is damaged")
-                    out.append((head["X-Page-Id"] or None, n, digest, head["WARC-Type"], head.get("X-Refers-To-Page")))
+                    name, source, frame = bundle, store.open_input_file(f"{top}/{bundle}"), None
+                    frames = seek_table(source)
+                if number != frame:
+                    start, size, plain_size = frames[number]
+                    frame, plain = number, unpack.decompress(source.read_at(size, start))
+                    if len(plain) != plain_size:
+                        raise ValueError(f"frame {number} of {bundle} is damaged")
+                head, body, end = parse(plain, offset)
+                own = None if "X-Page-Id" not in head else unquote(head["X-Page-Id"])
+                digest, n = head["WARC-Payload-Digest"].removeprefix("sha256:"), int(head["X-Payload-Length"])
+                if (own, end) != (page_id, offset + length) or head["WARC-Type"] == "response" and (hashlib.sha256(body).hexdigest(), len(body)) != (digest, n):
+                    raise ValueError(f"record {head['WARC-Record-ID']} is damaged")
+                refers = head.get("X-Refers-To-Page")
+                out.append((own, n, digest, head["WARC-Type"], None if refers is None else unquote(refers)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()), strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    found = frames.repartition("bundle", "frame").mapInArrow(run, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
+    found = rows.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset").mapInArrow(run, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
     return found.select(F.col("page_id").cast(id_type), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(id_type))
 
 
