@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessaline.llm import decontam, mixing, simhash, suffix, toxicity
-from tessaline.llm.common import new_path, table
+from tessaline.llm.common import cut, drop_cut, table
 
 
 #: Words of the shortest passage that the stage `repeats` cuts out.
@@ -72,10 +72,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stage's result written to the shared folder and read again."""
+    """All stages over documents, each stage's result written to the shared folder and read again; files go when the next are there."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = new_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        done = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_cut(docs)
+        docs = done
     return docs
