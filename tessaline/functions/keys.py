@@ -48,6 +48,16 @@ def category_and_slug(path: Column | str, fallback: str = "general") -> Column:
         F.element_at(parts, -1).alias("slug"))
 
 
+def classified(path: Column | str, rules: Sequence[tuple[str, str]], fallback: str = "general") -> Column:
+    """The class of a path by the first rule whose pattern is found in it; $1 in a class is what the pattern has in brackets."""
+    c = _col(path)
+    out = None
+    for pattern, name in rules:
+        made = F.regexp_replace(F.regexp_extract(c, pattern, 0), pattern, name) if "$" in name else F.lit(name)
+        out = F.when(c.rlike(pattern), made) if out is None else out.when(c.rlike(pattern), made)
+    return F.lit(fallback) if out is None else out.otherwise(F.lit(fallback))
+
+
 def output_path(path: Column | str, extension: str = ".md", index: str = "index") -> Column:
     """A file for a path: unsafe characters become '-', the root becomes the index file."""
     safe = F.regexp_replace(F.regexp_replace(_col(path), r"[^\w./-]+", "-"), r"(^|/)\.+(?=/|$)", "$1")

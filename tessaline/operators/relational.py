@@ -193,6 +193,26 @@ def remapped_aliases(index: DataFrame, pages: DataFrame, suffix: str = "/overvie
     return joined.withColumn(key, F.when(F.col("__own").isNull() & F.col("__up").isNotNull(), F.col("__up")).otherwise(F.col(key))).drop("__parent", "__own", "__up")
 
 
+def prefix_join(rows: DataFrame, prefixes: DataFrame, path: str = "path", prefix: str = "prefix") -> DataFrame:
+    """rows with the columns of the longest prefix (whole segments) of their path; rows without one go.
+
+    A path has few ancestors: they are rows of an equi-join, so no path is compared with every prefix.
+    """
+    parts = F.split(path, "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    named = rows.withColumn("__row", F.struct(*rows.columns)).select("__row", F.explode(above).alias("__above"))
+    found = named.join(prefixes, F.col("__above") == F.col(prefix)).drop("__above")
+    best = found.groupBy("__row").agg(F.max_by(F.struct(*prefixes.columns), F.char_length(prefix)).alias("__best"))
+    return best.select("__row.*", "__best.*")
+
+
+def looked_up_content(index: DataFrame, pages: DataFrame, key: str = "url", content: str = "content", default: str | None = None) -> DataFrame:
+    """index with the content that pages (key, content) has for its key, the default where there is none; of a repeated key one row's."""
+    known = pages.groupBy(F.col(key).alias("__key")).agg(F.min(content).alias("__content"))
+    joined = index.join(known, F.col(key) == F.col("__key"), "left")
+    return joined.withColumn(content, F.coalesce("__content", F.lit(default))).drop("__key", "__content")
+
+
 def duplicate_outputs(df: DataFrame, path: str = "out_path") -> DataFrame:
     """(path, n) of outputs that more than one row would write."""
     return df.groupBy(path).agg(F.count("*").alias("n")).filter("n > 1")

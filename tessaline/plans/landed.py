@@ -20,6 +20,7 @@ from ..operators import relational as R
 from ..operators import state as S
 from ..sources import crawl as W
 from ..sources import discover as D
+from ..sources import transport as N
 from ..sources.registry import SourceSpec
 from . import run
 from .registry import _t, query
@@ -337,6 +338,66 @@ def relative_links(spark, d):
     return _t(spark, d, "documents").select("doc_id", K.relative_link(F.lit("docs/en/index.md"), _f("docs/%/%.md", "lang", "doc_id")).alias("link"))
 
 
+@query("SELECT doc_id, CASE WHEN lang = 'fr' AND doc_id % 2 = 0 THEN 'deep' ELSE 'wide' END AS scope FROM documents WHERE lang IN ('fr', 'en')")
+def longest_prefix(spark, d):
+    """Paths with the scope of their longest prefix, by whole segments."""
+    scopes = spark.createDataFrame([("fr", "wide"), ("fr/0", "deep"), ("en", "wide"), ("e", "none"), ("de/0/x", "none")], "prefix string, scope string")
+    rows = _t(spark, d, "documents").select("doc_id", _f("%/%/%", "lang", F.col("doc_id") % 2, "source").alias("path"))
+    return R.prefix_join(rows, scopes).select("doc_id", "scope")
+
+
+@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'none' ELSE 'q' || CAST(l.quality AS VARCHAR) END AS content FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
+def content_lookup(spark, d):
+    """An index whose pages' contents are looked up, some of them twice and some not at all."""
+    labels = _t(spark, d, "labels").select("doc_id", _f("q%", "quality").alias("content"))
+    return R.looked_up_content(_t(spark, d, "documents").select("doc_id"), labels.unionByName(labels), "doc_id", default="none")
+
+
+@query(r"SELECT doc_id, CASE WHEN lang = 'en' THEN 'guides' WHEN lang = 'fr' THEN 'api-' || regexp_extract(source, '(\d+)$', 1) ELSE 'general' END AS category FROM documents")
+def path_classes(spark, d):
+    path = F.when(F.col("lang") == "en", _f("docs/guide-%", "source")).when(F.col("lang") == "fr", _f("reference/v%/x", F.regexp_extract("source", r"(\d+)$", 1))).otherwise(F.col("source"))
+    return _t(spark, d, "documents").select("doc_id", K.classified(path, [(r"^docs/guide", "guides"), (r"^reference/v(\d+)", "api-$1")]).alias("category"))
+
+
+class _Unsteady:
+    """A transport that fails a number of times for each URL, then answers; with redirects and known validators."""
+
+    def __init__(self):
+        self.asked: dict[str, int] = {}
+
+    def __call__(self, url: str, headers: dict[str, str]) -> N.Reply:
+        n = self.asked[url] = self.asked.get(url, 0) + 1
+        kind, fails = url.rsplit("/", 1)[1].split("-")[:2]
+        if n <= int(fails):
+            return N.Reply(503, headers={"retry-after": "0"})
+        if kind == "away":
+            return N.Reply(302, headers={"location": "https://elsewhere.test/x"})
+        if kind == "moved":
+            return N.Reply(301, headers={"location": f"/found-0-{url.rsplit('-', 1)[1]}"})
+        if headers.get("If-None-Match") == "known":
+            return N.Reply(304)
+        return N.Reply(200, url.encode(), {"etag": "known"})
+
+
+@query("""SELECT policy, n_name, least(fails, tries) + 1 AS attempts, CASE WHEN fails > tries THEN 503 WHEN kind = 'away' THEN CASE WHEN policy = 'schedule' THEN 404 ELSE 302 END WHEN kind = 'moved' THEN CASE WHEN policy = 'schedule' THEN 200 ELSE 301 END WHEN kind = 'known' THEN 304 ELSE 200 END AS status
+FROM (SELECT n_name, n_nationkey % 5 AS fails, CASE n_nationkey % 4 WHEN 0 THEN 'found' WHEN 1 THEN 'away' WHEN 2 THEN 'moved' ELSE 'known' END AS kind FROM nation), (VALUES ('once', 0), ('linear', 2), ('schedule', 4), ('budget', 3)) v(policy, tries)""")
+def fetch_policies(spark, d):
+    """The same unsteady site under each policy: tries, redirects on and off the host, validators."""
+    k = F.col("n_nationkey")
+    kind = F.when(k % 4 == 0, "found").when(k % 4 == 1, "away").when(k % 4 == 2, "moved").otherwise("known")
+    asked = _t(spark, d, "nation").select("n_name", _f("https://u.test/%-%-%", kind, k % 5, "n_name").alias("url"), F.when(kind == "known", F.lit("known")).alias("etag"))
+    out = None
+    for policy in N.POLICIES:
+        got = N.fetch_all(asked, _Unsteady(), policy, etag="etag", sleep=_no_wait).select(F.col("url").alias("u"), "status", "attempts")
+        part = asked.join(got, F.col("url") == F.col("u")).select(F.lit(policy).alias("policy"), "n_name", "attempts", "status")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _no_wait(seconds: float) -> None:
+    """Sources in tests need no waiting."""
+
+
 # ------------------------------------------------------------------ texts and converters
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,17 @@ def cut_here(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def reused(spark: SparkSession, where: str, make: Callable[[], DataFrame], hours: float | None = None) -> tuple[DataFrame, bool]:
+    """(rows, whether they were there): a manifest that has landed under where, if it is complete and younger than hours; else made and landed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{where.rstrip('/')}/_SUCCESS")
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if fs.exists(path) and (hours is None or time.time() - fs.getFileStatus(path).getModificationTime() / 1000 < 3600 * hours):
+        return spark.read.parquet(where), True
+    rows = make()
+    rows.write.mode("overwrite").parquet(where)
+    return spark.read.schema(rows.schema).parquet(where), False
+
+
 class SnapshotStore:
     """A table kept as versions `v00000001`, ... under root; the file CURRENT names the one that holds.
 

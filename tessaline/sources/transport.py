@@ -106,6 +106,20 @@ def changed_by_head(url: str, known_etag: str | None, head: Transport, policy: P
     return not known_etag or reply.headers.get("etag") != known_etag
 
 
+class AccessDenied(RuntimeError):
+    """What a source needs to be let in isn't there, or isn't valid any more."""
+
+
+def verify_access(url: str, headers: dict[str, str], send: Transport, policy: Policy = POLICIES["once"], signed_in: Callable[[Reply], bool] = lambda r: True) -> None:
+    """Ask for a page that only those who are let in can see, before anything is fetched: a refusal, a redirect (to a sign-in
+    page) or a page that signed_in rejects ends the run with nothing changed."""
+    if not headers:
+        raise AccessDenied(f"{url}: a cookie is needed")
+    reply, _ = fetch(url, send, policy, headers=headers)
+    if reply.status != 200 or not signed_in(reply):
+        raise AccessDenied(f"{url}: not let in (status {reply.status})")
+
+
 def cookie_header(value: str | None = None, path: str | None = None) -> dict[str, str]:
     """A Cookie header from a value or a file's first line that is no comment."""
     if value is None and path:
@@ -114,7 +128,7 @@ def cookie_header(value: str | None = None, path: str | None = None) -> dict[str
     return {"Cookie": value.removeprefix("Cookie:").strip()} if value else {}
 
 
-def fetch_all(manifest: DataFrame, transport: Transport, policy: str = "once", url: str = "url", etag: str | None = None, partitions: int | None = None) -> DataFrame:
+def fetch_all(manifest: DataFrame, transport: Transport, policy: str = "once", url: str = "url", etag: str | None = None, partitions: int | None = None, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """manifest's urls fetched by tasks: (url, status, body, etag, attempts, error) for each row. Failures are rows, not exceptions."""
     import pandas as pd
 
@@ -126,7 +140,7 @@ def fetch_all(manifest: DataFrame, transport: Transport, policy: str = "once", u
             out = []
             for k in range(len(frame)):
                 try:
-                    reply, tries = fetch(frame[url].iloc[k], transport, POLICIES[policy], frame[etag].iloc[k] if etag else None)
+                    reply, tries = fetch(frame[url].iloc[k], transport, POLICIES[policy], frame[etag].iloc[k] if etag else None, sleep=sleep)
                     out.append((frame[url].iloc[k], reply.status, reply.body, reply.headers.get("etag"), tries, None))
                 except Exception as e:  # noqa: BLE001  a row must say what went wrong, whatever it was
                     out.append((frame[url].iloc[k], 0, None, None, 1, f"{type(e).__name__}: {e}"[:300]))

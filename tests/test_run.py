@@ -103,6 +103,23 @@ def test_cursors_that_return_end(spark):
     assert sorted((r["source"], r["page"], r["url"]) for r in got.collect()) == [("s", 1, "s1"), ("s", 2, "s2"), ("t", 1, "t1")]
 
 
+def test_access_is_verified():
+    send = lambda url, headers: N.Reply(200, b"hello") if headers.get("Cookie") == "k=v" else N.Reply(302, None, {"location": "/login"})
+    N.verify_access("https://x.test/", {"Cookie": "k=v"}, send)
+    for headers, signed_in in (({}, bool), ({"Cookie": "old"}, bool), ({"Cookie": "k=v"}, lambda r: b"sign out" in r.body)):
+        with pytest.raises(N.AccessDenied):
+            N.verify_access("https://x.test/", headers, send, signed_in=signed_in)
+
+
+def test_manifests_that_landed_are_reused(spark, tmp_path):
+    from tessaline.plans.store import reused
+
+    calls = []
+    make = lambda: calls.append(1) or spark.range(3 * len(calls))
+    where = f"file://{tmp_path}/m"
+    assert [(reused(spark, where, make, h)[0].count(), reused(spark, where, make)[1]) for h in (24, None, 0)] == [(3, True), (3, True), (6, True)] and len(calls) == 2
+
+
 def test_command_line(spark, tmp_path, capsys):
     c = cli.parse(["anthropic", "cloudf", "--dry-run", "--force", "--limit", "3", "--verbose", "--", "--scope", "docs/", "--provider", "a/b", "--odd", "1"])
     assert [s.name for s in c.specs] == ["anthropic", "cloudflare"] and c.options.dry_run and c.options.force and c.options.limit == 3 and c.verbose and c.rest == ("--odd", "1") and c.options.scope is not None
