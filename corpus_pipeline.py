@@ -36,7 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of PASSAGE_WORDS words or more that occur twice or more go, all of them. Emptied documents stay.
 
-    The length is in words, whose number of bytes differs by language: a passage of fifty words has some 130 to 450 bytes.
+    The length is in words, whose number of bytes differs by language: a passage of fifty words has some 125 to 550 bytes.
     """
     columns = docs.columns
     cut = suffix.remove_repeats(docs, threshold=PASSAGE_WORDS, words=True)
