@@ -69,12 +69,12 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
-def drop_cut(df: DataFrame) -> None:
-    """Delete the files of a cut that nothing reads any more, and let Spark clear unreferenced shuffles."""
-    path = getattr(df, "_tessaline_path", None)
-    if path:
-        _delete(df.sparkSession, path)
-    release(df.sparkSession)
+def drop_cut(*frames: DataFrame) -> None:
+    """Delete the files of cuts that nothing reads any more, and let Spark clear unreferenced shuffles, once for all of them."""
+    for df in frames:
+        if path := getattr(df, "_tessaline_path", None):
+            _delete(df.sparkSession, path)
+    release(frames[0].sparkSession)
 
 
 def release(spark: SparkSession) -> None:

@@ -272,8 +272,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
         ranked = cut(rows.mapInArrow(_core_rows(threshold, length, words), "rid long, lo int, hi int, one long, two long"), "suffix-ranks")
         pairs = cut(ranked.groupBy(F.col("one").alias("o"), F.col("two").alias("t")).agg(F.count("*").alias("n")).filter("n > 1").select("o", "t"), "suffix-pairs")
         now = cut(ranked.join(pairs, (ranked["one"] == pairs["o"]) & (ranked["two"] == pairs["t"])).select("rid", "lo", "hi"), "suffix-left")
-        for done in (ranked, pairs, *([] if left is None else [left])):
-            drop_cut(done)
+        drop_cut(ranked, pairs, *([] if left is None else [left]))
         left = now
 
     sure = kinds.filter("n > 1").select(F.col("h").alias("a"), F.col("s").alias("b"))
@@ -285,8 +284,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", threshold: int = 400
     dense = runs.join(alone, runs["rid"] == alone["r"]).select("key", (F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + threshold).alias("stop"))
     spans = settled.unionByName(whole).unionByName(dense).groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     out = cut(spans, "suffix-spans")
-    for done in (held, again, settled, kinds, several, open_, pieces, left):
-        drop_cut(done)
+    drop_cut(held, again, settled, kinds, several, open_, pieces, left)
     return out
 
 
