@@ -46,7 +46,7 @@ from .common import chunks, cut, drop_cut, mix64, small_batches, words_of
 
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Windows that are ranked at once: bounds the arrays that a long text needs.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 19
 
 
 def pair(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -181,7 +181,7 @@ def _anchor_rows(threshold: int, words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = [(k, t) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t is not None and len(t) >= threshold]
-            for part in chunks(pairs, lambda r: len(r[1])):
+            for part in chunks(pairs, lambda r: len(r[1]), SEGMENT):
                 yield rows([r[1] for r in part], [r[0] for r in part])
 
     return run
@@ -214,7 +214,7 @@ def _core_rows(threshold: int, length: int, words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for part in chunks(batch.column(1).to_pylist(), len, 1 << 20):
+            for part in chunks(batch.column(1).to_pylist(), len, SEGMENT):
                 here = slice(at, at + len(part))
                 at += len(part)
                 rid, top, left = (batch.column(i)[here] for i in (0, 2, 3))
