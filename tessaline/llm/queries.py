@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lm, mixing, quality, rules, simhash, suffix, toxicity, warc
+from . import chat, decontam, fingerprints, lm, mixing, quality, rules, simhash, suffix, toxicity, trie, warc, whitening
 from .common import cut, table
 
 
@@ -55,5 +55,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_simhash_near_dedup, op3_suffix_array_dedup, op4_maxent_lm, op5_mix_sources, op6_warc_round_trip, op7_decontaminate, op8_chat_format, op9_toxicity_cnn, op10_quality_rules)}
-ORACLES = {"op5_mix_sources": mixing.ORACLE, "op6_warc_round_trip": warc.ORACLE, "op7_decontaminate": decontam.ORACLE, "op10_quality_rules": rules.ORACLE}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns, and n_near: how many other rows the block tables find near each row whose id is divisible by 20."""
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_compression, op2_simhash_near_dedup, op3_suffix_array_dedup, op4_maxent_lm, op5_mix_sources, op6_warc_round_trip, op7_decontaminate, op8_chat_format, op9_toxicity_cnn, op10_quality_rules, op11_prefix_trie, op12_embedding_whitening, op13_document_fingerprints)}
+ORACLES = {"op5_mix_sources": mixing.ORACLE, "op6_warc_round_trip": warc.ORACLE, "op7_decontaminate": decontam.ORACLE, "op10_quality_rules": rules.ORACLE, "op11_prefix_trie": trie.ORACLE}
