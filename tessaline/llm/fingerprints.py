@@ -183,5 +183,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     counts = cut(rows.groupBy("fingerprint").agg(F.count("*").alias("copies"), F.bool_or(F.coalesce(asks, F.lit(False))).alias("asked")), "prints-distinct")
     met = within(counts.filter("asked"), counts, radius).join(counts.select(F.col("fingerprint").alias("__f"), "copies"), F.col("fingerprint") == F.col("__f"))
     near = met.groupBy("query").agg((F.sum("copies") - 1).alias("__near"))
-    out = rows.join(near, F.when(asks, F.col("fingerprint")) == F.col("query"), "left")
-    return out.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", F.when(asks, F.col("__near")).alias("n_near"))
+    # Rows that ask nothing stay out of the join: they would all meet under one null key.
+    asked = rows.filter(asks).join(near, F.col("fingerprint") == F.col("query"), "left").drop("query")
+    out = asked.unionByName(rows.filter(~F.coalesce(asks, F.lit(False))).withColumn("__near", F.lit(None).cast("bigint")))
+    return out.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", F.col("__near").alias("n_near"))
