@@ -106,6 +106,16 @@ def html_sections(html: Column | str, starts: str = "h1,h2", within: str = "") -
     return run(html)
 
 
+def html_slices(html: Column | str, kinds: list[list[str]], dialect: str = "docbook") -> Column:
+    """array<struct<ord, parent, trail, kind, anchor, title, anchors, markdown>>: one page as a tree of documents."""
+
+    @F.pandas_udf("array<struct<ord:int,parent:int,trail:array<string>,kind:string,anchor:string,title:string,anchors:array<string>,markdown:string>>")
+    def run(values: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else html_md.slices(v, kinds, dialect) for v in values], dtype="object")
+
+    return run(html)
+
+
 def html_definitions(html: Column | str) -> Column:
     @F.pandas_udf("array<struct<name:string,markdown:string>>")
     def run(values: pd.Series) -> pd.Series:
@@ -201,6 +211,30 @@ def spec_format(spec: Column | str) -> Column:
     return _texts(one)(spec)
 
 
+#: Base64 of a zlib stream, as bundles carry descriptions: such a stream begins with the byte 0x78.
+_PACKED = r"""["'](e[A-Za-z0-9+/]{19,}={0,2})["']"""
+
+
+def packed_description(script: Column | str) -> Column:
+    """The description that a bundle's chunk carries as Base64 of zlib; null where it has none."""
+    return inflated(F.nullif(F.regexp_extract(script, _PACKED, 1), F.lit("")))
+
+
+def body_kind(body: Column | str) -> Column:
+    """What a body is, by what stands in it: openapi, swagger, postman, vendor, protocol, packed (a description in a script), compiled (MDX), html, mdx, markdown or empty.
+
+    Descriptions may be JSON or YAML. What else JSON or a script may be is json or script.
+    """
+    c = F.col(body) if isinstance(body, str) else body
+    trimmed = F.ltrim(F.regexp_replace(c, r"^[\s\uFEFF]+", ""))
+    told = F.when(F.rlike(trimmed, F.lit(r"^[{\[]")), spec_format(c)).when(F.rlike(trimmed, F.lit(r"(?m)^(?:openapi|swagger):\s*\S")), spec_format(yaml_to_json(c)))
+    script = F.rlike(trimmed, F.lit(r"(?s)^(?:\"use strict\"|\(?self|import\b.{0,400}_jsx|var |const |let |function |/\*)"))
+    return (
+        F.when(c.isNull() | (trimmed == ""), "empty").when(told.isNotNull() & (told != "unknown"), told).when(F.rlike(trimmed, F.lit(r"^[{\[]")) & F.try_parse_json(c).isNotNull(), "json")
+        .when(F.rlike(trimmed, F.lit(r"(?i)^<(?:!doctype|html|head|body|main|article|div|\?xml)")), "html").when(script & F.rlike(c, F.lit(_PACKED)), "packed")
+        .when(F.rlike(c, F.lit(r"_createMdxContent|MDXContent")), "compiled").when(script, "script").when(F.rlike(c, F.lit(r"(?m)^(?:import|export)\s|<[A-Z]\w*[\s/>]")), "mdx").otherwise("markdown"))
+
+
 def _trees(convert: Callable, kind: str = "string") -> Callable[..., Column]:
     """Of JSON texts; null where they can't be parsed."""
 

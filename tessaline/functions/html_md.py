@@ -455,3 +455,52 @@ def definitions(html: str) -> list[dict]:
             elif isinstance(c, Node) and c.tag == "dd" and out:
                 out[-1]["markdown"] = collapse(_lines(draw.blocks(c.children)))
     return out
+
+
+def slices(html: str, kinds: list[list[str]], dialect: str = "docbook", url: str = "") -> list[dict]:
+    """One page as a tree of documents: {ord, parent, trail, kind, anchor, title, anchors, markdown} in the page's order.
+
+    kinds has classes of elements by rank, outermost first. An element of one of them is a document; it belongs to the one
+    around it, or else to the last one before it with a lower rank and a higher heading (chapters that follow their part). Its
+    text is what it holds beside the documents inside it, its anchors the ids and names in that, trail its ancestors' and its
+    own names. What stands outside all documents is left out.
+    """
+    rank = {c: k for k, classes in enumerate(kinds) for c in classes}
+    own = DIALECTS[dialect]
+    out: list[dict] = []
+
+    def heading(n: Node) -> Node | None:
+        return next((h for h in n.walk() if h.tag in HEADINGS), None)
+
+    def visit(n: Node, inside: dict | None) -> None:
+        for c in list(n.children):
+            if not isinstance(c, Node):
+                continue
+            kind = next((x for x in c.classes() if x in rank), None)
+            if kind is None:
+                visit(c, inside)
+                continue
+            head = heading(c)
+            anchor = c.attrs.get("id") or next((x.attrs[a] for x in c.walk() for a in ("id", "name") if x.attrs.get(a)), "")
+            made = {"ord": len(out), "kind": kind, "anchor": anchor, "title": squeeze(head.text()).strip() if head else "", "level": HEADINGS[head.tag] if head else 9, "node": c}
+            before = next((d for d in reversed(out) if rank[d["kind"]] < rank[kind] and d["level"] < made["level"]), None)
+            above = inside or before
+            made["parent"] = above["ord"] if above else None
+            made["trail"] = [*(above["trail"] if above else []), anchor or made["title"] or kind]
+            out.append(made)
+            visit(c, made)
+
+    tree = parse(html)
+    visit(tree, None)
+    documents = {id(d["node"]) for d in out}
+
+    def without(n: Node) -> Node:
+        return Node(n.tag, n.attrs, [without(c) if isinstance(c, Node) else c for c in n.children if not (isinstance(c, Node) and id(c) in documents)])
+
+    draw = Renderer(own, url)
+    for d in out:
+        mine = without(d.pop("node"))
+        d["anchors"] = sorted({x.attrs[a] for x in mine.walk() for a in ("id", "name") if x.attrs.get(a)} | ({d["anchor"]} - {""}))
+        d["markdown"] = collapse(_lines(draw.blocks(mine.children)))
+        d.pop("level")
+    return out

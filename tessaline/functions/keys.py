@@ -88,6 +88,15 @@ def in_prefixes(path: Column | str, prefixes: Sequence[str], bounded: bool = Tru
     return out
 
 
+#: Languages that end titles of translated pages, in brackets.
+LANGUAGES = (
+    "Bahasa Indonesia", "Bosanski", "Català", "Čeština", "Dansk", "Deutsch", "Eesti", "Español", "Esperanto", "Euskara", "Français", "Hrvatski", "Italiano", "Lietuvių", "Magyar",
+    "Nederlands", "Norsk Bokmål", "Polski", "Português", "Português (Brasil)", "Qhichwa", "Română", "Slovenčina", "Slovenský", "Slovenščina", "Suomi", "Svenska", "Türkçe", "Tiếng Việt",
+    "Ελληνικά", "Български", "Қазақша", "Македонски", "Русский", "Српски", "Українська", "العربية", "עברית", "فارسی", "हिन्दी", "ไทย", "বাংলা",
+    "中文 (简体)", "中文 (繁體)", "中文（简体）", "中文（繁體）", "文言文", "正體中文", "粵語", "日本語", "한국어",
+)
+
+
 def translated_title(title: Column | str, languages: Sequence[str]) -> Column:
     """Whether a title ends in ' (Language)' for one of languages."""
     return F.regexp_extract(_col(title), r" \(([^()]+)\)$", 1).isin(*languages)

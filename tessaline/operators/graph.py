@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..plans.store import cut_here
+from . import relational as R
 
 
 def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
@@ -90,3 +92,40 @@ def derived_parents(paths: DataFrame, column: str = "path", wanted: Sequence[int
 
     up = paths.select(F.explode(parent_paths(column)).alias(column)).distinct()
     return up.filter(F.size(F.split(column, "/")).isin(*wanted)) if wanted else up
+
+
+def reading_order(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, place, depth, parent, caption, title, number): depth first from roots (node, ord), each node where it is first met.
+
+    edges: (src, ord, dst), maybe caption and title. place has the number of the entry taken at each step, so that its order is
+    the reading order: of the ways to a node without a node twice, the smallest one is that of a depth-first walk. Rounds
+    hand improved ways down the edges and end when none improves, so cycles end; a forest may have several roots. number
+    counts from 1 over all, by ranges, so no task orders all nodes.
+    """
+    none = F.lit(None).cast("string")
+    extra = [F.col(c).alias(c) if c in edges.columns else none.alias(c) for c in ("caption", "title")]
+    links = edges.filter("dst IS NOT NULL").select("src", F.col("ord").cast("bigint").alias("ord"), "dst", *extra)
+    way = F.min_by(F.struct("place", "nodes", "parent", "caption", "title"), "place").alias("w")
+    first = roots.select(F.col(roots.columns[0]).alias("node"), F.array(F.col("ord").cast("bigint")).alias("place"), F.array(roots.columns[0]).alias("nodes"), F.lit(None).cast(edges.schema["src"].dataType).alias("parent"), none.alias("caption"), none.alias("title"))
+    best = cut_here(first.groupBy("node").agg(way).select("node", "w.*"))
+    better = best
+    while not better.isEmpty():
+        step = links.join(better.select(F.col("node").alias("__from"), F.col("place").alias("__place"), F.col("nodes").alias("__nodes")), F.col("src") == F.col("__from")).filter(~F.array_contains("__nodes", F.col("dst")))
+        offered = step.select(F.col("dst").alias("node"), F.array_append("__place", F.col("ord")).alias("place"), F.array_append("__nodes", F.col("dst")).alias("nodes"), F.col("src").alias("parent"), "caption", "title")
+        offered = offered.groupBy("node").agg(way).select("node", "w.*")
+        old = best.select(F.col("node").alias("__node"), F.col("place").alias("__old"))
+        better = cut_here(offered.join(old, F.col("node") == F.col("__node"), "left").filter(F.col("__old").isNull() | (F.col("place") < F.col("__old"))).drop("__node", "__old"))
+        best = cut_here(best.join(better.select(F.col("node").alias("__node")), F.col("node") == F.col("__node"), "left_anti").unionByName(better))
+    found = best.select("node", "place", (F.size("place") - 1).alias("depth"), "parent", "caption", "title")
+    return R.numbered(found, [], ["place"], "number")
+
+
+def reading_lines(order: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """(number, line): order as nested list items, with a heading where a caption begins; titles (node, name) for entries without their own."""
+    shown = order if titles is None else order.join(titles.select(F.col("node").alias("__t"), F.col("name").alias("__name")), F.col("node") == F.col("__t"), "left").drop("__t")
+    name = F.coalesce(F.nullif("title", F.lit("")), *([F.col("__name")] if titles is not None else []), F.col("node"))
+    item = F.concat(F.repeat(F.lit("  "), F.greatest(F.col("depth") - 1, F.lit(0))), F.lit("- ["), name, F.lit("]("), F.col("node"), F.when(~F.contains("node", F.lit("://")), F.lit(".md")).otherwise(F.lit("")), F.lit(")"))
+    # A caption counts for the entries right below it: it begins where the entry before it, among a parent's, has another.
+    before = F.lag("caption").over(W.partitionBy("parent").orderBy("place"))
+    begins = (F.col("depth") == 1) & (F.coalesce("caption", F.lit("")) != "") & ~F.col("caption").eqNullSafe(before)
+    return shown.withColumn("line", F.when(begins, F.concat(F.lit("## "), F.col("caption"), F.lit("\n\n"), item)).otherwise(item)).select("number", "line")

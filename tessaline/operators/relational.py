@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..plans.store import cut_here
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in order. Minima of structs: one partial aggregate, no sort of a group."""
@@ -100,30 +102,55 @@ def levels_by_appearance(df: DataFrame, key: str, order: str, mark: str) -> Data
     return df.join(ranked, (F.col(key) == F.col("__k")) & F.col(mark).eqNullSafe(F.col("__m"))).drop("__k", "__m")
 
 
-def batches(df: DataFrame, key: str, order: str, size: int) -> DataFrame:
-    """batch: rows in runs of size within key."""
-    return df.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(key).orderBy(order)) - 1) / size).cast("bigint"))
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: Column, out: str) -> DataFrame:
+    """out: the sum of value over the rows of the same keys up to each one in order, for groups of any size.
+
+    Rows are dealt by ranges of (keys, order), so a large group lies in many partitions. Each sums up its own rows, and to that
+    comes what the partitions before have of the group: a row for each partition and group that it holds. Rows that are equal
+    in keys and order come in any order, always the same within a run.
+    """
+    rest = [F.col(c).asc_nulls_first() for c in keys] + [F.col(c) if isinstance(c, str) else c for c in order] + [F.col("__spread")]
+    dealt = df.withColumn("__value", value).withColumn("__spread", F.monotonically_increasing_id()).repartitionByRange(*rest)
+    rows = cut_here(dealt.withColumn("__part", F.spark_partition_id()))
+    inside = rows.withColumn("__inside", F.sum("__value").over(W.partitionBy("__part", *keys).orderBy(*rest[len(keys) :]).rowsBetween(W.unboundedPreceding, 0)))
+    parts = rows.groupBy("__part", *keys).agg(F.sum("__value").alias("__sum"))
+    before = F.sum("__sum").over((W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))).orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    parts = parts.select(F.col("__part").alias("__at"), *[F.col(k).alias(f"__k{n}") for n, k in enumerate(keys)], F.coalesce(before, F.lit(0)).alias("__before"))
+    same = F.col("__part") == F.col("__at")
+    for n, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{n}"))
+    return inside.join(parts, same).withColumn(out, F.col("__before") + F.col("__inside")).select(*[c for c in df.columns if c != out], out)
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str = "number") -> DataFrame:
+    """out: the place of each row among those of the same keys in order, from 1, for groups of any size."""
+    return running_total(df, keys, order, F.lit(1).cast("bigint"), out)
+
+
+def batches(df: DataFrame, key: str | None, order: str, size: int) -> DataFrame:
+    """batch: rows in runs of size within key (within all, if it is None)."""
+    return numbered(df, [key] if key else [], [F.col(order).asc_nulls_first()], "batch").withColumn("batch", F.floor((F.col("batch") - 1) / size).cast("bigint"))
 
 
 def decollided(df: DataFrame, group: str, name: str, order: str, out: str = "unique_name") -> DataFrame:
     """Names made unique within group: the first keeps its name, further ones get -2, -3 and so on.
 
-    A made name may be somebody's own; numbers that are taken so are passed over, however many they are.
+    A made name may be somebody's own; numbers that are taken so are passed over, however many they are. Groups of any size.
     """
-    now = df.withColumn("__try", F.row_number().over(W.partitionBy(group, name).orderBy(order)))
+    now = numbered(df, [group, name], [F.col(order).asc_nulls_first()], "__try")
     # Numbers taken of each base; a null base makes names of a number alone.
     number = r"[1-9][0-9]{0,17}"
     own, plain = rf"(?s)\A(.*)-({number})\z", rf"\A({number})\z"
     base = F.when(F.rlike(name, F.lit(own)), F.regexp_extract(name, own, 1))
     value = F.when(F.rlike(name, F.lit(own)), F.regexp_extract(name, own, 2)).when(F.rlike(name, F.lit(plain)), F.col(name)).cast("bigint")
-    taken = df.select(group, base.alias(name), value.alias("__value")).filter("__value >= 2").distinct()
+    taken = df.select(group, base.alias(name), value.alias("__taken_number")).filter("__taken_number >= 2").distinct()
     # Free numbers below each taken one, and before each row's: the rows that follow a taken number go one further for it.
-    below = F.col("__value") - 1 - F.row_number().over(W.partitionBy(group, name).orderBy("__value"))
-    both = now.withColumn("__free", (F.col("__try") - 2).cast("bigint")).withColumn("__taken", F.lit(0)).unionByName(
-        taken.select(group, name, below.alias("__free"), F.lit(1).alias("__taken")), allowMissingColumns=True)
-    passed = F.sum("__taken").over(W.partitionBy(group, name).orderBy("__free", F.desc("__taken")).rowsBetween(W.unboundedPreceding, 0))
+    taken = numbered(taken, [group, name], ["__taken_number"], "__k")
+    both = now.withColumn("__free", (F.col("__try") - 2).cast("bigint")).withColumn("__taken", F.lit(0).cast("bigint")).unionByName(
+        taken.select(group, name, (F.col("__taken_number") - 1 - F.col("__k")).alias("__free"), F.lit(1).cast("bigint").alias("__taken")), allowMissingColumns=True)
+    passed = running_total(both, [group, name], ["__free", F.desc("__taken")], F.col("__taken"), "__passed")
     made = F.when(F.col("__try") == 1, F.col(name)).otherwise(F.concat_ws("-", name, (F.col("__try") + F.col("__passed")).cast("string")))
-    return both.withColumn("__passed", passed).filter("__taken = 0").withColumn(out, made).select(*df.columns, out)
+    return passed.filter("__taken = 0").withColumn(out, made).select(*df.columns, out)
 
 
 def ranked_by(value: Column | str, ranking: Sequence[str]) -> Column:
@@ -194,16 +221,17 @@ def remapped_aliases(index: DataFrame, pages: DataFrame, suffix: str = "/overvie
 
 
 def prefix_join(rows: DataFrame, prefixes: DataFrame, path: str = "path", prefix: str = "prefix") -> DataFrame:
-    """rows with the columns of the longest prefix (whole segments) of their path; rows without one go.
+    """rows with the columns of the longest prefix (whole segments) of their path; rows without one go, repeated rows stay.
 
-    A path has few ancestors: they are rows of an equi-join, so no path is compared with every prefix.
+    A path has few ancestors: they are rows of an equi-join, so no path is compared with every prefix. Only distinct paths
+    go through it; rows then meet their path's prefix. Of a prefix that stands there twice the smallest row counts.
     """
-    parts = F.split(path, "/")
+    parts = F.split("__path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
-    named = rows.withColumn("__row", F.struct(*rows.columns)).select("__row", F.explode(above).alias("__above"))
-    found = named.join(prefixes, F.col("__above") == F.col(prefix)).drop("__above")
-    best = found.groupBy("__row").agg(F.max_by(F.struct(*prefixes.columns), F.char_length(prefix)).alias("__best"))
-    return best.select("__row.*", "__best.*")
+    known = prefixes.groupBy(F.col(prefix).alias("__prefix")).agg(F.min(F.struct(*prefixes.columns)).alias("__named"))
+    named = rows.filter(F.col(path).isNotNull()).select(F.col(path).alias("__path")).distinct().select("__path", F.explode(above).alias("__above"))
+    best = named.join(known, F.col("__above") == F.col("__prefix")).groupBy("__path").agg(F.max_by("__named", F.char_length("__prefix")).alias("__best"))
+    return rows.join(best, F.col(path) == F.col("__path")).select(*rows.columns, "__best.*")
 
 
 def looked_up_content(index: DataFrame, pages: DataFrame, key: str = "url", content: str = "content", default: str | None = None) -> DataFrame:

@@ -42,6 +42,28 @@ def gated_removals(old: DataFrame, new: DataFrame, gate: DataFrame, scope: str,
     return removals(old, new, key).join(opened, F.col(scope) == F.col("__scope"), "left_semi")
 
 
+def scope_gates(planned: DataFrame, declared: DataFrame, filtered: bool = False, scope: str = "scope") -> DataFrame:
+    """(scope, complete, rows, least_rows, open): the gate of each scope, as a relation.
+
+    declared has (scope, complete) and maybe least_rows, several rows for a scope if several discoveries feed it: all must be
+    complete. A scope is open if it is complete, has as many rows as it must (one, where nothing is said; none, for a scope
+    that is known to be gone) and nothing was filtered. Scopes that are planned but not declared are closed, and so are those
+    of which neither says anything: they have no row.
+    """
+    least = F.max("least_rows") if "least_rows" in declared.columns else F.lit(1)
+    told = declared.groupBy(F.col(scope).alias("__d")).agg(F.bool_and(F.coalesce("complete", F.lit(False))).alias("complete"), F.coalesce(least, F.lit(1)).cast("bigint").alias("least_rows"))
+    counted = planned.groupBy(F.col(scope).alias("__p")).agg(F.count("*").alias("rows"))
+    both = told.join(counted, F.col("__d") == F.col("__p"), "full_outer").select(
+        F.coalesce("__d", "__p").alias(scope), F.coalesce("complete", F.lit(False)).alias("complete"), F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("least_rows", F.lit(1)).alias("least_rows"))
+    return both.withColumn("open", F.col("complete") & (F.col("rows") >= F.col("least_rows")) & ~F.lit(filtered))
+
+
+def settled_tokens(outcomes: DataFrame, tokens: DataFrame, scope: str = "scope", status: str = "status") -> DataFrame:
+    """(scope, token) of those scopes of tokens of which no outcome failed: a scope's token counts only after full success."""
+    bad = outcomes.filter(F.col(status).isin(PRESERVED, FAILED)).select(F.col(scope).alias("__bad")).distinct()
+    return tokens.join(bad, F.col(scope) == F.col("__bad"), "left_anti")
+
+
 def plan_changes(manifest: DataFrame, state: DataFrame, key: str = "key", token: str = "token", exists: str | None = None, force: bool = False) -> DataFrame:
     """manifest with reason: 'new', 'changed', 'missing output', 'forced', or null where nothing has to be fetched."""
     known = state.select(F.col(key).alias("__key"), F.col(token).alias("__token"), *([F.col(exists).alias("__exists")] if exists else [F.lit(True).alias("__exists")]))

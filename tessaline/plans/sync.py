@@ -1,12 +1,17 @@
-"""Incremental synchronisation of a corpus: plan, fetch, convert, hash, classify, preserve, remove under a gate, commit.
+"""Incremental synchronisation of a corpus: plan, fetch, convert, hash, classify, preserve, remove under gates, commit.
 
-A state has (key, token, sha256, content, title, last_updated, output_exists). A manifest has (key, token) and whatever the
-fetch needs. The plan is declarative up to the commit: one left join decides what to fetch, one what to preserve, one full
-outer join what changed. Only a row of counts reaches the driver, for the gate.
+A state has (key, token, sha256, content, title, last_updated, output_exists, scope, etag). A manifest has (key, token),
+maybe scope, and whatever the fetch needs. The plan is declarative up to the commit: one left join decides what to fetch,
+one what to preserve, one full outer join what changed. Rows of counts reach the driver, for the gates.
 
-Dry runs return the classified rows and change nothing. force skips the check for changes, and only that: removals are
-found as ever. limit and scope make a run partial, which closes the gate on removals. With archive, what is removed stays
-in the state under deprecated/, where no run touches it.
+Removals pass a gate for each scope: (scope, complete) rows, where there are any, say which scopes were seen in full. What a
+run did not see in full is never removed. Dry runs return the classified rows and change nothing. force skips the check for
+changes, and only that: removals are found as ever. limit, scope and part make a run partial, which closes all gates. With
+archive, what is removed stays in the state under deprecated/, where no run touches it. A commit is a delta: it has the rows
+that are new or changed and the keys that are gone, so what a run writes follows what has changed.
+
+Validators: what is fetched again goes out with the ETag that its row has, if this converter made the row and its output is
+there; a 304 leaves it as it is. A page without a change token is asked for on every run.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from ..functions.text import content_hash, versioned
 from ..operators import state as S
 from .store import SnapshotStore, cut_here
 
-STATE = "key string, token string, sha256 string, content string, title string, last_updated timestamp, output_exists boolean"
+STATE = "key string, token string, sha256 string, content string, title string, last_updated timestamp, output_exists boolean, scope string, etag string"
 
 
 ARCHIVE = "deprecated/"
@@ -42,57 +47,84 @@ class Options:
     archive: bool = False
     engine: str = "1"
     retries: int = 1
+    gates: DataFrame | None = None  #: (scope, complete), maybe least_rows; without it one gate for all
+    part: tuple[int, int] | None = None  #: (k, n): only the keys of the k-th of n parts by hash
 
 
 @dataclass(frozen=True)
 class Outcome:
-    """rows: (key, status, sha256) of every key in either; counts by status; version: the committed snapshot, if any."""
+    """rows: (key, status, sha256) of every key in either; counts by status; version: the snapshot that holds after the run, if any;
+    gates: (scope, complete, rows, least_rows, open), where gates are by scope."""
 
     rows: DataFrame
     counts: dict[str, int]
     version: str | None
     gate: S.Gate
+    gates: DataFrame | None = None
 
 
 class SourceFailed(RuntimeError):
     """A source whose failures must not change anything has failed."""
 
 
+def _in_part(part: tuple[int, int]) -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(part[1])) == part[0]
+
+
+def made_by(token: Column | str, engine: str) -> Column:
+    """Whether a versioned token has this engine in front."""
+    return F.substring_index(token, "\u0001", 1) == engine
+
+
 def synchronise(manifest: DataFrame, fetch: Callable[[DataFrame], DataFrame], convert: Callable[[DataFrame], DataFrame], store: SnapshotStore, options: Options | None = None, now: Column | None = None) -> Outcome:
-    """One run. fetch: (key, token, ...) to (key, status, body), status 200, 304, 404 or anything else for a failure;
-    convert: (key, body) to (key, title, content), content null where the page can't be converted.
+    """One run. fetch: (key, token, ..., etag) to (key, status, body) and maybe etag, status 200, 304, 404 or anything else for a
+    failure; convert: (key, body) to (key, title, content), content null where the page can't be converted.
     """
     o = options or Options()
     spark = manifest.sparkSession
     archived = F.col("key").startswith(ARCHIVE)
     now = F.current_timestamp() if now is None else now
-    everything = store.read(STATE)
-    old = everything.filter(~archived)
+    old = store.read(STATE).filter(~archived)
+    if "scope" not in manifest.columns:
+        manifest = manifest.withColumn("scope", F.lit(""))
     # Of keys that a manifest has twice one row stays.
-    planned = manifest.dropDuplicates(["key"]).withColumn("token", versioned("token", o.engine))
+    planned = manifest.dropDuplicates(["key"]).withColumn("__told", F.col("token").isNotNull()).withColumn("token", versioned("token", o.engine))
     whole = cut_here(planned)
     rows = whole.count()
-    gate = S.Gate(complete=o.complete, filtered=o.limit is not None or o.scope is not None, rows=rows, least_rows=o.least_rows)
+    filtered = o.limit is not None or o.scope is not None or o.part is not None
+    gate = S.Gate(complete=o.complete, filtered=filtered, rows=rows, least_rows=o.least_rows)
     gate.require_rows()
+    gates = None if o.gates is None else cut_here(S.scope_gates(whole, o.gates, filtered or not o.complete))
     if o.scope is not None:
         whole = whole.filter(o.scope)
+    if o.part is not None:
+        whole, old = whole.filter(_in_part(o.part)), old.filter(_in_part(o.part))
     if o.limit is not None:
         whole = whole.orderBy("key").limit(o.limit)
-    plan = cut_here(S.plan_changes(whole, old, exists="output_exists", force=o.force))
+    plan = S.plan_changes(whole, old, exists="output_exists", force=o.force).withColumn("reason", F.coalesce("reason", F.when(~F.col("__told"), "unknown")))
+    valid = old.filter(made_by("token", o.engine) & F.col("sha256").isNotNull()).select(F.col("key").alias("__key"), F.col("etag").alias("__etag"))
+    asked = F.when(F.col("reason").isin("changed", "unknown"), F.col("__etag"))
+    plan = cut_here(plan.join(valid, F.col("key") == F.col("__key"), "left").withColumn("etag", asked).drop("__key", "__etag", "__told"))
 
     wanted = plan.filter("reason IS NOT NULL")
-    fetched = cut_here(fetch(wanted).select("key", F.col("status").alias("http"), "body"))
+
+    def replies(asked: DataFrame) -> DataFrame:
+        got = fetch(asked)
+        etag = F.col("etag") if "etag" in got.columns else F.lit(None).cast("string")
+        return cut_here(got.select("key", F.col("status").alias("http"), "body", etag.alias("n_etag")))
+
+    fetched = replies(wanted)
     for _ in range(o.retries):  # one more round for what failed, but not for what is gone
         again = fetched.filter("http NOT IN (200, 304, 404)")
         if again.isEmpty():
             break
-        retry = cut_here(fetch(wanted.join(again.select("key"), "key", "left_semi")).select("key", F.col("status").alias("http"), "body"))
+        retry = replies(wanted.join(again.select("key"), "key", "left_semi"))
         fetched = cut_here(fetched.join(retry.select("key"), "key", "left_anti").unionByName(retry))
     made = cut_here(convert(fetched.filter("http = 200").select("key", "body")).select("key", "title", "content").withColumn("sha256", content_hash("content")))
 
     # 404: gone, not failed. 304: as before. Others without content: failed, and the old row is preserved.
-    known = old.select("key", F.col("token").alias("o_token"), F.col("sha256").alias("o_sha"), F.col("content").alias("o_content"), F.col("title").alias("o_title"), F.col("last_updated").alias("o_time"))
-    joined = plan.join(fetched.select("key", "http"), "key", "left").join(made.withColumnRenamed("sha256", "n_sha"), "key", "left").join(known, "key", "left")
+    known = old.select("key", *[F.col(c).alias(f"o_{n}") for c, n in (("token", "token"), ("sha256", "sha"), ("content", "content"), ("title", "title"), ("last_updated", "time"), ("output_exists", "exists"), ("scope", "scope"), ("etag", "etag"))])
+    joined = plan.drop("etag").join(fetched.select("key", "http", "n_etag"), "key", "left").join(made.withColumnRenamed("sha256", "n_sha"), "key", "left").join(known, "key", "left")
     had, got = F.col("o_sha").isNotNull(), F.col("n_sha").isNotNull()
     kept = F.col("reason").isNull() | (F.col("http") == 304)
     status = (F.when(kept & had, S.UNCHANGED).when(F.col("http") == 404, "gone").when(got & ~had, S.ADDED).when(got & (F.col("reason") == "missing output"), S.ADDED)
@@ -104,27 +136,37 @@ def synchronise(manifest: DataFrame, fetch: Callable[[DataFrame], DataFrame], co
     gate = S.Gate(gate.complete, 0, gate.filtered, rows, o.least_rows)
 
     left = S.removals(old, judged.filter("status <> 'gone'"))
-    if gate.open:
-        dropped, carried = left, spark.createDataFrame([], STATE)
+    gone = judged.filter("status = 'gone'").select(F.col("key").alias("__gone"))
+    by_name = left.join(gone, F.col("key") == F.col("__gone"), "left_semi")
+    if gates is not None:  # rows from before there were scopes go only if all gates are open
+        unseen = left.join(gone, F.col("key") == F.col("__gone"), "left_anti")
+        all_open = gates.agg(F.coalesce(F.bool_and("open"), F.lit(False))).first()[0]
+        opened = gates.filter("open").select(F.col("scope").alias("__scope"))
+        seen = unseen.join(opened, F.col("scope") == F.col("__scope"), "left_semi")
+        dropped = by_name.unionByName(seen)
+        if all_open:
+            dropped = dropped.unionByName(unseen.filter("scope IS NULL"))
     else:
-        gone = judged.filter("status = 'gone'").select("key")
-        dropped, carried = left.join(gone, "key", "left_semi"), left.join(gone, "key", "left_anti")
+        dropped = left if gate.open else by_name
+    dropped = cut_here(dropped)
     new = F.col("status").isin(S.ADDED, S.UPDATED)
     # What is preserved keeps its old token, so that the next run asks for it again.
-    fresh = judged.filter(~F.col("status").isin(S.FAILED, "gone")).select(
-        "key", F.when(F.col("status") == S.PRESERVED, F.col("o_token")).otherwise(F.col("token")).alias("token"), F.when(new, F.col("n_sha")).otherwise(F.col("o_sha")).alias("sha256"),
+    token = F.when(F.col("status") == S.PRESERVED, F.col("o_token")).otherwise(F.col("token"))
+    etag = F.when(F.col("http") == 200, F.col("n_etag")).when(F.col("http") == 304, F.coalesce("n_etag", "o_etag")).otherwise(F.col("o_etag"))
+    etag = F.when(F.col("status") == S.PRESERVED, F.col("o_etag")).otherwise(etag)
+    same = token.eqNullSafe(F.col("o_token")) & etag.eqNullSafe(F.col("o_etag")) & F.col("scope").eqNullSafe(F.col("o_scope")) & F.coalesce("o_exists", F.lit(False))
+    changed = judged.filter(~F.col("status").isin(S.FAILED, "gone")).filter(new | ~same).select(
+        "key", token.alias("token"), F.when(new, F.col("n_sha")).otherwise(F.col("o_sha")).alias("sha256"),
         F.when(new, F.col("content")).otherwise(F.col("o_content")).alias("content"), F.when(new, F.col("title")).otherwise(F.col("o_title")).alias("title"),
-        F.when(new, now).otherwise(F.col("o_time")).alias("last_updated"), F.lit(True).alias("output_exists"))
+        F.when(new, now).otherwise(F.col("o_time")).alias("last_updated"), F.lit(True).alias("output_exists"), "scope", etag.alias("etag"))
     report = cut_here(judged.filter("status <> 'gone'").select("key", "status", F.coalesce("n_sha", "o_sha").alias("sha256")).unionByName(dropped.select("key", F.lit("deprecated" if o.archive else S.REMOVED).alias("status"), "sha256")))
     counts = {r["status"]: r["n"] for r in S.status_counts(report).collect()}  # one row for each status
     version = None
     if not o.dry_run:
-        state = fresh.unionByName(carried.select(*fresh.columns)).unionByName(everything.filter(archived).select(*fresh.columns))
-        if o.archive:  # moved aside with all they have, for the archive's copy of a key that comes back the new one counts
-            moved = dropped.withColumn("key", F.concat(F.lit(ARCHIVE), "key")).select(*fresh.columns)
-            state = state.join(moved.select("key"), "key", "left_anti").unionByName(moved)
-        version = store.commit(state)
-    return Outcome(report, counts, version, gate)
+        if o.archive:  # moved aside with all they have
+            changed = changed.unionByName(dropped.withColumn("key", F.concat(F.lit(ARCHIVE), "key")).select(*changed.columns))
+        version = store.append(changed, dropped.select("key"))
+    return Outcome(report, counts, version, gate, gates)
 
 
 def run_sources(spark, runs: dict[str, Callable[[], Outcome]], stop: bool = False) -> DataFrame:
@@ -202,14 +244,14 @@ def engine_of(*functions: Callable) -> str:
 def synchronise_in_parts(manifest: DataFrame, fetch: Callable[[DataFrame], DataFrame], convert: Callable[[DataFrame], DataFrame], store: SnapshotStore, options: Options | None = None, parts: int = 8) -> tuple[dict[str, int], Outcome]:
     """A long run with a commit after each part of the keys, so that one that dies keeps what it had and goes on from there.
 
-    Parts are filtered runs, which remove nothing; a last run over all keys fetches what still differs and removes what is gone.
+    Parts are filtered runs, which plan and commit their own keys and remove nothing; a last run over all keys fetches what still differs and removes what is gone.
     (counts of the parts, the last run's outcome).
     """
     o = options or Options()
     counts: dict[str, int] = {}
+    manifest = cut_here(manifest)
     for k in range(0 if o.dry_run else parts):
-        mine = F.pmod(F.xxhash64("key"), F.lit(parts)) == k
-        done = synchronise(manifest, fetch, convert, store, replace(o, scope=mine if o.scope is None else o.scope & mine))
+        done = synchronise(manifest, fetch, convert, store, replace(o, part=(k, parts)))
         for status, n in done.counts.items():
             counts[status] = counts.get(status, 0) + n
     return counts, synchronise(manifest, fetch, convert, store, o if o.dry_run else replace(o, force=False))

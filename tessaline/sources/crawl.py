@@ -8,7 +8,9 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.store import cut_here
+from pyspark.sql.types import StructType
+
+from ..plans.store import Pile, cut_here, drop_here
 
 Get = Callable[[DataFrame], DataFrame]
 
@@ -19,43 +21,54 @@ def crawl(roots: DataFrame, get: Get, links: Callable[[DataFrame], DataFrame], k
     get: (url, etag) to (url, status, body, etag); links: (url, body) to (url, ord, target). known: (url, etag, body) of the run
     before; a page that says 304 has its old body, and its links are followed as well. place has the number of the link taken
     at each step from a root; of the ways to a page the one of the fewest steps counts, of these the smallest place. So depth
-    and place are the order at first sight, without a task that numbers all pages. Each round fetches the frontier alone;
-    rounds end in durable files and go on until nothing is new.
+    and place are the order at first sight, without a task that numbers all pages. Each round fetches the frontier alone and
+    adds to one folder of pages and one of names, so the plan of a round is as large as that of the first; rounds go on until
+    nothing is new. Pages that failed are among the result, with their status and no body: what they lead to was not seen.
     """
-    at = roots.groupBy("url").agg(F.array(F.min("ord").cast("long")).alias("place")).withColumn("depth", F.lit(0))
-    frontier, seen, done = cut_here(at), None, None
+    spark = roots.sparkSession
+    frontier = cut_here(roots.groupBy("url").agg(F.array(F.min("ord").cast("long")).alias("place")).withColumn("depth", F.lit(0)))
+    done = Pile(spark, StructType.fromDDL("url string, depth int, place array<bigint>, status int, body binary, etag string"))
+    seen = Pile(spark, StructType.fromDDL("url string"))
     for depth in count(1):
-        asked = frontier
         if known is not None:
-            old = known.select(F.col("url").alias("__u"), F.col("etag").alias("etag"), F.col("body").alias("__body"))
+            old = known.select(F.col("url").alias("__u"), F.col("etag").alias("etag"), F.col("body").cast("binary").alias("__body"))
             asked = frontier.join(old, F.col("url") == F.col("__u"), "left").drop("__u")
         else:
             asked = frontier.withColumns({"etag": F.lit(None).cast("string"), "__body": F.lit(None).cast("binary")})
         replies = get(asked.select("url", "etag")).select(F.col("url").alias("__r"), "status", F.col("body").alias("__new"), F.col("etag").alias("__etag"))
         pages = asked.join(replies, F.col("url") == F.col("__r"), "left").select(
-            "url", "depth", "place", F.coalesce("status", F.lit(0)).alias("status"), F.when(F.col("status") == 304, F.col("__body")).when(F.col("status") == 200, F.col("__new")).alias("body"), F.coalesce("__etag", "etag").alias("etag"))
+            "url", "depth", "place", F.coalesce("status", F.lit(0)).alias("status"), F.when(F.col("status") == 304, F.col("__body")).when(F.col("status") == 200, F.col("__new").cast("binary")).alias("body"), F.coalesce("__etag", "etag").alias("etag"))
         pages = cut_here(pages)
-        done = pages if done is None else done.unionByName(pages)
-        seen = frontier.select("url") if seen is None else seen.unionByName(frontier.select("url"))
+        done.add(pages)
+        seen.add(frontier)
         found = links(pages.filter("body IS NOT NULL").select("url", "body")).select(F.col("url").alias("__from"), F.col("ord").cast("long").alias("ord"), "target").filter("target IS NOT NULL")
         stepped = found.join(pages.select("url", "place"), F.col("__from") == F.col("url")).select(F.col("target").alias("url"), F.array_append("place", F.col("ord")).alias("place"))
-        fresh = stepped.groupBy("url").agg(F.min("place").alias("place")).join(seen.select(F.col("url").alias("__seen")), F.col("url") == F.col("__seen"), "left_anti")
-        frontier = cut_here(fresh.withColumn("depth", F.lit(depth)).select("url", "place", "depth"))
+        fresh = stepped.groupBy("url").agg(F.min("place").alias("place")).join(seen.read().select(F.col("url").alias("__seen")), F.col("url") == F.col("__seen"), "left_anti")
+        last, frontier = frontier, cut_here(fresh.withColumn("depth", F.lit(depth)).select("url", "place", "depth"))
+        drop_here(last, pages)
         if frontier.isEmpty():
-            return done
+            return done.read()
 
 
 def cursor_pages(start: DataFrame, get: Get, cursor: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(source, page, url, body) of replies that name the next one, from start (source, url).
+    """(source, page, url, status, body) of replies that name the next one, from start (source, url).
 
     cursor: (source, url, body) to (source, url of the next page), no row or a null url at the end. All sources go on together.
+    A source with a page whose status is not 200 ends there, and has not been seen in full.
     """
-    now, out = start.select("source", "url").withColumn("page", F.lit(1)), None
+    spark = start.sparkSession
+    now = cut_here(start.select("source", "url").withColumn("page", F.lit(1)))
+    kind = start.schema["source"].dataType.simpleString()
+    out = Pile(spark, StructType.fromDDL(f"source {kind}, page int, url string, status int, body binary"))
+    seen = Pile(spark, StructType.fromDDL(f"source {kind}, url string"))
     for page in count(2):
-        replies = get(now.select("url").withColumn("etag", F.lit(None).cast("string"))).filter("status = 200").select(F.col("url").alias("__u"), "body")
-        part = cut_here(now.join(replies, F.col("url") == F.col("__u")).select("source", "page", "url", "body"))
-        out = part if out is None else out.unionByName(part)
-        told = cursor(part.select("source", "url", "body")).filter("url IS NOT NULL").join(out.select(F.col("source").alias("__s"), F.col("url").alias("__seen")), (F.col("source") == F.col("__s")) & (F.col("url") == F.col("__seen")), "left_anti")
-        now = cut_here(told.select("source", "url").withColumn("page", F.lit(page)))
+        replies = get(now.select("url").distinct().withColumn("etag", F.lit(None).cast("string"))).select(F.col("url").alias("__u"), "status", F.col("body").cast("binary").alias("body"))
+        part = cut_here(now.join(replies, F.col("url") == F.col("__u"), "left").select("source", "page", "url", F.coalesce("status", F.lit(0)).alias("status"), F.when(F.col("status") == 200, F.col("body")).alias("body")))
+        out.add(part)
+        seen.add(now)
+        told = cursor(part.filter("body IS NOT NULL").select("source", "url", "body")).filter("url IS NOT NULL")
+        told = told.join(seen.read().select(F.col("source").alias("__s"), F.col("url").alias("__seen")), (F.col("source") == F.col("__s")) & (F.col("url") == F.col("__seen")), "left_anti")
+        last, now = now, cut_here(told.select("source", "url").withColumn("page", F.lit(page)))
+        drop_here(last, part)
         if now.isEmpty():
-            return out
+            return out.read()

@@ -8,16 +8,17 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import keys as K
 from ..functions import text as T
 from ..operators import relational as R
+from ..plans.store import Pile, cut_here
 
 
 def sitemap_urls(shards: DataFrame, xml: str = "xml", keep: Sequence[str] = ()) -> DataFrame:
@@ -46,6 +47,37 @@ def sharded_sitemap(shards: DataFrame, host: str, shard: str = "shard", xml: str
     return last, shards.agg(F.coalesce(F.bool_and(ok), F.lit(False)).alias("complete"), F.count("*").alias("shards"), F.count_if(~ok).alias("broken"))
 
 
+def sitemap_tree(index: DataFrame, get: Callable[[DataFrame], DataFrame], host: str, most: int = 8) -> tuple[DataFrame, DataFrame]:
+    """((scope, path, url, lastmod), shards): a sitemap, or an index of sitemaps and those it names, fetched one after the other.
+
+    index: (url, status, text) of what stands at the start. shards has (scope, complete) for every sitemap that was asked for:
+    its URL, and whether it came and has entries or names further sitemaps. Sitemaps of a round are fetched together, each
+    once, however often it is named; `most` levels below each other. Of a path that several have, the last by (level,
+    scope, place) counts. Only entries on host count.
+    """
+    spark = index.sparkSession
+    loc = lambda tag: F.regexp_extract_all("text", F.lit(rf"(?s)<(?:\w+:)?{tag}>(.*?)</(?:\w+:)?{tag}>"), F.lit(1))
+    inner = lambda c, tag: F.nullif(T.unescaped(F.trim(F.regexp_extract(c, rf"<(?:\w+:)?{tag}>\s*([^<]*?)\s*</", 1))), F.lit(""))
+    files = Pile(spark, StructType.fromDDL("url string, status int, text string, level int"))
+    now = cut_here(index.select("url", "status", "text", F.lit(0).alias("level")))
+    for level in range(1, most + 1):
+        files.add(now)
+        named = now.filter("status = 200").select(F.explode(loc("sitemap")).alias("entry")).select(inner("entry", "loc").alias("url")).filter("url IS NOT NULL").distinct()
+        seen = files.read().select(F.col("url").alias("__seen"))
+        named = cut_here(named.filter(K.url_host("url") == host).join(seen, F.col("url") == F.col("__seen"), "left_anti"))
+        if named.isEmpty():
+            break
+        if level == most:
+            raise ValueError(f"sitemaps below each other on more than {most} levels")
+        replies = get(named.withColumn("etag", F.lit(None).cast("string"))).select(F.col("url").alias("__u"), "status", F.col("body").cast("string").alias("text"))
+        now = cut_here(named.join(replies, F.col("url") == F.col("__u"), "left").select("url", F.coalesce("status", F.lit(0)).alias("status"), "text", F.lit(level).alias("level")))
+    every = files.read()
+    complete = (F.col("status") == 200) & F.coalesce(F.rlike("text", F.lit(r"<(?:\w+:)?loc>\s*[^<\s]")), F.lit(False))
+    entries = every.filter("status = 200").select("level", F.col("url").alias("scope"), F.posexplode(loc("url")).alias("ord", "entry"))
+    rows = entries.select("level", "scope", "ord", inner("entry", "loc").alias("url"), inner("entry", "lastmod").alias("lastmod")).filter(K.url_host("url") == host).withColumn("path", K.url_path("url"))
+    return R.last_wins(rows, ["path"], ["level", "scope", "ord"]).select("scope", "path", "url", "lastmod"), every.select(F.col("url").alias("scope"), complete.alias("complete"))
+
+
 def link_index(indexes: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
     """(source, ord, section, title, url, summary) of `- [Title](url): summary` below `## Section`; of a url the first."""
     lines = R.lines_of(indexes, source, text)
@@ -273,9 +305,6 @@ def first_valid(candidates: DataFrame, source: str = "source", order: str = "ord
     return R.first_wins(good, [source], [order])
 
 
-def batched(titles: DataFrame, size: int = 50, key: str = "title", spread: int = 64) -> DataFrame:
-    """(title, batch): requests of at most size titles. Batches are numbered within hash parts, so no task orders all titles."""
-    part = F.pmod(F.xxhash64(key), F.lit(spread))
-    rows = titles.withColumn("part", part)
-    number = F.floor((F.row_number().over(W.partitionBy("part").orderBy(key)) - 1) / size)
-    return rows.withColumn("batch", F.concat_ws("-", F.col("part").cast("string"), number.cast("string"))).drop("part")
+def batched(titles: DataFrame, size: int = 50, key: str = "title") -> DataFrame:
+    """(title, batch): requests of size titles, in order; by ranges, so no task orders all titles."""
+    return R.batches(titles, None, key, size)

@@ -60,25 +60,30 @@ POLICIES = {
 }
 
 
-def standard_transport(url: str, headers: dict[str, str]) -> Reply:
+def standard_transport(url: str, headers: dict[str, str], method: str = "GET") -> Reply:
     """Standard library, gzip, no redirects followed; status 0 for failures below HTTP."""
 
     class Stay(urllib.request.HTTPRedirectHandler):
         def redirect_request(self, *a, **k):
             return None
 
-    request = urllib.request.Request(url, headers={"Accept-Encoding": "gzip", **headers})
+    request = urllib.request.Request(url, headers={"Accept-Encoding": "gzip", **headers}, method=method)
     try:
         with urllib.request.build_opener(Stay).open(request, timeout=60) as got:
             body = got.read()
             found = {k.lower(): v for k, v in got.headers.items()}
-            return Reply(got.status, gzip.decompress(body) if found.get("content-encoding") == "gzip" else body, found)
+            return Reply(got.status, gzip.decompress(body) if body and found.get("content-encoding") == "gzip" else body, found)
     except urllib.error.HTTPError as e:
         return Reply(e.code, None, {k.lower(): v for k, v in e.headers.items()})
     except OSError:
         return Reply(0)
 
 
+def head_transport(url: str, headers: dict[str, str]) -> Reply:
+    """Validators without contents."""
+    return standard_transport(url, headers, "HEAD")
+
+
 def fetch(url: str, transport: Transport, policy: Policy = POLICIES["once"], etag: str | None = None, headers: dict[str, str] | None = None, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic) -> tuple[Reply, int]:
     """(reply, tries). A redirect to another host counts as missing (404); 304 answers a conditional request."""
     asked = dict(headers or {}) | ({"If-None-Match": etag} if etag else {})

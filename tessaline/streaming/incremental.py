@@ -1,8 +1,8 @@
 """Snapshot maintenance over streams.
 
 maintain() runs the batch operators in foreachBatch: each micro-batch of (key, sha256, ord) is reduced to its last row for
-each key and merged into a versioned snapshot; the batch's number is kept with the snapshot, so that a batch that is
-delivered again after a failure changes nothing. changes() keeps one hash for each key as state and emits transitions.
+each key and appended to a versioned snapshot as a delta; the batch's number is kept with the snapshot, so that a batch that
+is delivered again after a failure changes nothing. changes() keeps one hash for each key as state and emits transitions.
 """
 
 from __future__ import annotations
@@ -22,14 +22,14 @@ SNAPSHOT = "key string, sha256 string, ord long, batch long"
 
 
 def merge_batch(store: SnapshotStore, batch: DataFrame, number: int) -> None:
-    """The last row of each key of a batch into the snapshot, once for each batch number."""
-    old = store.read(SNAPSHOT)
-    last = old.agg(F.max("batch")).first()[0]
-    if last is not None and last >= number:
+    """The last row of each key of a batch into the snapshot, once for each batch number.
+
+    A batch is appended as a delta, so it writes its own keys and no others; the store's note has the last batch's number.
+    """
+    if store.note() is not None and int(store.note()) >= number:
         return
     new = R.last_wins(batch.select("key", "sha256", "ord"), ["key"], ["ord"])
-    both = old.join(new.select("key"), "key", "left_anti").unionByName(new.withColumn("batch", F.lit(number).cast("bigint")))
-    store.commit(both)
+    store.append(new.withColumn("batch", F.lit(number).cast("bigint")), note=str(number))
 
 
 def maintain(stream: DataFrame, store: SnapshotStore, checkpoint: str, available_now: bool = True) -> StreamingQuery:

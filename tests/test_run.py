@@ -100,7 +100,7 @@ def test_cursors_that_return_end(spark):
     web = site(spark, {"s1": "s2", "s2": "s1", "t1": ""})
     told = lambda p: p.select("source", F.nullif(F.col("body").cast("string"), F.lit("")).alias("url"))
     got = W.cursor_pages(spark.createDataFrame([("s", "s1"), ("t", "t1"), ("u", "none")], "source string, url string"), run.landed(web), told)
-    assert sorted((r["source"], r["page"], r["url"]) for r in got.collect()) == [("s", 1, "s1"), ("s", 2, "s2"), ("t", 1, "t1")]
+    assert sorted((r["source"], r["page"], r["url"], r["status"]) for r in got.collect()) == [("s", 1, "s1", 200), ("s", 2, "s2", 200), ("t", 1, "t1", 200), ("u", 1, "none", 404)]
 
 
 def test_access_is_verified():
