@@ -266,6 +266,25 @@ def clean_description(text: Column | str, inline: bool = False) -> Column:
     return _texts(lambda t: spec_md.clean_text(t, inline=inline))(text)
 
 
+def one_line(text: Column | str) -> Column:
+    """A JSON string, or an object with its text in content, as one line."""
+    return _trees(spec_md.one_line)(text)
+
+
+def operation_policies(spec: Column | str) -> Column:
+    """map of `METHOD path` to the policies and the scopes of each operation of a description."""
+
+    def one(tree: dict) -> dict:
+        found = {}
+        for path, item in tree.get("paths", {}).items():
+            for method, operation in item.items():
+                if method in spec_md.METHODS:
+                    found[f"{method.upper()} {path}"] = [*spec_md.policies(operation, tree), *(f"scope:{s}" for s in spec_md.scopes(operation, tree))]
+        return found
+
+    return _trees(one, "map<string,array<string>>")(spec)
+
+
 def vendor_document(text: Column | str) -> Column:
     return _trees(spec_md.vendor_document)(text)
 

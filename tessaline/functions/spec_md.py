@@ -119,10 +119,10 @@ def type_text(schema: Any, spec: Any, depth: int = 0, seen: frozenset = frozense
 
 
 def one_line(text: Any) -> str:
-    """Strings, or objects with their text in content, as one line."""
+    """Strings, or objects with their text in content, as one line; zero is a text, null is none."""
     if isinstance(text, dict):
         text = text.get("content", "")
-    return re.sub(r"\s+", " ", str(text or "")).strip()
+    return re.sub(r"\s+", " ", "" if text is None or text is False else str(text)).strip()
 
 
 def clean_text(text: Any, resolve: Callable[[str], str] | None = None, inline: bool = False) -> str:

@@ -8,6 +8,7 @@ Exit status: 0, if all sources ran; 1, if one failed (the others still run); 2,
 from __future__ import annotations
 
 import argparse
+import re
 import sys
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
@@ -16,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.registry import SOURCES, SourceSpec, listing, select_sources
-from ..sources.transport import cookie_header
+from ..sources.transport import Transport, cookie_header, standard_transport, verify_access
 from . import run as runner
 from .store import SnapshotStore
 from .sync import Options, run_sources
@@ -31,6 +32,11 @@ class Command:
     list_only: bool
     verbose: bool
     rest: tuple[str, ...]
+    providers: tuple[str, ...] = ()
+    raw: str | None = None
+    manifests: str | None = None
+    hours: float = 24.0
+    commits: int = 0
 
 
 def _own() -> argparse.ArgumentParser:
@@ -38,6 +44,12 @@ def _own() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="--", add_help=False, allow_abbrev=False)
     p.add_argument("--scope", action="append", default=[], help="only keys below this prefix; may be repeated")
     p.add_argument("--provider", action="append", default=[], help="only these providers of a registry, namespace/name")
+    p.add_argument("--include", action="append", default=[], help="only paths that this pattern is found in; may be repeated")
+    p.add_argument("--exclude", action="append", default=[], help="no paths that this pattern is found in; may be repeated")
+    p.add_argument("--manifest-cache", help="where discovered addresses are kept, to be used again for --manifest-hours")
+    p.add_argument("--manifest-hours", type=float)
+    p.add_argument("--raw", help="where descriptions are kept as they came")
+    p.add_argument("--commits", type=int, help="in how many parts a long run commits")
     p.add_argument("--spec-url", help="where the description is, in place of the source's own address")
     p.add_argument("--host", help="host in place of the address's")
     p.add_argument("--base-url", help="address in place of the source's")
@@ -85,17 +97,27 @@ def parse(arguments: Sequence[str], pick: Callable[[list[str]], list[str]] | Non
             p.error(f"{s.name} needs --cookie or --cookie-file")
         if not s.url:
             p.error(f"{s.name} needs --base-url or --spec-url")
-    prefixes = [*a.scope, *a.provider]
+    for provider in a.provider:
+        if not re.fullmatch(r"[\w.-]+/[\w.-]+", provider):
+            p.error(f"{provider!r} is no namespace/name")
+    if a.provider and any("registry_documents" not in s.discovery for s in specs):
+        p.error("--provider is for registries")
     scope = None
-    for prefix in prefixes:
-        one = F.contains("key", F.lit(prefix)) if prefix in a.provider else F.startswith("key", F.lit(prefix))
+    for one in [F.startswith("key", F.lit(prefix)) for prefix in a.scope] + [F.rlike("key", F.lit(pattern)) for pattern in a.include]:
         scope = one if scope is None else scope | one
+    for pattern in a.exclude:
+        none = ~F.rlike("key", F.lit(pattern))
+        scope = none if scope is None else scope & none
     options = Options(force=a.force, dry_run=a.dry_run, limit=a.limit, scope=scope, archive=a.archive)
-    return Command(tuple(specs), options, headers, a.state, a.list, a.verbose, tuple(rest))
+    return Command(tuple(specs), options, headers, a.state, a.list, a.verbose, tuple(rest), tuple(a.provider), a.raw, a.manifest_cache, 24.0 if a.manifest_hours is None else a.manifest_hours, a.commits or 0)
 
 
-def main(arguments: Sequence[str], spark: SparkSession | None = None, get: runner.Get | None = None, show: Callable[[str], None] = print) -> int:
-    """Run the command; get replaces fetching, in tests and over landed pages."""
+#: Lines of a source that --verbose shows; of more it says how many there are.
+SHOWN = 1000
+
+
+def main(arguments: Sequence[str], spark: SparkSession | None = None, get: runner.Get | None = None, show: Callable[[str], None] = print, send: Transport = standard_transport) -> int:
+    """Run the command; get replaces fetching, in tests and over landed pages; send is what access is verified with."""
 
     def asked(names: list[str]) -> list[str]:
         if not sys.stdin.isatty():
@@ -117,9 +139,18 @@ def main(arguments: Sequence[str], spark: SparkSession | None = None, get: runne
 
     def of(spec: SourceSpec):
         def one():
-            out = runner.run_source(spark, spec, SnapshotStore(spark, f"{command.state.rstrip('/')}/{spec.name}"), get or runner.online(spec.policy, command.headers), command.options)
+            verify = None
+            if spec.requires_auth:  # before anything is fetched
+                verify = lambda: verify_access(spec.url, command.headers, send)
+            store = SnapshotStore(spark, f"{command.state.rstrip('/')}/{spec.name}")
+            out = runner.run_source(
+                spark, spec, store, get or runner.online(spec.policy, command.headers), command.options, raw=command.raw, manifests=command.manifests, hours=command.hours, providers=command.providers, verify=verify, commits=command.commits)
             if command.verbose:
-                reasons.extend(f"{spec.name}: {r['status']} {r['key']}" for r in out.rows.filter("status <> 'unchanged'").orderBy("key").limit(1000).collect())
+                told = out.rows.filter("status <> 'unchanged'")
+                lines = told.orderBy("key").limit(SHOWN).collect()
+                reasons.extend(f"{spec.name}: {r['status']} {r['key']}" for r in lines)
+                if len(lines) == SHOWN and (rest := told.count() - SHOWN):
+                    reasons.append(f"{spec.name}: ... and {rest} more")
             return out
 
         return one

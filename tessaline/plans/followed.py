@@ -20,11 +20,8 @@ from .registry import _t, query
 from .store import Pile, SnapshotStore, cut_here, own_path
 from .sync import Options, synchronise
 
-_NONE = F.lit(None).cast("string")
-
-
 def _pages(rows: DataFrame, url, body, etag=None, status=None) -> DataFrame:
-    return rows.select(url.alias("url"), body.alias("body"), (_NONE if etag is None else etag).alias("etag"), (F.lit(200) if status is None else status).cast("int").alias("status"))
+    return rows.select(url.alias("url"), body.alias("body"), (F.lit(None).cast("string") if etag is None else etag).alias("etag"), (F.lit(200) if status is None else status).cast("int").alias("status"))
 
 
 def _site(*parts: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 import zlib
 from base64 import b64encode
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import convert as V
 from ..functions import filters as P
-from ..functions import html_md
+from ..functions import html_md, wiki_md
 from ..functions import keys as K
 from ..functions import text as T
 from ..operators import catalogue as C
@@ -24,8 +25,8 @@ from ..sources import transport as N
 from ..sources.registry import SourceSpec
 from . import run
 from .registry import _t, query
-from .store import SnapshotStore, cut_here, work_dir
-from .sync import Options, archive_raw, engine_of, export_markdown, recovered, remove_exported, synchronise_in_parts, version_tasks
+from .store import SnapshotStore, cut_here, own_path
+from .sync import Options, archive_raw, engine_of, export_markdown, recovered, remove_exported, synchronise, synchronise_in_parts, version_tasks
 
 
 def _f(pattern: str, *columns) -> Column:
@@ -264,8 +265,9 @@ def scripts_only(spark, d):
 @query("SELECT source, count(*) >= 30 AS ok FROM documents GROUP BY 1")
 def least_rows_gate(spark, d):
     """Whether each source yields as many rows as it must for anything to be changed."""
-    rows = _t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n")).collect()  # a row for each source
-    return spark.createDataFrame([(r["source"], S.Gate(rows=r["n"], least_rows=30).open) for r in rows], "source string, ok boolean")
+    rows = _t(spark, d, "documents").select(F.col("source").alias("scope"))
+    declared = rows.distinct().select("scope", F.lit(True).alias("complete"), F.lit(30).alias("least_rows"))
+    return S.scope_gates(rows, declared).select(F.col("scope").alias("source"), F.col("open").alias("ok"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN 'Cheap' ELSE upper(p_type[1]) || lower(p_type[2:]) END AS kind, upper(p_name[1]) || p_name[2:instr(p_name, ' ')] || CASE split_part(p_name, ' ', 2) WHEN 'ring' THEN 'RING' ELSE upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] END AS title FROM part")
@@ -464,13 +466,15 @@ def rst_corpus(spark, d):
     return V.rst_to_markdown(_t(spark, d, "nation").select(_f("n%", "n_nationkey").alias("name"), rst.alias("text"))).select("name", "markdown")
 
 
-@query("""SELECT n_name, '{' || chr(10) || '  "a": ' || CAST(n_nationkey AS VARCHAR) || ',' || chr(10) || '  "b": "' || n_name || '"' || chr(10) || '}' AS canonical, '{"slug": "' || n_name || '", "v": 1}' AS found, 'See [X](/x)' || chr(10) || 'on ' || n_name AS clean, 'See [X](/x) on ' || n_name || ' \\| y' AS cell FROM nation""".replace("\\\\|", "\\|"))
+@query("""SELECT n_name, '{' || chr(10) || '  "a": ' || CAST(n_nationkey AS VARCHAR) || ',' || chr(10) || '  "b": "' || n_name || '"' || chr(10) || '}' AS canonical, CASE WHEN n_nationkey % 2 = 0 THEN '{"slug": "same", "v": ' || CAST(n_nationkey AS VARCHAR) || '}' END AS found, 'See [X](/x)' || chr(10) || 'on ' || n_name AS clean, 'See [X](/x) on ' || n_name || ' \\| y' AS cell FROM nation""".replace("\\\\|", "\\|"))
 def json_and_descriptions(spark, d):
+    """Canonical JSON; the first of two objects with a wanted field, three levels down, where there is one; descriptions."""
     tree = _f('{"b":"%","a":%}', "n_name", "n_nationkey")
+    slug = F.when(F.col("n_nationkey") % 2 == 0, "same").otherwise("else")
+    nested = _f('{"slug":"not","p":[{"slug":"x%"},{"q":{"v":%,"slug":"%"}},{"slug":"%","v":-1}]}', "n_name", "n_nationkey", slug, slug)
     return _t(spark, d, "nation").select(
-        "n_name", V.canonical_json(tree).alias("canonical"), V.found_object(_f('{"p":[{"slug":"%","v":1}]}', "n_name"), "slug", "NONE").alias("none"), V.found_object(_f('{"p":[{"v":1,"slug":"x%"},{"v":1,"slug":"same"}]}', "n_name"), "slug", "same").alias("same"),
-        V.clean_description(_f('<p>See <a href="/x">X</a><br>on %</p>', "n_name")).alias("clean"), V.clean_description(_f('<p>See <a href="/x">X</a> on % | y</p>', "n_name"), inline=True).alias("cell"),
-    ).select("n_name", "canonical", F.coalesce("none", _f('{"slug": "%", "v": 1}', "n_name")).alias("found"), "clean", "cell")
+        "n_name", V.canonical_json(tree).alias("canonical"), V.found_object(nested, "slug", "same").alias("found"), V.clean_description(_f('<p>See <a href="/x">X</a><br>on %</p>', "n_name")).alias("clean"),
+        V.clean_description(_f('<p>See <a href="/x">X</a> on % | y</p>', "n_name"), inline=True).alias("cell"))
 
 
 # ------------------------------------------------------------------ descriptions that differ by row
@@ -522,18 +526,46 @@ def postman_requests(spark, d):
     return V.postman_documents(inner.select("source", _f('{"item":[{"name":"F%","item":[%]}]}', F.substring("source", 2, 9), "text").alias("spec")))
 
 
-@query("SELECT n_name AS source, file FROM nation, (VALUES ('README.md'), ('enums/e.md'), ('requests/main.md')) v(file)")
+@query("""SELECT n_name AS source, file, CASE file WHEN 'enums/e.md' THEN '# E' || chr(10) || chr(10) || '| Name | Value | Description |' || chr(10) || '|------|-------|-------------|' || chr(10) || '| `' || n_name || '` | ' || CAST(n_nationkey AS VARCHAR) || ' |  |' || chr(10)
+WHEN 'requests/main.md' THEN '# main' || chr(10) || chr(10) || '## Go' || n_name || chr(10) || chr(10) || 'of ' || CAST(n_nationkey AS VARCHAR) || chr(10) ELSE '# Protocol' || chr(10) || chr(10) || '- [enums/e.md](enums/e.md)' || chr(10) || '- [requests/main.md](requests/main.md)' || chr(10) END AS markdown
+FROM nation, (VALUES ('README.md'), ('enums/e.md'), ('requests/main.md')) v(file)""")
 def protocol_files(spark, d):
-    spec = _f('{"enums":[{"enumType":"E","enumIdentifiers":[{"enumIdentifier":"%","enumValue":%}]}],"requests":[{"requestType":"Go%","category":"main","requestFields":[]}],"events":[]}', "n_name", "n_nationkey", "n_name")
-    made = V.protocol_documents(_t(spark, d, "nation").select(F.col("n_name").alias("source"), spec.alias("spec")))
-    return made.filter(F.contains("markdown", "source") | (F.col("file") == "README.md")).select("source", "file")
+    """All files of a protocol for each nation, with what stands in them."""
+    spec = _f('{"enums":[{"enumType":"E","enumIdentifiers":[{"enumIdentifier":"%","enumValue":%}]}],"requests":[{"requestType":"Go%","category":"main","description":"of\\n%","requestFields":[]}],"events":[]}', "n_name", "n_nationkey", "n_name", "n_nationkey")
+    return V.protocol_documents(_t(spark, d, "nation").select(F.col("n_name").alias("source"), spec.alias("spec")))
+
+
+@query("""SELECT n_name, array_to_string(['p' || CAST(n_regionkey AS VARCHAR), 'own' || CAST(n_nationkey AS VARCHAR), 'scope:read', 'scope:w' || CAST(n_regionkey AS VARCHAR)], ',') AS policies, 'a b ' || n_name AS plain, CASE WHEN n_nationkey % 2 = 0 THEN 'from ' || n_name ELSE '' END AS held FROM nation""")
+def operation_policies(spark, d):
+    """Policies by name, by reference and by a reference to a list, scopes of the operation before those of the description; texts in objects."""
+    spec = _f('{"security":[{"o":["all"]}],"x":{"list":["p%",{"$ref":"#/y/own%"}]},"paths":{"/%":{"get":{"x-policies":{"$ref":"#/x/list"},"security":[{"o":["read"]},{"o":["read","w%"]}]}}}}', "n_regionkey", "n_nationkey", "n_name", "n_regionkey")
+    held = F.when(F.col("n_nationkey") % 2 == 0, _f('{"content":"from\\n %","type":"x"}', "n_name")).otherwise(F.lit('{"type":"x"}'))
+    made = V.operation_policies(spec)
+    return _t(spark, d, "nation").select("n_name", F.array_join(F.element_at(made, _f("GET /%", "n_name")), ",").alias("policies"), V.one_line(_f('"a\\n  b\\t%"', "n_name")).alias("plain"), V.one_line(held).alias("held"))
+
+
+@query("""SELECT doc_id, '# ' || source || chr(10) || chr(10) || 'Text of **' || lang || '** and `' || lang || '`.' || chr(10) AS markdown, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS unknown FROM documents""")
+def compiled_pages(spark, d):
+    """Compiled components of each document as Markdown, and how often a component occurs that nothing is known of."""
+    odd = F.when(F.col("doc_id") % 3 == 0, F.lit(',"\\n",_jsx(Odd,{})')).otherwise(F.lit(""))
+    script = _f('function _createMdxContent(props){const _components={h1:"h1",p:"p",strong:"strong",code:"code",...props.components};return _jsxs(_Fragment,{children:[_jsx(_components.h1,{children:"%"}),"\\n",_jsxs(_components.p,{children:["Text of ",_jsx(_components.strong,{children:"%"})," and ",_jsx(_components.code,{children:"%"}),"."]})%]})}', "source", "lang", "lang", odd)
+    made = V.compiled_to_markdown(script)
+    return _t(spark, d, "documents").select("doc_id", made["markdown"].alias("markdown"), F.coalesce(F.try_element_at(made["unknown"], F.lit("Odd")), F.lit(0)).alias("unknown"))
+
+
+@query("""SELECT doc_id, 'Held `*' || source || '* ' || lang || '_` and [' || lang || '](https://x.test/' || source || ') and *' || lang || '*.' || chr(10) AS markdown FROM documents""")
+def held_spans(spark, d):
+    """Spans that are taken out before the rest of a text is rewritten, and put back as they were."""
+    text = _f("Held ``*%* %_`` and `% <https://x.test/%>`_ and `%`.\n", "source", "lang", "lang", "source", "lang")
+    made = V.rst_to_markdown(_t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("name"), text.alias("text"), "doc_id"))
+    return made.select("doc_id", "markdown")
 
 
 # ------------------------------------------------------------------ sinks
 
 
 def _root(spark, what: str) -> str:
-    return f"{work_dir(spark)}/tessaline/{what}-{uuid.uuid4().hex}"
+    return own_path(spark, what)
 
 
 def _exports(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -566,11 +598,30 @@ def raw_archive(spark, d):
     return cut_here(archive_raw(raw, where))
 
 
-@query("SELECT doc_id, CAST(doc_id AS VARCHAR) AS own, 64 AS digits FROM documents")
+def _code_of(*modules) -> str:
+    """The hash of modules' files, as their texts stand on disk."""
+    return hashlib.sha256("\0".join(sorted(Path(m.__file__).read_text(encoding="utf-8") for m in modules)).encode()).hexdigest()
+
+
+@query(f"SELECT doc_id, CAST(doc_id AS VARCHAR) AS own, '{_code_of(html_md)}' AS engine, '{_code_of(html_md, wiki_md)}' AS both FROM documents")
 def engine_tokens(spark, d):
-    """Change tokens with the hash of the converters' code before them."""
-    token = F.split(T.versioned(F.col("doc_id").cast("string"), engine_of(V.html_to_markdown)), "\u0001")
-    return _t(spark, d, "documents").select("doc_id", token[1].alias("own"), F.char_length(token[0]).alias("digits"))
+    """Change tokens with the hash of the converters' code before them; the same engine, whatever function of a module names it."""
+    parts = lambda *f: F.split(T.versioned(F.col("doc_id").cast("string"), engine_of(*f)), "\u0001")
+    one, two = parts(html_md.html_to_markdown, html_md.sections), parts(html_md.page_title, wiki_md.wikitext_to_markdown)
+    return _t(spark, d, "documents").select("doc_id", one[1].alias("own"), one[0].alias("engine"), two[0].alias("both"))
+
+
+@query("SELECT CASE WHEN source = 'src5' THEN 'deprecated/' ELSE '' END || CAST(doc_id AS VARCHAR) AS key, sha256(coalesce(text, '')) AS sha256 FROM documents")
+def archived_pages(spark, d):
+    """The state after a run that archives what is gone, and one more, which leaves the archive alone."""
+    docs = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"), "source")
+    store = SnapshotStore(spark, _root(spark, "archive"))
+    for site in (cut_here(docs), kept := cut_here(docs.filter("source <> 'src5'")), kept):
+        bodies = site.select("key", F.lit(200).alias("status"), F.col("text").alias("body"))
+        fetch = lambda wanted, bodies=bodies: bodies.join(wanted.select("key"), "key", "left_semi")
+        convert = lambda rows: rows.select("key", F.lit("").alias("title"), F.col("body").alias("content"))
+        synchronise(site.select("key", T.content_hash("text").alias("token")), fetch, convert, store, Options(archive=True))
+    return store.read().select("key", "sha256")
 
 
 @query("""SELECT status, n FROM (SELECT CASE WHEN lang = 'fr' THEN 'updated' WHEN source = 'src5' THEN 'removed' WHEN source = 'src3' THEN 'added' ELSE 'unchanged' END AS s, * FROM documents), LATERAL (SELECT CASE WHEN source = 'src5' THEN 'removed' WHEN source = 'src3' THEN 'added' WHEN lang = 'fr' THEN 'updated' ELSE 'unchanged' END AS status), LATERAL (SELECT 1 AS one)

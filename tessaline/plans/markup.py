@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from ..sources import discover as D
 from ..sources import registry as sources
 from ..streaming import incremental
 from .registry import _CANON, _PATHQ, _TITLE, _t, query
-from .store import SnapshotStore, work_dir
+from .store import SnapshotStore, own_path
 
 
 @query()
@@ -161,19 +160,23 @@ def spec_routing(spark, d):
 
 
 def _listing_sql() -> str:
-    rows = ", ".join("(" + ", ".join([*map(_literal, (x.name, x.discovery, ",".join(x.formats), x.converter, x.url, x.token, x.failure)), str(x.requires_auth)]) + ")" for x in sources.SOURCES.values())
-    return f"SELECT * FROM (VALUES {rows}) v(name, discovery, formats, converter, url, token, failure, requires_auth)"
+    rows = ", ".join("(" + ", ".join([str(k), *map(_literal, (x.name, x.discovery, ",".join(x.formats), x.converter, x.url, x.token, x.failure)), str(x.requires_auth)]) + ")" for k, x in enumerate(sources.SOURCES.values()))
+    return f"SELECT name, discovery, formats, converter, url, token, failure, requires_auth, pages FROM (VALUES {rows}) v(k, name, discovery, formats, converter, url, token, failure, requires_auth) JOIN (SELECT page_id % {len(sources.SOURCES)} AS k, count(*) AS pages FROM pages GROUP BY 1) p USING (k)"
 
 
 @query(_listing_sql())
 def source_listing(spark, d):
-    return sources.listing(spark)
+    """All sources, with the number of pages of each; pages are dealt to them by id."""
+    names = list(sources.SOURCES)
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("page_id") % len(names) + 1).cast("int"))
+    counted = _t(spark, d, "pages").groupBy(name.alias("name")).agg(F.count("*").alias("pages"))
+    return sources.listing(spark).join(counted, "name")
 
 
 @query("SELECT event_type, count(*) AS keys FROM (SELECT DISTINCT event_type, user_id FROM events) GROUP BY 1")
 def incremental_stream(spark, d):
     """Events as a file stream, merged batch by batch into a snapshot of one row for each key."""
-    root = f"{work_dir(spark)}/tessaline/stream-{uuid.uuid4().hex}"
+    root = own_path(spark, "stream")
     store = SnapshotStore(spark, f"{root}/snapshot")
     static = spark.read.parquet(f"{d}/events.parquet")
     static.select("event_id", "event_type", "user_id", "value").write.parquet(f"{root}/landed")

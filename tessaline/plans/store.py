@@ -64,14 +64,14 @@ class Pile:
     """Rows that a loop adds to round by round, in one folder: the plan that reads them has one scan, however many rounds there were."""
 
     def __init__(self, spark: SparkSession, schema: StructType):
-        self.spark, self.schema, self.path = spark, schema, own_path(spark, "pile")
-        spark.createDataFrame([], schema).write.parquet(self.path)
+        self.spark, self.schema, self.path, self.some = spark, schema, own_path(spark, "pile"), False
 
     def add(self, df: DataFrame) -> None:
         df.select(*self.schema.names).write.mode("append").parquet(self.path)
+        self.some = True
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path) if self.some else self.spark.createDataFrame([], self.schema)
 
 
 def reused(spark: SparkSession, where: str, make: Callable[[], DataFrame], hours: float | None = None) -> tuple[DataFrame, bool]:
@@ -183,16 +183,15 @@ class SnapshotStore:
         pointer = self._pointer()
         if not pointer["versions"]:
             return self.commit(rows.filter(~F.col(GONE)).drop(GONE), note=note)
-        rows = cut_here(rows)
-        if rows.isEmpty():
-            drop_here(rows)
+        if pointer["key"] not in (None, key):
+            raise ValueError(f"deltas here are by {pointer['key']}")
+        name = self._new(rows)
+        if self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}").isEmpty():
+            self._fs.delete(self._path(f"{self.root}/{name}"), True)
             if note is not None and note != pointer["note"]:
                 self._point(pointer["versions"], pointer["key"], note)
             return pointer["versions"][-1]
-        if pointer["key"] not in (None, key):
-            raise ValueError(f"deltas here are by {pointer['key']}")
-        made = self._point([*pointer["versions"], self._new(rows)], key, note)
-        drop_here(rows)
+        made = self._point([*pointer["versions"], name], key, note)
         whole, *deltas = self._pointer()["versions"]
         if len(deltas) >= self.most or 2 * sum(map(self.size, deltas)) > self.size(whole):
             return self.fold()

@@ -120,7 +120,7 @@ def synchronise(manifest: DataFrame, fetch: Callable[[DataFrame], DataFrame], co
             break
         retry = replies(wanted.join(again.select("key"), "key", "left_semi"))
         fetched = cut_here(fetched.join(retry.select("key"), "key", "left_anti").unionByName(retry))
-    made = cut_here(convert(fetched.filter("http = 200").select("key", "body")).select("key", "title", "content").withColumn("sha256", content_hash("content")))
+    made = convert(fetched.filter("http = 200").select("key", "body")).select("key", "title", "content").withColumn("sha256", content_hash("content"))
 
     # 404: gone, not failed. 304: as before. Others without content: failed, and the old row is preserved.
     known = old.select("key", *[F.col(c).alias(f"o_{n}") for c, n in (("token", "token"), ("sha256", "sha"), ("content", "content"), ("title", "title"), ("last_updated", "time"), ("output_exists", "exists"), ("scope", "scope"), ("etag", "etag"))])

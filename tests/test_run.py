@@ -121,7 +121,7 @@ def test_manifests_that_landed_are_reused(spark, tmp_path):
 
 
 def test_command_line(spark, tmp_path, capsys):
-    c = cli.parse(["anthropic", "cloudf", "--dry-run", "--force", "--limit", "3", "--verbose", "--", "--scope", "docs/", "--provider", "a/b", "--odd", "1"])
+    c = cli.parse(["anthropic", "cloudf", "--dry-run", "--force", "--limit", "3", "--verbose", "--", "--scope", "docs/", "--odd", "1"])
     assert [s.name for s in c.specs] == ["anthropic", "cloudflare"] and c.options.dry_run and c.options.force and c.options.limit == 3 and c.verbose and c.rest == ("--odd", "1") and c.options.scope is not None
     assert len(cli.parse(["--all"]).specs) == sum(bool(s.url) and not s.requires_auth for s in SOURCES.values()) == 36
     assert cli.parse(["circleci", "--host", "own.test"]).specs[0].url == "https://own.test/api/v2/openapi.json" and cli.parse(["kandji", "--spec-url", "https://k.test/x"]).specs[0].url == "https://k.test/x"
