@@ -37,6 +37,7 @@ class Command:
     manifests: str | None = None
     hours: float = 24.0
     commits: int = 0
+    index: bool = False
 
 
 def _own() -> argparse.ArgumentParser:
@@ -65,7 +66,7 @@ def parse(arguments: Sequence[str], pick: Callable[[list[str]], list[str]] | Non
     before, after = given[:cut], given[cut + 1 :]
     p = argparse.ArgumentParser(prog="tessaline", allow_abbrev=False, parents=[_own()])
     p.add_argument("names", nargs="*")
-    for flag in ("--all", "--list", "--dry-run", "--force", "--verbose", "--archive"):
+    for flag in ("--all", "--list", "--dry-run", "--force", "--verbose", "--archive", "--index"):
         p.add_argument(flag, action="store_true")
     p.add_argument("--limit", type=int)
     p.add_argument("--state", default="state")
@@ -109,7 +110,7 @@ def parse(arguments: Sequence[str], pick: Callable[[list[str]], list[str]] | Non
         none = ~F.rlike("key", F.lit(pattern))
         scope = none if scope is None else scope & none
     options = Options(force=a.force, dry_run=a.dry_run, limit=a.limit, scope=scope, archive=a.archive)
-    return Command(tuple(specs), options, headers, a.state, a.list, a.verbose, tuple(rest), tuple(a.provider), a.raw, a.manifest_cache, 24.0 if a.manifest_hours is None else a.manifest_hours, a.commits or 0)
+    return Command(tuple(specs), options, headers, a.state, a.list, a.verbose, tuple(rest), tuple(a.provider), a.raw, a.manifest_cache, 24.0 if a.manifest_hours is None else a.manifest_hours, a.commits or 0, a.index)
 
 
 #: Lines of a source that --verbose shows; of more it says how many there are.
@@ -144,7 +145,7 @@ def main(arguments: Sequence[str], spark: SparkSession | None = None, get: runne
                 verify = lambda: verify_access(spec.url, command.headers, send)
             store = SnapshotStore(spark, f"{command.state.rstrip('/')}/{spec.name}")
             out = runner.run_source(
-                spark, spec, store, get or runner.online(spec.policy, command.headers), command.options, raw=command.raw, manifests=command.manifests, hours=command.hours, providers=command.providers, verify=verify, commits=command.commits)
+                spark, spec, store, get or runner.online(spec.policy, command.headers), command.options, raw=command.raw, manifests=command.manifests, hours=command.hours, providers=command.providers, verify=verify, commits=command.commits, index_pages=command.index)
             if command.verbose:
                 told = out.rows.filter("status <> 'unchanged'")
                 lines = told.orderBy("key").limit(SHOWN).collect()

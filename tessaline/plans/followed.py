@@ -284,3 +284,18 @@ def body_kinds(spark, d):
     body = (F.when(k == 0, _f('{"openapi":"3.0.0","info":{"title":"%"},"paths":{}}', text)).when(k == 1, _f("<!doctype html><p>%</p>", text)).when(k == 2, _f("function _createMdxContent(props){return '%'}", text))
             .when(k == 3, _f("import X from 'x'\n\n<Note>%</Note>\n", text)).when(k == 4, _f("openapi: 3.0.0\ninfo:\n  title: %\npaths: {}\n", text)).otherwise(_f("# %\n\ntext\n", text)))
     return _t(spark, d, "documents").select("doc_id", V.body_kind(body).alias("kind"))
+
+
+@query(f"""SELECT 'r' || CAST(n_regionkey AS VARCHAR) || '/README.md' AS key, '# r' || CAST(n_regionkey AS VARCHAR) || {_NL} || {_NL} || CAST(count(*) AS VARCHAR) || ' pages.' || {_NL} || {_NL} || string_agg('- [' || n_name || '](' || n_name || '.md)', {_NL} ORDER BY 'r' || CAST(n_regionkey AS VARCHAR) || '/' || n_name || '.md') || {_NL} AS content,
+CASE WHEN n_regionkey = 0 THEN 'added' ELSE 'unchanged' END AS status FROM nation WHERE n_regionkey <> 3 GROUP BY n_regionkey
+UNION ALL SELECT 'r3/README.md', NULL, 'removed'
+UNION ALL SELECT 'README.md', '# pages' || {_NL} || {_NL} || string_agg('- [r' || CAST(r AS VARCHAR) || '](r' || CAST(r AS VARCHAR) || '/README.md): ' || CAST(n AS VARCHAR) || ' pages', {_NL} ORDER BY r) || {_NL}, 'updated' FROM (SELECT n_regionkey AS r, count(*) AS n FROM nation WHERE n_regionkey <> 3 GROUP BY 1)""")
+def index_pages(spark, d):
+    """Index pages after a second run: a folder has come, one has gone, and in the others no title has changed."""
+    spec = SourceSpec("pages", "link_index", ("markdown",), "without_front_matter", "https://i.test/llms.txt")
+    store, out = SnapshotStore(spark, own_path(spark, "index")), None
+    for rows in _states(spark, d, "!"):
+        site = _site(_one(rows, spec.url, _f("- [%](/r%/%.md)", "n_name", "n_regionkey", "n_name"), "", "\n"), _pages(rows, _f("https://i.test/r%/%.md", "n_regionkey", "n_name"), _f("text %%", "n_name", "mark")))
+        out = run.run_source(spark, spec, store, run.landed(site), index_pages=True)
+    told = out.rows.filter(F.endswith("key", F.lit("README.md"))).select("key", "status")
+    return told.join(store.read().select("key", "content"), "key", "left")

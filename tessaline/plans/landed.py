@@ -682,7 +682,7 @@ def source_of_descriptions(spark, d):
 @query(f"SELECT 'docs/' || n_name || '.md' AS key, {_CHANGED}")
 def source_of_sitemap(spark, d):
     """A source of a sitemap with dates (change tokens) and pages of the devsite dialect, run twice."""
-    spec = SourceSpec("cloud", "sharded_sitemap", ("html",), "html_to_markdown:devsite", "https://c.test/sitemap.xml", token="lastmod")
+    spec = SourceSpec("cloud", "sitemap_tree", ("html",), "html_to_markdown:devsite", "https://c.test/sitemap.xml", token="lastmod")
     spec = SourceSpec(**{**spec.__dict__, "url": "https://c.test"})
     entry = _f("<url><loc>https://c.test/docs/%</loc><lastmod>2024-01-01%</lastmod></url>", "n_name", "mark")
     page = lambda rows: rows.select(_f("https://c.test/docs/%", "n_name").alias("url"), _f('<title>% | C</title><div class="devsite-article-body"><p>Text%</p></div>', "n_name", "mark").alias("body"))

@@ -23,6 +23,7 @@ from ..functions import convert as V
 from ..functions import keys as K
 from ..functions import spec_md
 from ..functions import text as T
+from ..operators import catalogue as C
 from ..operators import documents as P
 from ..operators import graph as G
 from ..operators import state as S
@@ -32,7 +33,7 @@ from ..sources import transport
 from ..sources.crawl import Get, crawl, cursor_pages
 from ..sources.registry import SOURCES, SourceSpec
 from .store import SnapshotStore, cut_here, reused
-from .sync import STATE, Options, Outcome, SourceFailed, archive_raw, engine_of, made_by, synchronise, synchronise_in_parts
+from .sync import ARCHIVE, STATE, Options, Outcome, SourceFailed, archive_raw, engine_of, made_by, synchronise, synchronise_in_parts
 
 _ASKED = "url string, etag string"
 
@@ -334,13 +335,42 @@ def check(spec: SourceSpec) -> None:
 MANIFESTS = ("link_index", "sitemap_urls", "sitemap_by_path", "sitemap_tree", "tree_files", "english_paths", "sidebar", "navigation", "landing_links")
 
 
+INDEX, INDEX_SCOPE = "README.md", "index|"
+
+
+def write_index(store: SnapshotStore, name: str, options: Options) -> Outcome:
+    """Index pages of a state, as rows of it: for each folder its pages by title, at the top each folder with how many it has.
+
+    They are planned, told apart by their hashes, committed and removed like all other rows, in a scope of their own. A page
+    of the source that has an index page's name stays, and that folder gets none.
+    """
+    own = F.coalesce("scope", F.lit("")) == INDEX_SCOPE
+    pages = store.read(STATE).filter(~own & ~F.col("key").startswith(ARCHIVE)).select("key", F.coalesce("title", F.lit("")).alias("title"))
+    folder = F.regexp_replace("key", r"/?[^/]*$", "")
+    file = F.regexp_extract("key", r"([^/]*)$", 1)
+    rows = pages.withColumn("folder", folder).filter(F.col("folder") != "")
+    line = F.concat(F.lit("- ["), T.first_present("title", F.regexp_replace(file, r"\.md$", "")), F.lit("]("), file, F.lit(")"))
+    inside = C.readme(rows, F.col("folder"), "folder", line, "key").select(F.concat("folder", F.lit(f"/{INDEX}")).alias("key"), F.col("folder").alias("title"), F.col("content").alias("body"))
+    counted = C.counts(rows, "folder").select(F.lit(name).alias("source"), "folder", F.concat(F.lit("- ["), "folder", F.lit("]("), "folder", F.lit(f"/{INDEX}): "), F.col("n").cast("string"), F.lit(" pages")).alias("line"))
+    flat = pages.filter(folder == "").select(F.lit(name).alias("source"), F.col("key").alias("folder"), F.concat(F.lit("- ["), T.first_present("title", F.regexp_replace("key", r"\.md$", "")), F.lit("]("), "key", F.lit(")")).alias("line"))
+    top = C.listing(counted.unionByName(flat), ["source"], F.col("line"), "folder").select(F.lit(INDEX).alias("key"), F.col("source").alias("title"), F.concat(F.lit("# "), "source", F.lit("\n\n"), "lines", F.lit("\n")).alias("body"))
+    taken = pages.select(F.col("key").alias("__taken"))
+    made = cut_here(inside.unionByName(top).join(taken, F.col("key") == F.col("__taken"), "left_anti"))
+    bodies = made.select(F.col("key").alias("__k"), "title", "body")
+    fetch = lambda wanted: wanted.select("key").join(bodies, F.col("key") == F.col("__k")).select("key", F.lit(200).alias("status"), "body")
+    convert = lambda rows: rows.join(bodies.drop("body"), F.col("key") == F.col("__k")).select("key", "title", F.col("body").alias("content"))
+    gates = made.sparkSession.createDataFrame([(INDEX_SCOPE, True, 0)], "scope string, complete boolean, least_rows int")
+    o = replace(options, scope=None, limit=None, part=None, gates=gates, complete=True, least_rows=0, force=False)
+    return synchronise(made.select("key", T.content_hash("body").alias("token"), F.lit(INDEX_SCOPE).alias("scope")), fetch, convert, store, o)
+
+
 class _Incomplete(Exception):
     """A manifest that must not be kept."""
 
 
 def run_source(
     spark: SparkSession, spec: SourceSpec | str, store: SnapshotStore, get: Get | None = None, options: Options | None = None, head: Get | None = None, raw: str | None = None, manifests: str | None = None,
-    hours: float = 24, providers: Sequence[str] = (), verify: Callable[[], None] | None = None, commits: int = 0,
+    hours: float = 24, providers: Sequence[str] = (), verify: Callable[[], None] | None = None, commits: int = 0, index_pages: bool = False,
 ) -> Outcome:
     """One run of a source from its index to the commit.
 
@@ -351,6 +381,7 @@ def run_source(
     head: a look at validators, for sources that probe. raw: where descriptions are kept as they came. manifests: where
     discovered addresses are kept and used again for hours. providers: those of a registry that are wanted. verify: called
     before anything is fetched; it raises where the source does not let us in. commits: in how many parts a long run commits.
+    index_pages: whether index pages are kept beside the pages.
     """
     spec = SOURCES[spec] if isinstance(spec, str) else spec
     check(spec)
@@ -489,4 +520,8 @@ def run_source(
             outcomes = out.rows.join(plan.select(F.col("key").alias("__k"), F.substring_index("scope", "|", -1).alias("provider")), F.col("key") == F.col("__k"))
             full = S.settled_tokens(outcomes, settled.filter("complete AND NOT current").select("provider", "version", "fingerprint", F.lit(engine).alias("engine")), "provider")
             SnapshotStore(spark, f"{store.root}/settled").append(full, key="provider")
+        if index_pages:
+            more = write_index(store, spec.name, o)
+            counts = {k: out.counts.get(k, 0) + more.counts.get(k, 0) for k in {**out.counts, **more.counts}}
+            out = replace(out, rows=out.rows.unionByName(more.rows), counts=counts, version=more.version)
     return out

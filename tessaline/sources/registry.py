@@ -58,7 +58,7 @@ SOURCES: dict[str, SourceSpec] = {s.name: s for s in (
     _s("obs", "sphinx_names", "rst", "rst_to_markdown", "https://docs.obsproject.com/searchindex.js", raw_base="https://docs.obsproject.com/_sources", strip="_sources"),
     _s("obs-websocket", "fixed", "protocol", "protocol_documents", "https://raw.githubusercontent.com/obsproject/obs-websocket/master/docs/generated/protocol.json", failure="abort"),
     _s("okta", "fixed+fixed+fixed+sitemap_urls", "openapi-yaml html", "endpoint_documents+endpoint_documents+endpoint_documents+html_to_markdown:dita", "https://raw.githubusercontent.com/okta/okta-management-openapi-spec/master/dist/current/management-minimal.yaml", token="etag", failure="scope", probe=True, also=("https://raw.githubusercontent.com/okta/okta-management-openapi-spec/master/dist/current/oauth-minimal.yaml", "https://raw.githubusercontent.com/okta/okta-management-openapi-spec/master/dist/current/idp-minimal.yaml", "https://help.okta.com/oie/en-us/sitemap.xml")),
-    _s("ollama", "link_index", "markdown", "preamble", "https://docs.ollama.com"),
+    _s("ollama", "link_index", "markdown", "preamble", "https://docs.ollama.com/llms.txt"),
     _s("openai", "link_index", "markdown", "preamble", "https://developers.openai.com/llms.txt", token="etag"),
     _s("opencode", "sidebar+english_paths", "mdx", "mdx_to_markdown", "https://opencode.ai/docs/", also=("https://opencode.ai/sitemap.xml",), within="/docs/", strip="docs", suffix=".md"),
     _s("oracle", "json_directory", "openapi-yaml", "endpoint_documents", "https://docs.oracle.com/en-us/iaas/api/specs/index.json", token="spec_names", failure="scope"),

@@ -325,3 +325,17 @@ def test_options_of_sources(spark, capsys):
     for bad in (["terraform", "--provider", "a"], ["ollama", "--provider", "a/b"]):
         assert cli.main(bad, spark) == 2
     capsys.readouterr()
+
+
+def test_index_pages_give_way_to_pages(spark, tmp_path):
+    """A folder whose README.md is a page of the source gets no index page; a run that removes pages takes them out of the index."""
+    spec = SourceSpec("i", "link_index", (), "without_front_matter", "https://i.t/llms.txt")
+    pages = {spec.url: "- [Own](/a/README.md)\n- [One](/a/one.md)\n- [Two](/b/two.md)\n- [Top](/top.md)\n", "https://i.t/a/README.md": "own", "https://i.t/a/one.md": "# One\n", "https://i.t/b/two.md": "two", "https://i.t/top.md": "top"}
+    store = SnapshotStore(spark, f"file://{tmp_path}/i")
+    assert counts(spark, spec, store, pages, index_pages=True) == {"added": 6}
+    state = {r["key"]: r["content"] for r in store.read().collect()}
+    assert state["a/README.md"] == "own" and state["README.md"] == "# i\n\n- [a](a/README.md): 2 pages\n- [b](b/README.md): 1 pages\n- [Top](top.md)\n" and state["b/README.md"] == "# b\n\n1 pages.\n\n- [Two](two.md)\n"
+    # Without index pages a run leaves them alone; with them, what is gone goes from them.
+    fewer = {**pages, spec.url: pages[spec.url].replace("- [Two](/b/two.md)\n", "")}
+    assert counts(spark, spec, store, fewer) == {"unchanged": 3, "removed": 1} and store.read().filter("key = 'b/README.md'").count() == 1
+    assert counts(spark, spec, store, fewer, index_pages=True) == {"unchanged": 3, "updated": 1, "removed": 1}

@@ -131,7 +131,7 @@ def test_command_line(spark, tmp_path, capsys):
     capsys.readouterr()
     lines = []
     assert cli.main(["--list"], spark, show=lines.append) == 0 and len(lines) == 38
-    pages = {"https://docs.ollama.com": "- [A](/a.md)\n", "https://docs.ollama.com/a.md": "# A\n\nx"}
+    pages = {SOURCES["ollama"].url: "- [A](/a.md)\n", "https://docs.ollama.com/a.md": "# A\n\nx"}
     lines.clear()
     assert cli.main(["ollama", "circleci", "--state", f"file://{tmp_path}", "--verbose"], spark, run.landed(site(spark, pages)), lines.append) == 1
     assert lines[0] == "ollama: 1 added" and lines[1].startswith("circleci: failed") and lines[2] == "  ollama: added a.md"

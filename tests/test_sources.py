@@ -77,7 +77,7 @@ def test_landing_and_chains(spark):
     assert rows(D.fresh(landed), "k") == [("a",)]
     chain = spark.createDataFrame([("s", 1, "<html>"), ("s", 2, '{"paths": {}}'), ("s", 3, "[]")], "source string, ord int, json string")
     assert rows(D.first_valid(chain), "ord") == [(2,)]
-    got = D.batched(spark.range(300).select(F.col("id").cast("string").alias("title")), 5, spread=4)
+    got = D.batched(spark.range(300).select(F.col("id").cast("string").alias("title")), 5)
     assert got.groupBy("batch").count().agg(F.max("count")).first()[0] == 5 and got.count() == 300
 
 
