@@ -39,12 +39,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The length is in words, whose number of bytes differs by language: a passage of fifty words has some 125 to 550 bytes.
     """
     columns = docs.columns
-    cut = suffix.remove_repeats(docs, threshold=PASSAGE_WORDS, words=True)
+    # The operator adds columns of its own, which must not take the place of columns of that name: docs' have other names meanwhile.
+    held = {c: c if c == "text" else f"__tsl_own_{k}" for k, c in enumerate(columns)}
+    cut = suffix.remove_repeats(docs.toDF(*held.values()), threshold=PASSAGE_WORDS, words=True)
     text = F.when(F.col("n_removed") == 0, F.col("kept_bytes").cast("string")).otherwise(suffix.decoded(F.col("kept_bytes")))
     out = cut.withColumn("text", text)
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+        out = out.withColumn(held["n_chars"], F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(held[c]).alias(c) for c in columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
