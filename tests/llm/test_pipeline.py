@@ -51,8 +51,9 @@ def test_run_gives_the_last_stage(spark):
 
 
 def test_stages_on_odd_documents(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, __key string"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, __key string, n_bytes long, n_removed string, kept_bytes int, kept_sha256 string, n_spans long"
     rows = [(1, None, None, None, None, "a"), (1, None, None, None, None, "a"), (None, "same text here again", "en", "s", 3, "b"), (None, "same text here again", "en", "s", 3, "b"), (2, "", "en", "s", 0, "c"), (3, "é" * 500, "fr", None, 500, "d"), (4, "é" * 450, "fr", "t", 450, "d")]
+    rows = [(*r, 7, "own", 8, "sha", 9) for r in rows]
     empty = spark.createDataFrame([], schema)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SMALL).count() == 0, name
@@ -61,3 +62,5 @@ def test_stages_on_odd_documents(spark):
         if name != "mixing":
             assert out.columns == docs.columns
         assert 0 < out.count() <= len(rows)
+        if name != "mixing":
+            assert {(r["n_bytes"], r["n_removed"], r["kept_bytes"], r["kept_sha256"], r["n_spans"]) for r in out.collect()} == {(7, "own", 8, "sha", 9)}
