@@ -58,6 +58,16 @@ def classified(path: Column | str, rules: Sequence[tuple[str, str]], fallback: s
     return F.lit(fallback) if out is None else out.otherwise(F.lit(fallback))
 
 
+def rewritten(path: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
+    """A path by the first rule (pattern, replacement) whose pattern is found in it; others stay as they are."""
+    c = _col(path)
+    out = None
+    for pattern, made in rules:
+        new = F.regexp_replace(c, pattern, made)
+        out = F.when(c.rlike(pattern), new) if out is None else out.when(c.rlike(pattern), new)
+    return c if out is None else out.otherwise(c)
+
+
 def output_path(path: Column | str, extension: str = ".md", index: str = "index") -> Column:
     """A file for a path: unsafe characters become '-', the root becomes the index file."""
     safe = F.regexp_replace(F.regexp_replace(_col(path), r"[^\w./-]+", "-"), r"(^|/)\.+(?=/|$)", "$1")

@@ -299,3 +299,12 @@ def index_pages(spark, d):
         out = run.run_source(spark, spec, store, run.landed(site), index_pages=True)
     told = out.rows.filter(F.endswith("key", F.lit("README.md"))).select("key", "status")
     return told.join(store.read().select("key", "content"), "key", "left")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source || '/index' WHEN doc_id % 3 = 1 THEN 'api-' || lang || '/' || source ELSE lang || '/x/' || source END || '.md' AS path FROM documents")
+def rewritten_paths(spark, d):
+    """Output paths by a source's rules: pages without a folder get one, a part of the path becomes another, all else stays."""
+    spec = SourceSpec("p", "link_index", (), "preamble", "https://p.test", strip="docs", rules=((r"^([^/]+)$", "$1/index"), (r"^reference/([^/]+)/", "api-$1/")))
+    k = F.col("doc_id") % 3
+    url = F.when(k == 0, _f("https://p.test/docs/%.md", "source")).when(k == 1, _f("https://p.test/docs/reference/%/%", "lang", "source")).otherwise(_f("https://p.test/%/x/%?q=1", "lang", "source"))
+    return _t(spark, d, "documents").select("doc_id", run.output_key(spec, url).alias("path"))

@@ -362,15 +362,22 @@ def path_classes(spark, d):
 
 
 class _Unsteady:
-    """A transport that fails a number of times for each URL, then answers; with redirects and known validators."""
+    """A transport that fails a number of times for each row, then answers; with redirects and known validators.
+
+    How often it was asked for a row is told by the pauses between: a request without one before it is a row's first. So a row
+    is answered the same way in whatever task, however often that runs.
+    """
 
     def __init__(self):
-        self.asked: dict[str, int] = {}
+        self.tries, self.paused = 0, False
+
+    def pause(self, seconds: float) -> None:
+        self.paused = True
 
     def __call__(self, url: str, headers: dict[str, str]) -> N.Reply:
-        n = self.asked[url] = self.asked.get(url, 0) + 1
+        self.tries, self.paused = self.tries + 1 if self.paused else 1, False
         kind, fails = url.rsplit("/", 1)[1].split("-")[:2]
-        if n <= int(fails):
+        if self.tries <= int(fails):
             return N.Reply(503, headers={"retry-after": "0"})
         if kind == "away":
             return N.Reply(302, headers={"location": "https://elsewhere.test/x"})
@@ -390,16 +397,13 @@ def fetch_policies(spark, d):
     asked = _t(spark, d, "nation").select("n_name", _f("https://u.test/%-%-%", kind, k % 5, "n_name").alias("url"), F.when(kind == "known", F.lit("known")).alias("etag"))
     out = None
     for policy in N.POLICIES:
-        got = N.fetch_all(asked, _Unsteady(), policy, etag="etag", sleep=_no_wait).select(F.col("url").alias("u"), "status", "attempts")
+        site = _Unsteady()
+        got = N.fetch_all(asked, site, policy, etag="etag", sleep=site.pause).select(F.col("url").alias("u"), "status", "attempts")
         part = asked.join(got, F.col("url") == F.col("u")).select(F.lit(policy).alias("policy"), "n_name", "attempts", "status")
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _no_wait(seconds: float) -> None:
-    """Sources in tests need no waiting."""
-
-
 # ------------------------------------------------------------------ texts and converters
 
 

@@ -97,10 +97,15 @@ def sharded_sitemap(spark, d):
     return D.sharded_sitemap(shards, host)[0]
 
 
-@query("SELECT lang AS source, CAST(max_by(title, doc_id) AS VARCHAR) AS first_title, count(*) AS n, count(DISTINCT section) AS sections FROM (SELECT lang, source AS section, 'T' || CAST(doc_id AS VARCHAR) AS title, doc_id FROM documents) GROUP BY 1")
+def _in_forties(column: str):
+    """column with the number of a run of forty ids, so that no text grows with the table."""
+    return F.concat_ws("-", F.col(column), F.floor(F.col("doc_id") / 40).cast("string"))
+
+
+@query("SELECT lang || '-' || CAST(doc_id // 40 AS VARCHAR) AS source, CAST(max_by(title, doc_id) AS VARCHAR) AS first_title, count(*) AS n, count(DISTINCT section) AS sections FROM (SELECT lang, source AS section, 'T' || CAST(doc_id AS VARCHAR) AS title, doc_id FROM documents) GROUP BY 1")
 def link_index(spark, d):
-    """A link index of each language, its sources as sections."""
-    docs = _t(spark, d, "documents")
+    """A link index of each language and forty ids, its sources as sections."""
+    docs = _t(spark, d, "documents").withColumn("lang", _in_forties("lang"))
     item = F.concat(F.lit("- [T"), F.col("doc_id").cast("string"), F.lit("](https://x.test/"), F.col("doc_id").cast("string"), F.lit(".md): "), F.col("source"))
     sections = docs.groupBy("lang", "source").agg(F.concat(F.lit("## "), F.col("source"), F.lit("\n"), F.array_join(F.array_sort(F.collect_list(item)), "\n")).alias("part"))
     index = sections.groupBy(F.col("lang").alias("source")).agg(F.array_join(F.array_sort(F.collect_list("part")), "\n").alias("text"))
@@ -108,19 +113,19 @@ def link_index(spark, d):
     return rows.groupBy("source").agg(F.max_by("title", F.regexp_extract("title", r"(\d+)", 1).cast("bigint")).alias("first_title"), F.count("*").alias("n"), F.count_distinct("section").alias("sections"))
 
 
-@query("SELECT source, CAST(doc_id AS VARCHAR) AS url, CAST(length(regexp_replace(text, '\\s+$', '')) AS INTEGER) AS n FROM documents")
+@query("SELECT source || '-' || CAST(doc_id // 40 AS VARCHAR) AS source, CAST(doc_id AS VARCHAR) AS url, CAST(length(regexp_replace(text, '\\s+$', '')) AS INTEGER) AS n FROM documents")
 def concatenated_pages(spark, d):
-    """All documents of a source as one text, taken apart again."""
-    docs = _t(spark, d, "documents")
+    """The documents of a source and forty ids as one text, taken apart again."""
+    docs = _t(spark, d, "documents").withColumn("source", _in_forties("source"))
     page = F.concat(F.lit("# T\nSource: "), F.col("doc_id").cast("string"), F.lit("\n"), F.coalesce("text", F.lit("")))
     whole = docs.groupBy("source").agg(F.array_join(F.array_sort(F.collect_list(page)), "\n").alias("text"))
     return D.concatenated_pages(whole).select("source", "url", F.char_length(F.regexp_replace("body", r"\s+$", "")).alias("n"))
 
 
-@query("SELECT source, lang || '/' || CAST(doc_id AS VARCHAR) || '.md' AS path, sha256(text) AS sha FROM documents WHERE lang IN ('en', 'fr')")
+@query("SELECT source || '-' || CAST(doc_id // 40 AS VARCHAR) AS source, lang || '/' || CAST(doc_id AS VARCHAR) || '.md' AS path, sha256(text) AS sha FROM documents WHERE lang IN ('en', 'fr')")
 def tree_files(spark, d):
-    """Documents as blobs of a repository tree, one for each source; two folders count."""
-    docs = _t(spark, d, "documents")
+    """Documents as blobs of repository trees, one for each source and forty ids; two folders count."""
+    docs = _t(spark, d, "documents").withColumn("source", _in_forties("source"))
     blob = F.struct(F.lit("blob").alias("type"), F.concat(F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), T.content_hash("text").alias("sha"))
     trees = docs.groupBy("source").agg(F.to_json(F.struct(F.lit(False).alias("truncated"), F.collect_list(blob).alias("tree"))).alias("json"))
     return D.tree_files(trees, ["en/", "fr/"], [".md"]).select("source", "path", "sha")

@@ -209,7 +209,7 @@ def _wiki(index: DataFrame, w: World) -> Found:
     titles = listed.select(F.explode(F.from_json(text, kind)["query"]["pages"]).alias("p")).select(F.col("p.title").alias("key"), F.get("p.revisions.revid", F.lit(0)).cast("string").alias("revision")).filter("key IS NOT NULL").dropDuplicates(["key"])
     titles = cut_here(titles.filter(~K.translated_title("key", K.LANGUAGES)))
     url = F.concat(F.lit(_origin(w.start) + "/title/"), F.replace("key", F.lit(" "), F.lit("_")))
-    named = titles.withColumn("url", url).withColumn("__name", _key_of(w.spec, F.col("url")))
+    named = titles.withColumn("url", url).withColumn("__name", output_key(w.spec, F.col("url")))
     old = w.state().select(F.col("key").alias("__k"), F.substring_index("token", "\u0001", -1).alias("__t"))
     due = named.join(old, (F.col("__name") == F.col("__k")) & F.col("revision").eqNullSafe(F.col("__t")), "left_anti").select("key")
     replies, batches = Q.in_batches(due, w.get, Q.wiki_url(api, **_WIKI, prop="revisions%7Ccategories", rvprop="content%7Cids", rvslots="main", cllimit="max"), Q.continued, F.get_json_object("body", "$.error").isNotNull())
@@ -284,7 +284,7 @@ def _routed(rows: DataFrame, spec: SourceSpec) -> DataFrame:
     packed = V.packed_description("body")
     rows = cut_here(rows.withColumn("kind", V.body_kind("body")).withColumn("body", F.when(F.col("kind") == "packed", packed).otherwise(F.col("body"))).withColumn("kind", F.when(F.col("kind") == "packed", F.lit("openapi")).otherwise(F.col("kind"))))
     pick = lambda *kinds: rows.filter(F.col("kind").isin(*kinds))
-    key = _key_of(spec, F.col("url"))
+    key = output_key(spec, F.col("url"))
     texts = {"compiled": V.compiled_to_markdown("body")["markdown"], "mdx": V.mdx_to_markdown("body"), "html": V.html_to_markdown("body", "plain", F.col("url"), F.col("title")), "markdown": T.without_front_matter("body"), "vendor": V.vendor_document("body")}
     parts = [_endpoints(pick("openapi", "swagger"), spec), MANY["postman_documents"](pick("postman"), spec)]
     parts += [_made(pick(kind), key, T.first_present("title", T.markdown_title(content), F.lit("")), content) for kind, content in texts.items()]
@@ -307,10 +307,9 @@ def _path_of(spec: SourceSpec, url: Column) -> Column:
     return F.when(path.startswith(spec.strip.strip("/") + "/"), F.substring(path, len(spec.strip.strip("/")) + 2, 10_000)).otherwise(path) if spec.strip else path
 
 
-def _key_of(spec: SourceSpec, url: Column) -> Column:
-    """The output path of a page: its path, without what the source strips, below the class that the source's rules give it."""
-    path = F.regexp_replace(_path_of(spec, url), r"\.(?:md|mdx|html)$", "")
-    return K.output_path(F.concat_ws("/", K.classified(path, spec.rules), path) if spec.rules else path)
+def output_key(spec: SourceSpec, url: Column) -> Column:
+    """The output path of a page: its path, without what the source strips and its text's suffix, as the source's rules rewrite it."""
+    return K.output_path(K.rewritten(F.regexp_replace(_path_of(spec, url), r"\.(?:md|mdx|html)$", ""), spec.rules))
 
 
 def parts_of(spec: SourceSpec) -> list[tuple[str, str, str]]:
@@ -465,7 +464,7 @@ def run_source(
             listed = whole.select("scope").distinct()
         else:
             rows = rows.withColumn("scope", scoped(k, F.col("scope")))
-            pages.append(rows.select(_key_of(spec, F.col("url")).alias("key"), "url", "token", "title", "body", "status", "etag", "scope", F.lit(converter).alias("converter"), F.lit(k).alias("part")))
+            pages.append(rows.select(output_key(spec, F.col("url")).alias("key"), "url", "token", "title", "body", "status", "etag", "scope", F.lit(converter).alias("converter"), F.lit(k).alias("part")))
             own = found.gates if found.gates is not None else spark.createDataFrame([("", True)], "scope string, complete boolean")
             own = cut_here(own.select(scoped(k, F.col("scope")).alias("scope"), "complete"))
             gates.append(own.withColumn("least_rows", F.lit(1)))

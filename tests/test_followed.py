@@ -257,11 +257,11 @@ def counts(spark, spec, store, pages, **more):
 
 def test_parts_in_order_and_their_rules(spark, tmp_path):
     """Of a key that two parts give the first counts; classes, prefixes and suffixes make output paths; other hosts and paths stay out."""
-    spec = SourceSpec("o", "link_index+sitemap_by_path", (), "preamble", "https://o.t/llms.txt", also=("https://o.t/map.xml",), within="/docs/", strip="docs", suffix=".md", rules=((r"^api/", "reference"),))
+    spec = SourceSpec("o", "link_index+sitemap_by_path", (), "preamble", "https://o.t/llms.txt", also=("https://o.t/map.xml",), within="/docs/", strip="docs", suffix=".md", rules=((r"^api/(.*)$", "reference/$1"), (r"^([^/]+)$", "general/$1")))
     pages = {spec.url: "- [First](/docs/a.md)\n- [No](/blog/b)\n- [Api](/docs/api/c)\n", spec.also[0]: "<urlset><url><loc>https://o.t/docs/a</loc></url><url><loc>https://o.t/docs/d</loc></url></urlset>", "https://o.t/docs/a.md": "text a", "https://o.t/docs/api/c.md": "text c", "https://o.t/docs/d.md": "text d"}
     store = SnapshotStore(spark, f"file://{tmp_path}/o")
     assert counts(spark, spec, store, pages) == {"added": 3}
-    assert rows(store.read(), "key", "scope") == [("general/a.md", "0|"), ("general/d.md", "1|"), ("reference/api/c.md", "0|")]
+    assert rows(store.read(), "key", "scope") == [("general/a.md", "0|"), ("general/d.md", "1|"), ("reference/c.md", "0|")]
     assert {r["title"] for r in store.read().collect()} >= {"First", "Api"}
     # One part's index is an error page: its rows stay; the other part loses what it names no more.
     assert counts(spark, spec, store, {**pages, spec.also[0]: "<html>oops</html>", spec.url: "- [First](/docs/a.md)\n"}) == {"unchanged": 1, "removed": 1}
