@@ -92,8 +92,10 @@ class Wiki:
         if name in SYMBOLS:
             return self.keep(SYMBOLS[name])
         if name in ADMONITIONS:
-            lines = [x.strip() for x in arg(1).split("\n") if x.strip()]
-            return self.block([f"> **{ADMONITIONS[name]}:** {lines[0] if lines else ''}".rstrip(), *[f"> {x}" for x in lines[1:]]])
+            # All of it is text: a bar in it separates nothing, `1=` only lets it have an equals sign.
+            text = re.sub(r"^\s*\d+\s*=\s*", "", "|".join(rest)).strip()
+            lines = self.inline(text).split("\n") if text else []
+            return self.block([f"> **{ADMONITIONS[name]}:** {lines[0].rstrip()}" if lines else f"> **{ADMONITIONS[name]}**", *[f"> {x}".rstrip() for x in lines[1:]]])
         if name == "related articles start":
             return self.block(["**Related articles**"])
         if name in ("related", "related2"):

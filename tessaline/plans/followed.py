@@ -308,3 +308,27 @@ def rewritten_paths(spark, d):
     k = F.col("doc_id") % 3
     url = F.when(k == 0, _f("https://p.test/docs/%.md", "source")).when(k == 1, _f("https://p.test/docs/reference/%/%", "lang", "source")).otherwise(_f("https://p.test/%/x/%?q=1", "lang", "source"))
     return _t(spark, d, "documents").select("doc_id", run.output_key(spec, url).alias("path"))
+
+
+_TABLE = f"'| K | %s |' || {_NL} || '| --- | --- |' || {_NL} || '| ' || n_name || ' | '"
+
+
+@query(f"""SELECT n_name, '## ' || n_name || {_NL} || {_NL} || '> **Warning:** mind *' || CAST(n_nationkey AS VARCHAR) || '* of [l](https://wiki.archlinux.org/title/' || n_name || '#S) | more' || {_NL} || {_NL} || '**term**' || {_NL} || 'meaning ' || CAST(n_regionkey AS VARCHAR) || {_NL} || '1. one' || {_NL} || '  1. two' || {_NL} || '- a' || {_NL} || {_NL}
+|| {_TABLE % 'V'} || '[lab](https://wiki.archlinux.org/title/Page#Sec) |' || {_NL} || {_NL} || '`code ' || CAST(n_nationkey AS VARCHAR) || '` [vim](https://archlinux.org/packages/?q=vim) [ls(1)](https://man.archlinux.org/man/ls.1)' || {_NL} || {_NL} || '```' || {_NL} || 'block ' || n_name || {_NL} || '```' || {_NL} || {_NL} || chr(39) || chr(39) || 'n' || chr(39) || chr(39) || {_NL} AS markdown FROM nation""")
+def wiki_constructs(spark, d):
+    """Notes with marks, links and bars in them, terms, lists in lists, tables, code, packages, what is not to be read as wikitext."""
+    text = _f(
+        "== % ==\n{{Warning|mind ''%'' of [[%#S|l]] | more}}\n; term : meaning %\n# one\n## two\n* a\n{| class=\"wikitable\"\n! K !! V\n|-\n| % || [[Page#Sec|lab]]\n|}\n{{ic|code %}} {{Pkg|vim}} {{man|1|ls}}\n{{bc|block %}}\n[[Category:X]]\n<nowiki>''n''</nowiki>\n",
+        "n_name", "n_nationkey", "n_name", "n_regionkey", "n_name", "n_nationkey", "n_name")
+    return _t(spark, d, "nation").select("n_name", V.wikitext_to_markdown(text).alias("markdown"))
+
+
+@query(f"""SELECT n_name, '# T' || {_NL} || {_NL} || '## ' || n_name || ' & B' || {_NL} || {_NL} || 'one' || {_NL} || 'two *' || CAST(n_nationkey AS VARCHAR) || '* [l](https://h.test/r/' || CAST(n_regionkey AS VARCHAR) || ') ![pic](https://h.test/i.png)' || {_NL} || {_NL} || '1. first' || {_NL} || '  - in ``c`' || CAST(n_nationkey AS VARCHAR) || '``' || {_NL} || '2. second' || {_NL} || {_NL}
+|| {_TABLE % ('V' + chr(92) + '|W')} || 'v w |' || {_NL} || {_NL} || '> quoted ' || CAST(n_regionkey AS VARCHAR) || {_NL} || {_NL} || '**t**' || {_NL} || {_NL} || 'd' || {_NL} || {_NL} || '```js' || {_NL} || 'let a = ' || CAST(n_nationkey AS VARCHAR) || ';' || {_NL} || '  b' || {_NL} || '```' || {_NL} || {_NL} || '---' || {_NL} || {_NL} || '~~x~~ **s**' || {_NL} AS markdown FROM nation""")
+def html_constructs(spark, d):
+    """Line breaks, images, lists in lists, code with marks in it, tables with bars and breaks, quotes, terms, code of a language, rules, struck text."""
+    page = _f(
+        '<main><h2 id="x">% &amp; B</h2><p>one<br>two <em>%</em> <a href="/r/%">l</a> <img src="/i.png" alt="pic"></p><ol><li>first<ul><li>in <code>c`%</code></li></ul></li><li>second</li></ol>'
+        '<table><thead><tr><th>K</th><th>V|W</th></tr></thead><tbody><tr><td>%</td><td>v<br>w</td></tr></tbody></table><blockquote><p>quoted %</p></blockquote><dl><dt>t</dt><dd>d</dd></dl><pre><code class="language-js">let a = %;\n  b</code></pre><hr><p><del>x</del> <strong>s</strong></p></main>',
+        "n_name", "n_nationkey", "n_regionkey", "n_nationkey", "n_name", "n_regionkey", "n_nationkey")
+    return _t(spark, d, "nation").select("n_name", V.html_to_markdown(page, "plain", F.lit("https://h.test/a/b"), F.lit("T")).alias("markdown"))

@@ -154,3 +154,9 @@ def test_converters_as_columns(spark):
     docs = spark.createDataFrame([("a", ".. _l:\n\nA\n=\n\nA\n==="), ("b", "B\n===\n\n:doc:`a` :ref:`l`\n")], "name string, text string")
     assert {r["name"]: r["markdown"] for r in V.rst_to_markdown(docs).collect()}["b"].startswith("# B")
     assert spark.range(1).select(V.compiled_to_markdown(F.lit("x"))["markdown"]).first()[0] is None
+
+
+def test_notes_of_a_wiki_have_marks_and_links_in_them():
+    made = lambda text: W.wikitext_to_markdown(text).strip()
+    assert made("{{Note|See [[Some page#Part|here]] | or ''there'' and {{ic|a b}}.}}") == "> **Note:** See [here](https://wiki.archlinux.org/title/Some_page#Part) | or *there* and `a b`."
+    assert made("{{Tip|1=x = '''y'''\n\n* z}}") == "> **Tip:** x = **y**\n>\n> * z" and made("{{Warning|}}") == "> **Warning**"
