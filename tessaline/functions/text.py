@@ -137,6 +137,53 @@ def with_preamble(body: Column | str, title: Column | str, url: Column | str) ->
     return F.concat(F.lit("# "), t, F.lit("\n\nSource: "), _col(url), F.lit("\n\n"), rest, F.lit("\n"))
 
 
+def _linked(url: Column) -> Column:
+    return F.concat(F.lit("*Source: ["), url, F.lit("]("), url, F.lit(")*"))
+
+
+def titled_page(body: Column | str, title: Column | str, url: Column | str) -> Column:
+    """The body below its source; above both a heading, the title or the body's first, where the body does not begin with it."""
+    b = F.concat(F.regexp_replace(_col(body), r"\s+\z", ""), F.lit("\n"))
+    t = F.coalesce(F.nullif(_col(title), F.lit("")), F.nullif(F.trim(F.regexp_extract(b, r"(?m)^# (.+)$", 1)), F.lit("")))
+    missing = t.isNotNull() & ~F.startswith(F.regexp_replace(b, r"\A\s+", ""), F.concat(F.lit("# "), t))
+    return F.concat(F.when(missing, F.concat(F.lit("# "), t, F.lit("\n\n"))).otherwise(F.lit("")), _linked(_col(url)), F.lit("\n"), b)
+
+
+#: Fixed value: the banner that leads pages of one documentation host to its index.
+INDEX_BANNER = r"\A> ## Documentation Index\n(?:> [^\n]*\n)+\n*"
+
+
+def sourced_page(body: Column | str, title: Column | str, url: Column | str, banner: bool = False) -> Column:
+    """Like titled_page, but the title is the heading only of a body that begins with none; with banner, the index's banner goes first."""
+    b = F.regexp_replace(F.regexp_replace(_col(body), INDEX_BANNER, ""), r"\A\n+", "") if banner else _col(body)
+    b = F.concat(F.regexp_replace(b, r"\s+\z", ""), F.lit("\n"))
+    missing = ~F.rlike(b, F.lit(r"\A# .")) & (F.coalesce(_col(title), F.lit("")) != "")
+    return F.concat(F.when(missing, F.concat(F.lit("# "), _col(title), F.lit("\n\n"))).otherwise(F.lit("")), _linked(_col(url)), F.lit("\n"), b)
+
+
+def headed_page(body: Column | str, title: Column | str, url: Column | str, summary: Column | str) -> Column:
+    """Title, source, summary and a rule, then the body without the index's banner."""
+    b = stripped(F.regexp_replace(stripped(body), INDEX_BANNER, ""))
+    about = F.when(F.coalesce(_col(summary), F.lit("")) != "", F.concat(F.lit("\n"), _col(summary), F.lit("\n"))).otherwise(F.lit(""))
+    return F.concat(F.lit("# "), _col(title), F.lit("\n\n"), _linked(_col(url)), F.lit("\n"), about, F.lit("\n---\n"), b, F.lit("\n"))
+
+
+def concatenated_page(body: Column | str, title: Column | str, url: Column | str) -> Column:
+    """A page out of a concatenated corpus: title, source, and the body without lines of tags that say nothing in Markdown."""
+    b = F.regexp_replace(_col(body), r"(?m)^\s*<(?:ApiReleaseLifecycle|Scopes|AuthDocsPipeline)\s*/?>.*(?:\n|\z)", "")
+    return F.concat(stripped(F.concat(F.lit("# "), _col(title), F.lit("\n"), _linked(_col(url)), F.lit("\n\n"), b)), F.lit("\n"))
+
+
+#: Components that give way to their content.
+PLAIN_COMPONENTS = "Tabs|Tab|Accordion|AccordionGroup|Info|Tip|Warning|Note|Steps|Step|Card|CardGroup|CodeGroup|Callout|Frame"
+
+
+def without_components(text: Column | str) -> Column:
+    """From the first heading of the first level on, without the tags of known components; null where there is no such heading."""
+    b = stripped(F.nullif(F.regexp_extract(_col(text), r"(?ms)^(# .*)", 1), F.lit("")))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(b, rf"<(?:{PLAIN_COMPONENTS})[^>]*/?>", ""), rf"</(?:{PLAIN_COMPONENTS})>", ""), r"\n{3,}", "\n\n")
+
+
 def without_banners(text: Column | str, patterns: Sequence[str]) -> Column:
     """Boilerplate removed by multi-line patterns."""
     out = _col(text)

@@ -332,3 +332,27 @@ def html_constructs(spark, d):
         '<table><thead><tr><th>K</th><th>V|W</th></tr></thead><tbody><tr><td>%</td><td>v<br>w</td></tr></tbody></table><blockquote><p>quoted %</p></blockquote><dl><dt>t</dt><dd>d</dd></dl><pre><code class="language-js">let a = %;\n  b</code></pre><hr><p><del>x</del> <strong>s</strong></p></main>',
         "n_name", "n_nationkey", "n_regionkey", "n_nationkey", "n_name", "n_regionkey", "n_nationkey")
     return _t(spark, d, "nation").select("n_name", V.html_to_markdown(page, "plain", F.lit("https://h.test/a/b"), F.lit("T")).alias("markdown"))
+
+
+_LINK = f"'*Source: [https://p.test/' || CAST(doc_id AS VARCHAR) || '](https://p.test/' || CAST(doc_id AS VARCHAR) || ')*' || {_NL}"
+
+
+@query(f"""SELECT doc_id, CASE k WHEN 0 THEN '' WHEN 1 THEN '# T' || source || {_NL} || {_NL} ELSE '# In ' || lang || {_NL} || {_NL} END || link || {_NL} || body || {_NL} AS titled,
+CASE k WHEN 2 THEN '' ELSE '# T' || source || {_NL} || {_NL} END || link || {_NL} || body || {_NL} AS sourced, CASE k WHEN 1 THEN '# T' || source || {_NL} || {_NL} ELSE '' END || link || body || {_NL} AS bannered,
+'# ' || CASE k WHEN 2 THEN '' ELSE 'T' || source END || {_NL} || {_NL} || link || CASE WHEN doc_id % 2 = 0 THEN {_NL} || 'about ' || lang || {_NL} ELSE '' END || {_NL} || '---' || {_NL} || 'text' || {_NL} AS headed,
+'# ' || source || {_NL} || link || {_NL} || {_NL} || 'a' || {_NL} || 'b ' || lang || {_NL} AS concatenated,
+CASE WHEN k = 0 THEN '# T ' || source || {_NL} || {_NL} || 'in ' || lang || {_NL} || {_NL} || 'after' END AS plain
+FROM (SELECT *, doc_id % 3 AS k, {_LINK} AS link, CASE doc_id % 3 WHEN 0 THEN '# T' || source || ' more' WHEN 1 THEN 'text ' || lang ELSE 'text ' || lang || {_NL} || '# In ' || lang END AS body FROM documents)""")
+def page_formats(spark, d):
+    """How pages of several hosts are headed: by title, by source, with a summary, out of a corpus, without components; bodies begin with an empty line."""
+    k, t = F.col("doc_id") % 3, F.concat(F.lit("T"), F.col("source"))
+    title = F.when(k == 2, F.lit("")).otherwise(t)
+    url = _f("https://p.test/%", "doc_id")
+    body = F.when(k == 0, F.concat(F.lit("\n# "), t, F.lit(" more\n\n"))).when(k == 1, _f("\ntext %\n", "lang")).otherwise(_f("\ntext %\n# In %\n", "lang", "lang"))
+    banner = F.lit("> ## Documentation Index\n> Fetch it at: x\n> Use it.\n\n")
+    mdx = F.when(k == 0, _f("> index\n\n# T %\n\n\n<Note type='x'>\nin %\n</Note>\n\n\n<Card title='c'/>after\n", "source", "lang")).otherwise(F.lit("no heading"))
+    named = F.when(k == 2, F.lit("")).otherwise(title)
+    return _t(spark, d, "documents").select(
+        "doc_id", T.titled_page(body, title, url).alias("titled"), T.sourced_page(body, title, url).alias("sourced"), T.sourced_page(F.when(k == 1, F.concat(banner, body)).otherwise(body), named, url, banner=True).alias("bannered"),
+        T.headed_page(F.concat(banner, F.lit("text\n\n")), title, url, F.when(F.col("doc_id") % 2 == 0, _f("about %", "lang"))).alias("headed"),
+        T.concatenated_page(_f("\na\n <Scopes />\nb %\n\n", "lang"), "source", url).alias("concatenated"), T.without_components(mdx).alias("plain"))

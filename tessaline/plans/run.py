@@ -101,11 +101,11 @@ class World:
         return rows.limit(0) if self.force else rows.filter(made_by("token", self.engine) & F.coalesce("output_exists", F.lit(False)))
 
 
-def _found(rows: DataFrame, url: Column, token: Column | None = None, title: Column | None = None, body: Column | None = None, status: Column | None = None, etag: Column | None = None, scope: Column | None = None) -> DataFrame:
+def _found(rows: DataFrame, url: Column, token: Column | None = None, title: Column | None = None, body: Column | None = None, status: Column | None = None, etag: Column | None = None, scope: Column | None = None, summary: Column | None = None) -> DataFrame:
     none = F.lit(None).cast("string")
     text = lambda c: none if c is None else c.cast("string")
     told = F.when(body.isNotNull(), 200) if body is not None and status is None else F.lit(None) if status is None else status
-    return rows.select(url.alias("url"), text(token).alias("token"), (F.lit("") if title is None else title).alias("title"), text(body).alias("body"), told.cast("int").alias("status"), text(etag).alias("etag"), (F.lit("") if scope is None else scope).alias("scope"))
+    return rows.select(url.alias("url"), text(token).alias("token"), (F.lit("") if title is None else title).alias("title"), text(body).alias("body"), told.cast("int").alias("status"), text(etag).alias("etag"), (F.lit("") if scope is None else scope).alias("scope"), (F.lit("") if summary is None else summary).alias("summary"))
 
 
 def _below(w: World, path: Column, suffix: str = "") -> Column:
@@ -232,7 +232,7 @@ def _bundles(index: DataFrame, w: World) -> Found:
 DISCOVERIES: dict[str, Callable[[DataFrame, World], DataFrame | Found]] = {
     "fixed": lambda i, w: _found(i, F.col("url")),
     "first_valid": lambda i, w: _found(D.first_valid(i.withColumn("ord", F.lit(0)), body="text"), F.col("url"), body=F.col("text")),
-    "link_index": lambda i, w: _found(r := D.link_index(i), K.absolute_link("url", F.lit(w.start)), title=r["title"]),
+    "link_index": lambda i, w: _found(r := D.link_index(i), K.absolute_link("url", F.lit(w.start)), title=r["title"], summary=r["summary"]),
     "concatenated_pages": lambda i, w: _found(D.concatenated_pages(i), F.col("url"), T.content_hash("body"), F.col("title"), F.col("body")),
     "sitemap_urls": lambda i, w: _found(D.sitemap_urls(i, "text"), F.col("url")),
     "sitemap_by_path": lambda i, w: _found(D.sitemap_by_path(i, "text"), F.col("url")),
@@ -253,9 +253,12 @@ DISCOVERIES: dict[str, Callable[[DataFrame, World], DataFrame | Found]] = {
 }
 
 _HTML = lambda dialect: lambda r: V.html_to_markdown("body", dialect, F.col("url"), F.col("title"))
-#: One document from one body, a column over (url, title, body).
+#: One document from one body, a column over (url, title, summary, body).
 PAGES: dict[str, Callable[[DataFrame], Column]] = {
     "preamble": lambda r: T.with_preamble("body", F.coalesce(T.first_present("title", T.markdown_title("body")), F.lit("")), "url"),
+    "titled_page": lambda r: T.titled_page("body", "title", "url"), "sourced_page": lambda r: T.sourced_page("body", "title", "url"), "bannered_page": lambda r: T.sourced_page("body", "title", "url", banner=True),
+    "headed_page": lambda r: T.headed_page("body", "title", "url", "summary"),
+    "concatenated_page": lambda r: T.concatenated_page("body", "title", "url"), "without_components": lambda r: T.without_components("body"),
     "without_front_matter": lambda r: T.without_front_matter("body"), "mdx_to_markdown": lambda r: V.mdx_to_markdown("body"), "jekyll_to_markdown": lambda r: V.jekyll_to_markdown("body"),
     "mkdocs_to_markdown": lambda r: V.mkdocs_to_markdown("body"), "shortcodes_to_markdown": lambda r: V.shortcodes_to_markdown("body"), "wikitext_to_markdown": lambda r: V.wikitext_to_markdown("body"),
     "compiled_to_markdown": lambda r: V.compiled_to_markdown("body")["markdown"], "canonical_json": lambda r: V.canonical_json("body"), "vendor_document": lambda r: V.vendor_document("body"),
@@ -401,7 +404,7 @@ def run_source(
         """The rows that the state has of scopes (scope), as they are."""
         token = F.when(F.contains("token", F.lit("\u0001")), F.substring_index("token", "\u0001", -1))
         rows = old.join(scopes.select(F.col("scope").alias("__s")).distinct(), F.col("scope") == F.col("__s"), "left_semi")
-        return rows.select("key", F.lit(None).cast("string").alias("url"), token.alias("token"), "title", F.lit(None).cast("string").alias("body"), F.lit(304).alias("status"), "etag", "scope", F.lit("").alias("converter"), F.lit(k).alias("part"))
+        return rows.select("key", F.lit(None).cast("string").alias("url"), token.alias("token"), "title", F.lit(None).cast("string").alias("body"), F.lit(304).alias("status"), "etag", "scope", F.lit("").alias("converter"), F.lit(k).alias("part"), F.lit("").alias("summary"))
 
     for k, (discovery, start, converter) in enumerate(parts_of(spec)):
         asked = spark.createDataFrame([(start, None)], _ASKED)
@@ -457,14 +460,14 @@ def run_source(
             if raw:
                 cut_here(archive_raw(here.withColumn("source", F.lit(spec.name)), raw))
             made = MANY[name](here.select("url", "title", "body"), spec).join(here.select(F.col("url").alias("__u"), "scope", "etag"), F.col("url") == F.col("__u"))
-            pages.append(made.select("key", F.concat("url", F.lit("#"), "key").alias("url"), T.content_hash("content").alias("token"), "title", F.col("content").alias("body"), F.lit(200).alias("status"), "etag", "scope", F.lit("").alias("converter"), F.lit(k).alias("part")))
+            pages.append(made.select("key", F.concat("url", F.lit("#"), "key").alias("url"), T.content_hash("content").alias("token"), "title", F.col("content").alias("body"), F.lit(200).alias("status"), "etag", "scope", F.lit("").alias("converter"), F.lit(k).alias("part"), F.lit("").alias("summary")))
             pages.append(carried(k, whole.filter("status = 304")))
             gates.append(whole.select("scope", F.col("status").isin(200, 304).alias("complete"), F.lit(1).alias("least_rows")))
             complete = found.gates is None or found.gates.filter("NOT complete").isEmpty()
             listed = whole.select("scope").distinct()
         else:
             rows = rows.withColumn("scope", scoped(k, F.col("scope")))
-            pages.append(rows.select(output_key(spec, F.col("url")).alias("key"), "url", "token", "title", "body", "status", "etag", "scope", F.lit(converter).alias("converter"), F.lit(k).alias("part")))
+            pages.append(rows.select(output_key(spec, F.col("url")).alias("key"), "url", "token", "title", "body", "status", "etag", "scope", F.lit(converter).alias("converter"), F.lit(k).alias("part"), "summary"))
             own = found.gates if found.gates is not None else spark.createDataFrame([("", True)], "scope string, complete boolean")
             own = cut_here(own.select(scoped(k, F.col("scope")).alias("scope"), "complete"))
             gates.append(own.withColumn("least_rows", F.lit(1)))
@@ -486,7 +489,7 @@ def run_source(
     every = cut_here(reduce(DataFrame.unionByName, pages))
     first = every.groupBy("key").agg(F.min(F.struct("part", F.coalesce("url", F.lit("")).alias("url"))).alias("w")).select(F.col("key").alias("__k"), F.col("w.part").alias("__p"), F.col("w.url").alias("__w"))
     every = cut_here(every.join(first, (F.col("key") == F.col("__k")) & (F.col("part") == F.col("__p")) & (F.coalesce("url", F.lit("")) == F.col("__w"))).drop("__k", "__p", "__w").dropDuplicates(["key"]))
-    known = every.select(F.col("key").alias("__k"), F.col("url").alias("__url"), F.col("title").alias("__title"), F.col("converter").alias("__how"), F.col("body").alias("__body"), F.col("status").alias("__status"), F.col("etag").alias("__etag"))
+    known = every.select(F.col("key").alias("__k"), F.col("url").alias("__url"), F.col("title").alias("__title"), F.col("converter").alias("__how"), F.col("body").alias("__body"), F.col("status").alias("__status"), F.col("etag").alias("__etag"), F.col("summary").alias("__summary"))
 
     def fetch(wanted: DataFrame) -> DataFrame:
         rows = cut_here(wanted.select("key", "etag").join(known, F.col("key") == F.col("__k")))
@@ -495,7 +498,8 @@ def run_source(
         return here.unionByName(Q.ask(asked, get, "known").select("key", "status", "body", "etag"))
 
     def convert(bodies: DataFrame) -> DataFrame:
-        rows = bodies.join(known.drop("__body"), F.col("key") == F.col("__k")).select("key", F.col("__url").alias("url"), F.col("__title").alias("title"), "body", "__how")
+        shown = F.regexp_replace("__url", rf"\Q{spec.suffix}\E$", "") if spec.suffix else F.col("__url")  # the page's own address
+        rows = bodies.join(known.drop("__body"), F.col("key") == F.col("__k")).select("key", shown.alias("url"), F.col("__title").alias("title"), F.col("__summary").alias("summary"), "body", "__how")
         out = None
         for how in dict.fromkeys(["", *(c for _, _, c in parts_of(spec) if c.partition(":")[0] not in MANY)]):
             name, _, dialect = how.partition(":")

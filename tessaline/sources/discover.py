@@ -90,7 +90,7 @@ def link_index(indexes: DataFrame, source: str = "source", text: str = "text") -
 def concatenated_pages(corpora: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
     """(source, url, ord, title, body) of texts that join pages as `# Title` and `Source: url`; of a url the last."""
     parts = corpora.select(source, F.posexplode(F.split(text, r"(?m)^(?=# [^\n]*\nSource: )")).alias("ord", "part"))
-    head = r"(?s)\A# ([^\n]*)\nSource: (\S+)\s*\n?(.*)\z"
+    head = r"(?s)\A# ([^\n]*)\nSource: (\S+)[^\S\n]*\n?(.*)\z"
     rows = parts.filter(F.col("part").rlike(head)).select(source, F.regexp_extract("part", head, 2).alias("url"), "ord", F.regexp_extract("part", head, 1).alias("title"), F.regexp_extract("part", head, 3).alias("body"))
     return R.last_wins(rows, [source, "url"], ["ord"])
 

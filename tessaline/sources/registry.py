@@ -38,16 +38,16 @@ _ROOT = r"^([^/]+)$"  # a page with no folder
 
 #: The public documentation sources.
 SOURCES: dict[str, SourceSpec] = {s.name: s for s in (
-    _s("1password", "link_index+sitemap_urls", "markdown", "preamble", "https://www.1password.dev/llms.txt", also=("https://www.1password.dev/sitemap.xml",), suffix=".md", rules=((_ROOT, "$1/index"),)),
-    _s("anthropic", "link_index", "markdown mdx", "mdx_to_markdown", "https://code.claude.com/docs/llms.txt", strip="docs/en", rules=((_ROOT, "general/$1"),)),
+    _s("1password", "link_index+sitemap_urls", "markdown", "titled_page", "https://www.1password.dev/llms.txt", also=("https://www.1password.dev/sitemap.xml",), suffix=".md", rules=((_ROOT, "$1/index"),)),
+    _s("anthropic", "link_index", "markdown mdx", "without_components", "https://code.claude.com/docs/llms.txt", strip="docs/en", rules=((_ROOT, "general/$1"),)),
     _s("arch", "wiki_articles", "wikitext", "wikitext_to_markdown", "https://wiki.archlinux.org/api.php?action=query&generator=allpages&gapnamespace=0&gapfilterredir=nonredirects&gaplimit=500&prop=revisions&rvprop=ids&format=json&formatversion=2", token="revision", failure="abort", policy="linear", strip="title"),
-    _s("auth0", "link_index+concatenated_pages", "markdown", "preamble", "https://auth0.com/docs/llms.txt", also=("https://auth0.com/docs/llms-full.txt",), strip="docs"),
+    _s("auth0", "concatenated_pages+link_index", "markdown", "concatenated_page+preamble", "https://auth0.com/docs/llms-full.txt", also=("https://auth0.com/docs/llms.txt",), strip="docs"),
     _s("authelia", "tree_files", "hugo json", "shortcodes_to_markdown", "https://api.github.com/repos/authelia/authelia/git/trees/master?recursive=1", token="fingerprint", failure="abort", raw_base="https://raw.githubusercontent.com/authelia/authelia/master", within="docs/content/", strip="authelia/authelia/master/docs/content"),
     _s("bitwarden", "fixed+embedded_object", "jekyll openapi", "jekyll_to_markdown+endpoint_documents", "https://raw.githubusercontent.com/bitwarden/help/master/_articles/miscellaneous/cli.md", failure="scope", also=("https://bitwarden.com/help/vault-management-api/",)),
     _s("circleci", "fixed", "openapi", "endpoint_documents", "https://circleci.com/api/v2/openapi.json", failure="abort"),
     _s("clickup", "fixed+fixed+sitemap_by_path", "openapi html", "endpoint_documents+endpoint_documents+html_to_markdown:readme", "https://developer.clickup.com/openapi/clickup-api-v2-reference.json", failure="scope", also=("https://developer.clickup.com/openapi/ClickUp_PUBLIC_API_V3.yaml", "https://developer.clickup.com/sitemap.xml")),
     _s("cloudflare", "fixed", "openapi", "endpoint_documents", "https://raw.githubusercontent.com/cloudflare/api-schemas/main/openapi.json", failure="abort"),
-    _s("discord", "link_index+sitemap_urls", "markdown", "preamble", "https://docs.discord.com/llms.txt", also=("https://docs.discord.com/sitemap.xml",), within="/developers/", strip="developers", suffix=".md", rules=((_ROOT, "_root/$1"),)),
+    _s("discord", "link_index+sitemap_urls", "markdown", "titled_page", "https://docs.discord.com/llms.txt", also=("https://docs.discord.com/sitemap.xml",), within="/developers/", strip="developers", suffix=".md", rules=((_ROOT, "_root/$1"),)),
     _s("filebrowser", "tree_files", "mkdocs", "mkdocs_to_markdown", "https://api.github.com/repos/filebrowser/filebrowser/git/trees/master?recursive=1", token="fingerprint", failure="abort", raw_base="https://raw.githubusercontent.com/filebrowser/filebrowser/master", within="www/docs/", strip="filebrowser/filebrowser/master/www/docs"),
     _s("google", "json_directory", "discovery", "canonical_json", "https://discovery.googleapis.com/discovery/v1/apis"),
     _s("google-cloud", "sitemap_tree", "html", "html_to_markdown:devsite", "https://docs.cloud.google.com/sitemap.xml", token="lastmod", policy="schedule"),
@@ -56,12 +56,12 @@ SOURCES: dict[str, SourceSpec] = {s.name: s for s in (
     _s("keycloak", "sitemap_by_path", "html", "html_to_markdown:asciidoc", "https://www.keycloak.org/sitemap.xml"),
     _s("langfuse", "fixed+tree_files", "openapi-yaml mdx", "endpoint_documents+mdx_to_markdown", "https://cloud.langfuse.com/generated/api/openapi.yml", failure="scope", also=("https://api.github.com/repos/langfuse/langfuse-docs/git/trees/main?recursive=1",), raw_base="https://raw.githubusercontent.com/langfuse/langfuse-docs/refs/heads/main", strip="langfuse/langfuse-docs/refs/heads/main"),
     _s("nixos", "fixed", "html", "slices", "https://nixos.org/manual/nixos/stable/", token="etag", failure="abort", also=("https://nixos.org/manual/nixos/stable/release-notes", "https://nixos.org/manual/nixos/stable/options"), kinds=(("preface", "part"), ("chapter", "appendix"), ("section",)), strip="manual/nixos/stable"),
-    _s("notion", "link_index", "markdown", "preamble", "https://developers.notion.com/llms.txt", rules=((_ROOT, "$1/index"),)),
+    _s("notion", "link_index", "markdown", "headed_page", "https://developers.notion.com/llms.txt", rules=((_ROOT, "$1/index"),)),
     _s("obs", "sphinx_names", "rst", "rst_to_markdown", "https://docs.obsproject.com/searchindex.js", raw_base="https://docs.obsproject.com/_sources", strip="_sources"),
     _s("obs-websocket", "fixed", "protocol", "protocol_documents", "https://raw.githubusercontent.com/obsproject/obs-websocket/master/docs/generated/protocol.json", failure="abort"),
     _s("okta", "fixed+fixed+fixed+sitemap_urls", "openapi-yaml html", "endpoint_documents+endpoint_documents+endpoint_documents+html_to_markdown:dita", "https://raw.githubusercontent.com/okta/okta-management-openapi-spec/master/dist/current/management-minimal.yaml", token="etag", failure="scope", probe=True, also=("https://raw.githubusercontent.com/okta/okta-management-openapi-spec/master/dist/current/oauth-minimal.yaml", "https://raw.githubusercontent.com/okta/okta-management-openapi-spec/master/dist/current/idp-minimal.yaml", "https://help.okta.com/oie/en-us/sitemap.xml")),
-    _s("ollama", "link_index", "markdown", "preamble", "https://docs.ollama.com/llms.txt"),
-    _s("openai", "link_index", "markdown", "preamble", "https://developers.openai.com/llms.txt", token="etag"),
+    _s("ollama", "link_index", "markdown", "bannered_page", "https://docs.ollama.com/llms.txt"),
+    _s("openai", "link_index", "markdown", "sourced_page", "https://developers.openai.com/llms.txt", token="etag"),
     _s("opencode", "sidebar+english_paths", "mdx", "mdx_to_markdown", "https://opencode.ai/docs/", also=("https://opencode.ai/sitemap.xml",), within="/docs/", strip="docs", suffix=".md"),
     _s("oracle", "json_directory", "openapi-yaml", "endpoint_documents", "https://docs.oracle.com/en-us/iaas/api/specs/index.json", token="spec_names", failure="scope"),
     _s("outline", "fixed", "openapi", "endpoint_documents", "https://raw.githubusercontent.com/outline/openapi/main/spec3.json", failure="abort"),
