@@ -460,8 +460,8 @@ def definitions(html: str) -> list[dict]:
 def slices(html: str, kinds: list[list[str]], dialect: str = "docbook", url: str = "") -> list[dict]:
     """One page as a tree of documents: {ord, parent, trail, kind, anchor, title, anchors, markdown} in the page's order.
 
-    kinds has classes of elements by rank, outermost first. An element of one of them is a document; it belongs to the one
-    around it, or else to the last one before it with a lower rank and a higher heading (chapters that follow their part). Its
+    kinds has classes of elements by rank, outermost first. An element of one of them is a document, unless it stands inside one
+    of its own rank or a later one (sections of a section are part of it); it belongs to the one around it, or else to the last one before it with a lower rank and a higher heading (chapters that follow their part). Its
     text is what it holds beside the documents inside it, its anchors the ids and names in that, trail its ancestors' and its
     own names. What stands outside all documents is left out.
     """
@@ -476,8 +476,8 @@ def slices(html: str, kinds: list[list[str]], dialect: str = "docbook", url: str
         for c in list(n.children):
             if not isinstance(c, Node):
                 continue
-            kind = next((x for x in c.classes() if x in rank), None)
-            if kind is None:
+            kind = min((x for x in c.classes() if x in rank), key=lambda x: (rank[x], x), default=None)
+            if kind is None or inside and rank[kind] <= rank[inside["kind"]]:
                 visit(c, inside)
                 continue
             head = heading(c)

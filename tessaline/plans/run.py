@@ -276,10 +276,14 @@ def _endpoints(rows: DataFrame, spec: SourceSpec) -> DataFrame:
 
 
 def _slices(rows: DataFrame, spec: SourceSpec) -> DataFrame:
-    """The documents inside pages, below each page's own name, with links between them."""
-    made = P.relinked(P.sliced(rows, spec.kinds, "url", "body"), "url")
-    name = K.output_path(_path_of(spec, F.col("url")))
-    return _made(made, F.concat(F.regexp_replace(name, r"\.md$", ""), F.lit("/"), "path"), F.col("title"), F.concat(F.lit("# "), "title", F.lit("\n\n"), "markdown"))
+    """The documents inside pages, below each page's own name, with links between them; each part has its own kinds of documents."""
+    out = []
+    for k, start in enumerate(dict.fromkeys(start for _, start, _ in parts_of(spec))):
+        mine = rows.filter(F.col("url") == start)
+        made = P.relinked(P.sliced(mine, spec.kinds[min(k, len(spec.kinds) - 1)], "url", "body"), "url")
+        folder = F.regexp_replace(F.regexp_replace(output_key(spec, F.col("url")), r"\.md$", ""), r"^index$", "")
+        out.append(_made(made, F.concat_ws("/", F.nullif(folder, F.lit("")), "path"), F.col("title"), F.concat(F.lit("# "), "title", F.lit("\n\n"), "markdown")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def _routed(rows: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -306,8 +310,12 @@ MANY: dict[str, Callable[[DataFrame, SourceSpec], DataFrame]] = {
 
 
 def _path_of(spec: SourceSpec, url: Column) -> Column:
+    """The path of a URL, or the name behind it, without what the source strips; '/' for what is stripped itself."""
     path = K.url_path(F.coalesce(F.nullif(F.regexp_extract(url, _NAMED + "(.+)$", 1), F.lit("")), url))
-    return F.when(path.startswith(spec.strip.strip("/") + "/"), F.substring(path, len(spec.strip.strip("/")) + 2, 10_000)).otherwise(path) if spec.strip else path
+    if not spec.strip:
+        return path
+    top = spec.strip.strip("/")
+    return F.when(path == top, F.lit("/")).when(path.startswith(top + "/"), F.substr(path, F.lit(len(top) + 2))).otherwise(path)
 
 
 def output_key(spec: SourceSpec, url: Column) -> Column:

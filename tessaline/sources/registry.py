@@ -25,7 +25,7 @@ class SourceSpec:
     strip: str = ""  #: what output paths leave out at their beginning
     rules: tuple[tuple[str, str], ...] = ()  #: (pattern, replacement): the first that is found in a path makes the output path
     probe: bool = False  #: ask for validators (HEAD) before contents
-    kinds: tuple[tuple[str, ...], ...] = ()  #: classes of the documents inside one page, outermost first
+    kinds: tuple[tuple[tuple[str, ...], ...], ...] = ()  #: for each part: classes of the documents inside one page, outermost first
     raw_base: str = ""  #: where files that an index names stand, if not beside it
     suffix: str = ""  #: what is put behind a page's URL to get its text
 
@@ -55,7 +55,7 @@ SOURCES: dict[str, SourceSpec] = {s.name: s for s in (
     _s("kandji", "fixed", "postman", "postman_documents", "", failure="abort"),
     _s("keycloak", "sitemap_by_path", "html", "html_to_markdown:asciidoc", "https://www.keycloak.org/sitemap.xml"),
     _s("langfuse", "fixed+tree_files", "openapi-yaml mdx", "endpoint_documents+mdx_to_markdown", "https://cloud.langfuse.com/generated/api/openapi.yml", failure="scope", also=("https://api.github.com/repos/langfuse/langfuse-docs/git/trees/main?recursive=1",), raw_base="https://raw.githubusercontent.com/langfuse/langfuse-docs/refs/heads/main", strip="langfuse/langfuse-docs/refs/heads/main"),
-    _s("nixos", "fixed", "html", "slices", "https://nixos.org/manual/nixos/stable/", token="etag", failure="abort", also=("https://nixos.org/manual/nixos/stable/release-notes", "https://nixos.org/manual/nixos/stable/options"), kinds=(("preface", "part"), ("chapter", "appendix"), ("section",)), strip="manual/nixos/stable"),
+    _s("nixos", "fixed", "html", "slices+slices+html_to_markdown:docbook", "https://nixos.org/manual/nixos/stable/", token="etag", failure="abort", also=("https://nixos.org/manual/nixos/stable/release-notes", "https://nixos.org/manual/nixos/stable/options"), kinds=((("preface", "part"), ("chapter", "appendix")), (("section",),)), strip="manual/nixos/stable"),
     _s("notion", "link_index", "markdown", "headed_page", "https://developers.notion.com/llms.txt", rules=((_ROOT, "$1/index"),)),
     _s("obs", "sphinx_names", "rst", "rst_to_markdown", "https://docs.obsproject.com/searchindex.js", raw_base="https://docs.obsproject.com/_sources", strip="_sources"),
     _s("obs-websocket", "fixed", "protocol", "protocol_documents", "https://raw.githubusercontent.com/obsproject/obs-websocket/master/docs/generated/protocol.json", failure="abort"),
@@ -75,7 +75,7 @@ SOURCES: dict[str, SourceSpec] = {s.name: s for s in (
     _s("terraform", "registry_documents", "markdown", "registry_document", "https://registry.terraform.io/v2/providers?page[size]=100", token="version+fingerprint", policy="budget"),
     _s("twitch", "reachable", "html", "html_to_markdown:jekyll", "https://dev.twitch.tv/docs/api", failure="abort", least_rows=100),
     _s("vikunja", "fixed", "swagger", "endpoint_documents", "https://try.vikunja.io/api/v1/docs.json", failure="abort"),
-    _s("youtube", "landing_links", "html", "html_to_markdown:devsite", "https://developers.google.com/youtube/v3/docs", strip="youtube/v3/docs", rules=((r"^youtube/v3/docs$", "index"), (_ROOT, "$1/index"))),
+    _s("youtube", "landing_links", "html", "html_to_markdown:devsite", "https://developers.google.com/youtube/v3/docs", strip="youtube/v3/docs", rules=((_ROOT, "$1/index"),)),
 )}
 
 

@@ -339,3 +339,16 @@ def test_index_pages_give_way_to_pages(spark, tmp_path):
     fewer = {**pages, spec.url: pages[spec.url].replace("- [Two](/b/two.md)\n", "")}
     assert counts(spark, spec, store, fewer) == {"unchanged": 3, "removed": 1} and store.read().filter("key = 'b/README.md'").count() == 1
     assert counts(spark, spec, store, fewer, index_pages=True) == {"unchanged": 3, "updated": 1, "removed": 1}
+
+
+def test_a_manual_of_several_pages(spark, tmp_path):
+    """Parts and chapters of one page, sections of another: sections of a section stay in it; the pages' validators are kept."""
+    spec = SourceSpec("n", "fixed", (), "slices", "https://n.t/stable/", token="etag", failure="abort", also=("https://n.t/stable/notes",), strip="stable", kinds=((("part",), ("chapter",)), (("section",),)))
+    manual = '<div class="part"><h1 id="p">P</h1><div class="chapter"><h2 id="c">C</h2><div class="section"><h3 id="s">S</h3>see <a href="#p">p</a></div></div></div>'
+    notes = '<div class="appendix"><div class="section"><h2 id="r1">R1</h2><div class="section"><h3 id="h">H</h3><p>high</p></div></div><div class="section"><h2 id="r2">R2</h2></div></div>'
+    store = SnapshotStore(spark, f"file://{tmp_path}/n")
+    pages = {spec.url: (200, manual, '"m1"'), spec.also[0]: (200, notes, '"n1"')}
+    assert counts(spark, spec, store, pages) == {"added": 4}
+    state = {r["key"]: r["content"] for r in store.read().collect()}
+    assert sorted(state) == ["notes/r1.md", "notes/r2.md", "p.md", "p/c.md"] and "high" in state["notes/r1.md"] and "[p](../p.md#p)" in state["p/c.md"]
+    assert counts(spark, spec, store, {**pages, spec.also[0]: (200, notes.split('<div class="section"><h2 id="r2"')[0], '"n2"')}) == {"unchanged": 3, "removed": 1}
