@@ -6,8 +6,8 @@ numbers, so a fingerprint is the same wherever it is made.
 
 Search: a fingerprint's bits are cut into radius + 2 blocks. Of two fingerprints within radius bits at least two blocks are
 equal, so there is a table for every pair of blocks, each keyed by those two blocks (the permutation that brings them to the
-front), and an equi-join on (table, key) meets every neighbour; the distance is checked in the join, and of the tables in
-which a pair meets only the first gives it. Tables hold distinct fingerprints, so copies never meet each other.
+front), and an equi-join on (table, key) meets every neighbour; the distance is checked in the join, and a pair that meets in
+several tables is given once. Tables hold distinct fingerprints, so copies never meet each other.
 
 The text that follows in the order of ids is met in one pass: rows are dealt by ranges, sorted within partitions and
 streamed with the row before; where a partition ends, the first row of the next one is joined to its last.
