@@ -214,10 +214,11 @@ def fenced(code: Column | str, language: Column | str | None = None) -> Column:
     return F.concat(fence, F.lit("") if language is None else _col(language), F.lit("\n"), F.regexp_replace(c, "\n+$", ""), F.lit("\n"), fence)
 
 
-def short_number(n: Column | str) -> Column:
-    """1.2M, 3K, 999."""
+def short_number(n: Column | str, millions: bool = True) -> Column:
+    """1.2M, 3K, 999; without millions thousands go on: 1250K."""
     c = _col(n)
-    return F.when(c >= 1_000_000, F.concat(F.round(c / 1e6, 1).cast("string"), F.lit("M"))).when(c >= 1_000, F.concat(F.floor(c / 1000).cast("string"), F.lit("K"))).otherwise(c.cast("string"))
+    thousands = F.when(c >= 1_000, F.concat(F.floor(c / 1000).cast("string"), F.lit("K"))).otherwise(c.cast("string"))
+    return F.when(c >= 1_000_000, F.concat(F.round(c / 1e6, 1).cast("string"), F.lit("M"))).otherwise(thousands) if millions else thousands
 
 
 #: Substitutions that make Markdown of snippets, in this order; $1 and $2 are what the pattern has in brackets.
