@@ -91,14 +91,20 @@ def table_cell(text: Column | str) -> Column:
 
 
 def markdown_table(rows: Column | str) -> Column:
-    """Rows (array of arrays of cells, the first the header) as a table; short rows are padded."""
+    """Rows (array of arrays of cells, the first the header) as a table; short rows are padded.
+
+    The width is an argument of the lambda that pads: as an expression inside it, it would be found anew for each row.
+    """
     rows = _col(rows)
-    width = F.array_max(F.transform(rows, lambda r: F.size(r)))
     line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | "), F.lit(" |"))
-    full = F.transform(rows, lambda r: line(F.concat(F.transform(r, lambda c: table_cell(F.coalesce(c, F.lit("")))), F.array_repeat(F.lit(""), width - F.size(r)))))
-    rule = line(F.array_repeat(F.lit("---"), width))
-    body = F.slice(full, F.lit(2), F.greatest(F.size(full) - 1, F.lit(0)))
-    return F.when(F.size(rows) > 0, F.array_join(F.concat(F.slice(full, 1, 1), F.array(rule), body), "\n")).otherwise(F.lit(""))
+    padded = lambda r, width: line(F.concat(F.transform(r, lambda c: table_cell(F.coalesce(c, F.lit("")))), F.array_repeat(F.lit(""), width - F.size(r))))
+
+    def table(width: Column) -> Column:
+        body = F.transform(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))), lambda r: padded(r, width))
+        return F.array_join(F.concat(F.transform(F.slice(rows, 1, 1), lambda r: padded(r, width)), F.array(line(F.array_repeat(F.lit("---"), width))), body), "\n")
+
+    widest = F.array_max(F.transform(rows, lambda r: F.size(r)))
+    return F.when(F.size(rows) > 0, F.get(F.transform(F.array(widest), table), F.lit(0))).otherwise(F.lit(""))
 
 
 #: A block of lines between two lines of three dashes at the start.

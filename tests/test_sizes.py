@@ -28,3 +28,12 @@ def test_numbers_beyond_a_million(spark, folder):
     put, same = folder
     put(spark.createDataFrame([(x,) for x in (1, 999, 1000, 999_999, 1_000_000, 1_250_000, 12_345_678)], "p_partkey bigint"), "part")
     same(spark, "number_humanise")
+
+
+def test_table_of_many_rows(spark, folder):
+    """Its time follows its rows: with the width found anew for each row it took minutes."""
+    put, same = folder
+    put(spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), (F.col("id") * 7 % 1000).alias("n_chars")), "documents")
+    began = time.time()
+    same(spark, "markdown_table")
+    assert time.time() - began < 60
