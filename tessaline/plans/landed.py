@@ -183,9 +183,9 @@ def cursor_replies(spark, d):
     sizes = _t(spark, d, "documents").groupBy("source").agg(F.ceil(F.count("*") / 20).cast("int").alias("pages"))
     site = sizes.select("source", "pages", F.explode(F.sequence(F.lit(1), "pages")).alias("page"))
     reply = F.to_json(F.struct(_f("b%", "page").alias("body"), F.when(F.col("page") < F.col("pages"), _f("%/%", "source", F.col("page") + 1)).alias("next")))
-    get = run.landed(cut_here(site.select(_f("%/%", "source", "page").alias("url"), reply.alias("body"), F.lit(None).cast("string").alias("etag"))))
+    site = cut_here(site.select(_f("%/%", "source", "page").alias("url"), reply.alias("body"), F.lit(None).cast("string").alias("etag")))
     text = F.col("body").cast("string")
-    found = W.cursor_pages(sizes.select("source", _f("%/1", "source").alias("url")), get, lambda p: p.select("source", F.get_json_object(text, "$.next").alias("url")))
+    found = W.landed_cursor_pages(sizes.select("source", _f("%/1", "source").alias("url")), site, run.landed(site), lambda p: p.select("source", F.get_json_object(text, "$.next").alias("url")))
     return found.select("source", "page", F.get_json_object(text, "$.body").alias("body"))
 
 

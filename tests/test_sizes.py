@@ -37,3 +37,29 @@ def test_table_of_many_rows(spark, folder):
     began = time.time()
     same(spark, "markdown_table")
     assert time.time() - began < 60
+
+
+def test_cursors_in_few_rounds(spark, monkeypatch):
+    """Chains of any length, one that returns into itself and one that fails are as cursor_pages has them, in as many rounds as 200 has binary digits."""
+    from tessaline.plans import run
+    from tessaline.sources import crawl as W
+
+    links = {**{f"a{n}": f"a{n + 1}" for n in range(200)}, "a200": "", "b0": "b1", "b1": "b2", "b2": "b3", "b3": "b1", "c0": "none"}
+    web = spark.createDataFrame([(u, to, None) for u, to in links.items()], "url string, body string, etag string")
+    start = spark.createDataFrame([("a", "a0"), ("z", "a150"), ("b", "b0"), ("c", "c0"), ("n", "none")], "source string, url string")
+    told = lambda p: p.select("source", F.nullif(F.col("body").cast("string"), F.lit("")).alias("url"))
+    cuts = []
+    monkeypatch.setattr(W, "cut_here", lambda df, real=W.cut_here: cuts.append(1) or real(df))
+    got = sorted((r["source"], r["page"], r["url"], r["status"]) for r in W.landed_cursor_pages(start, web, run.landed(web), told).collect())
+    assert len(cuts) <= 2 + 3 * 9
+    want = [("a", n + 1, f"a{n}", 200) for n in range(201)] + [("z", n - 149, f"a{n}", 200) for n in range(150, 201)] + [("b", n + 1, f"b{n}", 200) for n in range(4)] + [("c", 1, "c0", 200), ("c", 2, "none", 404), ("n", 1, "none", 404)]
+    assert got == sorted(want)
+
+
+def test_cursor_replies_of_many_pages(spark, folder):
+    """Nine hundred pages of one source; a round for each took ten minutes and more."""
+    put, same = folder
+    put(spark.range(18_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 90 == 0, "t").otherwise("s").alias("source")), "documents")
+    began = time.time()
+    same(spark, "cursor_replies")
+    assert time.time() - began < 120
