@@ -203,12 +203,12 @@ def batched_keys(spark, d):
 def written_by_a_run(spark, d):
     """The rows that a second run's commit has: what changed and what is gone, nothing else."""
     docs = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
-    new = cut_here(docs.filter("source <> 'src5'").withColumn("text", F.when(F.col("lang") == "fr", F.concat("text", F.lit("x"))).otherwise(F.col("text"))))
+    new = docs.filter("source <> 'src5'").withColumn("text", F.when(F.col("lang") == "fr", F.concat("text", F.lit("x"))).otherwise(F.col("text")))
     store = SnapshotStore(spark, own_path(spark, "delta"), most=1000)
     store.size = lambda name: 0  # no folding here: the delta itself is looked at
-    for site in (cut_here(docs), new):
+    for site in (docs, new):
         bodies = site.select("key", F.lit(200).alias("status"), F.col("text").alias("body"))
-        fetch = lambda wanted, bodies=bodies: bodies.join(wanted.select("key"), "key", "left_semi")
+        fetch = lambda wanted, bodies=bodies: bodies.join(wanted.select("key").hint("shuffle_hash"), "key", "left_semi")
         convert = lambda rows: rows.select("key", F.lit("").alias("title"), F.col("body").alias("content"))
         out = synchronise(site.select("key", T.content_hash("text").alias("token")), fetch, convert, store, Options())
     return spark.read.parquet(f"{store.root}/{out.version}").select("key", F.col("__gone").alias("gone"))

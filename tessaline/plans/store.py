@@ -144,7 +144,7 @@ class SnapshotStore:
             if len(deltas) > 1:
                 rest = [c for c in both.columns if c != key]
                 both = both.groupBy(key).agg(F.max_by(F.struct(*rest), "__at").alias("__last")).select(key, *[f"__last.{c}" for c in rest])
-            old = whole.join(both.select(F.col(key).alias("__key")), F.col(key) == F.col("__key"), "left_anti")
+            old = whole.join(both.select(F.col(key).alias("__key")).hint("shuffle_hash"), F.col(key) == F.col("__key"), "left_anti")
             whole = old.unionByName(both.filter(~F.col(GONE)).drop(GONE, "__at"), allowMissingColumns=True)
         if schema:
             for field in self.spark.createDataFrame([], schema).schema:

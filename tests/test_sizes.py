@@ -88,3 +88,22 @@ def test_folders_are_looked_at_once(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "out").rglob("*")) == ["d", "f7"]
     # d, c, b, a, and the parents are seen once more where two tasks climb
     assert 2 <= len(looks.read_text().splitlines()) <= 4
+
+
+def test_runs_read_no_bodies_for_nothing(spark, tmp_path):
+    """A second run that wants nothing evaluates no body; one that changes tokens alone keeps the contents."""
+    from tessaline.plans.store import SnapshotStore
+    from tessaline.plans.sync import Options, synchronise
+
+    store = SnapshotStore(spark, f"file://{tmp_path}/s")
+    site = spark.createDataFrame([("a", "1", "A"), ("b", "1", "B")], "key string, token string, body string")
+    convert = lambda rows: rows.select("key", F.lit("T").alias("title"), F.col("body").alias("content"))
+
+    def run(body, token, **more):
+        fetch = lambda wanted: site.select("key", F.lit(200).alias("status"), body.alias("body")).join(wanted.select("key"), "key", "left_semi")
+        return synchronise(site.select("key", F.lit(token).alias("token")), fetch, convert, store, Options(**more)).counts
+
+    assert run(F.col("body"), "1") == {"added": 2}
+    assert run(F.when(F.col("body") != "", F.raise_error(F.lit("a body was read"))).otherwise(F.col("body")), "1") == {"unchanged": 2}
+    assert run(F.col("body"), "2") == {"unchanged": 2}
+    assert sorted((r["key"], r["token"].split("\u0001")[1], r["content"], r["title"]) for r in store.read().collect()) == [("a", "2", "A", "T"), ("b", "2", "B", "T")]
