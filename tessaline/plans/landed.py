@@ -620,9 +620,9 @@ def archived_pages(spark, d):
     """The state after a run that archives what is gone, and one more, which leaves the archive alone."""
     docs = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"), "source")
     store = SnapshotStore(spark, _root(spark, "archive"))
-    for site in (cut_here(docs), kept := cut_here(docs.filter("source <> 'src5'")), kept):
+    for site in (docs, kept := docs.filter("source <> 'src5'"), kept):
         bodies = site.select("key", F.lit(200).alias("status"), F.col("text").alias("body"))
-        fetch = lambda wanted, bodies=bodies: bodies.join(wanted.select("key"), "key", "left_semi")
+        fetch = lambda wanted, bodies=bodies: bodies.join(wanted.select("key").hint("shuffle_hash"), "key", "left_semi")
         convert = lambda rows: rows.select("key", F.lit("").alias("title"), F.col("body").alias("content"))
         synchronise(site.select("key", T.content_hash("text").alias("token")), fetch, convert, store, Options(archive=True))
     return store.read().select("key", "sha256")
