@@ -633,13 +633,13 @@ def archived_pages(spark, d):
 def synchronised_corpus(spark, d):
     """Two runs from manifest to commit, the first in parts that commit each: what the second run adds, changes and removes."""
     docs = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
-    old = cut_here(docs.filter("source <> 'src3'"))
-    new = cut_here(docs.filter("source <> 'src5'").withColumn("text", F.when(F.col("lang") == "fr", F.concat("text", F.lit("x"))).otherwise(F.col("text"))))
+    old = docs.filter("source <> 'src3'")
+    new = docs.filter("source <> 'src5'").withColumn("text", F.when(F.col("lang") == "fr", F.concat("text", F.lit("x"))).otherwise(F.col("text")))
     store = SnapshotStore(spark, _root(spark, "sync"))
 
     def once(site: DataFrame, parts: int):
         bodies = site.select("key", F.lit(200).alias("status"), F.col("text").alias("body"))
-        fetch = lambda wanted: bodies.join(wanted.select("key"), "key", "left_semi")
+        fetch = lambda wanted: bodies.join(wanted.select("key").hint("shuffle_hash"), "key", "left_semi")
         convert = lambda rows: rows.select("key", F.lit("").alias("title"), F.col("body").alias("content"))
         return synchronise_in_parts(site.select("key", T.content_hash("text").alias("token")), fetch, convert, store, Options(), parts)
 
