@@ -113,13 +113,13 @@ def link_index(spark, d):
     return rows.groupBy("source").agg(F.max_by("title", F.regexp_extract("title", r"(\d+)", 1).cast("bigint")).alias("first_title"), F.count("*").alias("n"), F.count_distinct("section").alias("sections"))
 
 
-@query("SELECT source || '-' || CAST(doc_id // 40 AS VARCHAR) AS source, CAST(doc_id AS VARCHAR) AS url, CAST(length(regexp_replace(text, '\\s+$', '')) AS INTEGER) AS n FROM documents")
+@query("SELECT source, CAST(doc_id AS VARCHAR) AS url, CAST(length(regexp_replace(text, '\\s+$', '')) AS INTEGER) AS n FROM documents")
 def concatenated_pages(spark, d):
-    """The documents of a source and forty ids as one text, taken apart again."""
-    docs = _t(spark, d, "documents").withColumn("source", _in_forties("source"))
+    """All documents of a source as one text, in slices of forty ids, taken apart again."""
+    docs = _t(spark, d, "documents").withColumn("slice", F.floor(F.col("doc_id") / 40))
     page = F.concat(F.lit("# T\nSource: "), F.col("doc_id").cast("string"), F.lit("\n"), F.coalesce("text", F.lit("")))
-    whole = docs.groupBy("source").agg(F.array_join(F.array_sort(F.collect_list(page)), "\n").alias("text"))
-    return D.concatenated_pages(whole).select("source", "url", F.char_length(F.regexp_replace("body", r"\s+$", "")).alias("n"))
+    whole = docs.groupBy("source", "slice").agg(F.array_join(F.array_sort(F.collect_list(page)), "\n").alias("text"))
+    return D.concatenated_pages(whole, order="slice").select("source", "url", F.char_length(F.regexp_replace("body", r"\s+$", "")).alias("n"))
 
 
 @query("SELECT source || '-' || CAST(doc_id // 40 AS VARCHAR) AS source, lang || '/' || CAST(doc_id AS VARCHAR) || '.md' AS path, sha256(text) AS sha FROM documents WHERE lang IN ('en', 'fr')")

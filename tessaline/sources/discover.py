@@ -87,9 +87,15 @@ def link_index(indexes: DataFrame, source: str = "source", text: str = "text") -
     return R.first_wins(rows, [source, "url"], ["ord"])
 
 
-def concatenated_pages(corpora: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """(source, url, ord, title, body) of texts that join pages as `# Title` and `Source: url`; of a url the last."""
-    parts = corpora.select(source, F.posexplode(F.split(text, r"(?m)^(?=# [^\n]*\nSource: )")).alias("ord", "part"))
+def concatenated_pages(corpora: DataFrame, text: str = "text", source: str = "source", order: str | None = None) -> DataFrame:
+    """(source, url, ord, title, body) of texts that join pages as `# Title` and `Source: url`; of a url the last.
+
+    With order, a source's text comes in slices of whole pages, a row for each, so that no row holds it all: of a url the last
+    in any slice counts, and ord is (order, place in the slice).
+    """
+    parts = corpora.select(source, *([order] if order else []), F.posexplode(F.split(text, r"(?m)^(?=# [^\n]*\nSource: )")).alias("ord", "part"))
+    if order:
+        parts = parts.withColumn("ord", F.struct(F.col(order).alias("slice"), "ord")).drop(order)
     head = r"(?s)\A# ([^\n]*)\nSource: (\S+)[^\S\n]*\n?(.*)\z"
     rows = parts.filter(F.col("part").rlike(head)).select(source, F.regexp_extract("part", head, 2).alias("url"), "ord", F.regexp_extract("part", head, 1).alias("title"), F.regexp_extract("part", head, 3).alias("body"))
     return R.last_wins(rows, [source, "url"], ["ord"])

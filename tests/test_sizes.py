@@ -107,3 +107,17 @@ def test_runs_read_no_bodies_for_nothing(spark, tmp_path):
     assert run(F.when(F.col("body") != "", F.raise_error(F.lit("a body was read"))).otherwise(F.col("body")), "1") == {"unchanged": 2}
     assert run(F.col("body"), "2") == {"unchanged": 2}
     assert sorted((r["key"], r["token"].split("\u0001")[1], r["content"], r["title"]) for r in store.read().collect()) == [("a", "2", "A", "T"), ("b", "2", "B", "T")]
+
+
+def test_concatenated_pages_of_whole_sources(spark, folder, tmp_path):
+    """The rows name the source itself, not a run of its ids; of a url in two slices the last counts."""
+    from tessaline.sources import discover as D
+
+    put, same = folder
+    put(spark.range(120).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 2).alias("source"), F.concat(F.lit("text "), "id").alias("text")), "documents")
+    import __spark_entry__ as entry
+
+    assert {r["source"] for r in entry.queries()["concatenated_pages"](spark, str(tmp_path)).collect()} == {"s0", "s1"}
+    same(spark, "concatenated_pages")
+    slices = spark.createDataFrame([("s", 2, "# B\nSource: u\nnew"), ("s", 1, "# A\nSource: u\nold\n# C\nSource: v\nx")], "source string, k int, text string")
+    assert sorted((r["url"], r["title"], r["body"]) for r in D.concatenated_pages(slices, order="k").collect()) == [("u", "B", "new"), ("v", "C", "x")]
