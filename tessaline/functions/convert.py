@@ -13,12 +13,19 @@ from collections.abc import Callable, Mapping
 
 import pandas as pd
 import yaml
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import compiled_mdx, html_md, mdx_md, rst_md, spec_md, wiki_md
 
 
+def _bounded() -> None:
+    """Arrow batches of few rows and bytes: what a worker holds is a batch, its texts and what is made of them, whatever the table has."""
+    spark = SparkSession.active()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def _texts(convert: Callable[[str], str | None], kind: str = "string") -> Callable[..., Column]:
     @F.pandas_udf(kind)
     def run(values: pd.Series) -> pd.Series:
@@ -29,6 +36,7 @@ def _texts(convert: Callable[[str], str | None], kind: str = "string") -> Callab
 
 def html_to_markdown(html: Column | str, dialect: str = "plain", url: Column | str | None = None, title: Column | str | None = None) -> Column:
     """Markdown of the dialect's content, null where it is missing; links absolute where url is given."""
+    _bounded()
     blank = F.lit("")
 
     @F.pandas_udf("string")

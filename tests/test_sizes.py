@@ -121,3 +121,15 @@ def test_concatenated_pages_of_whole_sources(spark, folder, tmp_path):
     same(spark, "concatenated_pages")
     slices = spark.createDataFrame([("s", 2, "# B\nSource: u\nnew"), ("s", 1, "# A\nSource: u\nold\n# C\nSource: v\nx")], "source string, k int, text string")
     assert sorted((r["url"], r["title"], r["body"]) for r in D.concatenated_pages(slices, order="k").collect()) == [("u", "B", "new"), ("v", "C", "x")]
+
+
+def test_batches_of_converters_are_bounded(spark):
+    """A worker is handed few rows at a time, whatever the session's setting was."""
+    from tessaline.functions import convert as V
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    made = {"html": lambda: V.html_to_markdown(F.lit("<p>a</p>"))}
+    for make in made.values():
+        spark.conf.set(key, "10000")
+        make()
+        assert int(spark.conf.get(key)) <= 500 and int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
