@@ -79,6 +79,7 @@ def compiled_to_markdown(script: Column | str) -> Column:
 
 def rst_to_markdown(docs: DataFrame, name: str = "name", text: str = "text", bases: dict[str, str] | None = None) -> DataFrame:
     """docs with markdown: titles and labels of the whole corpus are made first, and only what a document names is joined to it."""
+    _bounded()
     kinds = "kind string, label string, doc string, slug string, title string"
 
     @F.pandas_udf(f"array<struct<{kinds.replace(' string', ':string')}>>")

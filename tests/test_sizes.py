@@ -128,7 +128,7 @@ def test_batches_of_converters_are_bounded(spark):
     from tessaline.functions import convert as V
 
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    made = {"html": lambda: V.html_to_markdown(F.lit("<p>a</p>"))}
+    made = {"html": lambda: V.html_to_markdown(F.lit("<p>a</p>")), "rst": lambda: V.rst_to_markdown(spark.createDataFrame([("a", "b")], "name string, text string"))}
     for make in made.values():
         spark.conf.set(key, "10000")
         make()
